@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarry.plans import catalog_queries, entity_queries, ingest_queries
+from quarry.plans import catalog_queries, entity_queries, ingest_queries, lineage_queries
 
-_MODULES = [ingest_queries, catalog_queries, entity_queries]
+_MODULES = [ingest_queries, catalog_queries, entity_queries, lineage_queries]
 
 
 def all_queries():
