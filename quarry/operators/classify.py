@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.patterns import CONTENT_TAG_PREFIX, NAME_RULES, SENSITIVE_PATTERNS
+from quarry.sources.tables import spread
 
 
 def _union(frames):
@@ -46,7 +47,7 @@ def content_tags(tables: dict[str, DataFrame], patterns=SENSITIVE_PATTERNS) -> D
                 cells.append(F.struct(F.lit(c).alias("column_name"),
                                       F.lit(CONTENT_TAG_PREFIX + pname).alias("tag"),
                                       F.col(alias).cast("long").alias("hits")))
-        one = df.agg(*aggs)
+        one = spread(df.select(*[F.col(f"`{c}`") for c in cols])).agg(*aggs)
         frames.append(one.select(F.lit(t).alias("table_name"), F.inline(F.array(*cells))))
     hits = _union(frames)
     return (hits.where(F.col("hits") > 0).select("table_name", "column_name", "tag")
@@ -65,15 +66,18 @@ def sensitive_scan(texts: dict[str, tuple[DataFrame, str]], patterns=SENSITIVE_P
     """
     frames = []
     for t, (df, col) in texts.items():
-        aggs, cells = [F.count(F.lit(1)).alias("__rows")], []
-        for j, (pname, rx) in enumerate(patterns.items()):
-            n = F.regexp_count(F.col(col), F.lit(rx))
-            aggs.append(F.count_if(n > 0).alias(f"__r{j}"))
-            aggs.append(F.coalesce(F.sum(n), F.lit(0)).alias(f"__m{j}"))
+        names = list(patterns)
+        counted = spread(df.select(col)).select(
+            *[F.regexp_count(F.col(col), F.lit(patterns[p])).alias(f"__n{j}") for j, p in enumerate(names)])
+        aggs = [F.count(F.lit(1)).alias("__rows")]
+        cells = []
+        for j, pname in enumerate(names):
+            aggs.append(F.count_if(F.col(f"__n{j}") > 0).alias(f"__r{j}"))
+            aggs.append(F.coalesce(F.sum(f"__n{j}"), F.lit(0)).alias(f"__m{j}"))
             cells.append(F.struct(F.lit(pname).alias("pattern"),
                                   F.col(f"__r{j}").cast("long").alias("rows_with_match"),
                                   F.col(f"__m{j}").cast("long").alias("match_count")))
-        one = df.agg(*aggs)
+        one = counted.agg(*aggs)
         frames.append(one.select(F.lit(t).alias("table_name"), F.col("__rows").cast("long").alias("rows_scanned"),
                                  F.inline(F.array(*cells))))
     return _union(frames)
@@ -82,4 +86,4 @@ def sensitive_scan(texts: dict[str, tuple[DataFrame, str]], patterns=SENSITIVE_P
 def row_tags(df: DataFrame, key_qn, text_col: str, patterns=SENSITIVE_PATTERNS) -> DataFrame:
     """``entity_qn, tag`` for every row whose text matches a pattern (one row per tag)."""
     hits = F.array(*[F.when(F.col(text_col).rlike(rx), F.lit(CONTENT_TAG_PREFIX + p)) for p, rx in patterns.items()])
-    return df.select(key_qn.alias("entity_qn"), F.explode(F.array_compact(hits)).alias("tag"))
+    return spread(df).select(key_qn.alias("entity_qn"), F.explode(F.array_compact(hits)).alias("tag"))

@@ -2,7 +2,8 @@
 
 Both walks are breadth-first rounds of joins. Each round's frontier is
 checkpointed into the shared checkpoint folder (reliable, survives executor
-loss) which also cuts the lineage, and its row count decides the join: a
+loss, cuts the lineage) and counted by an observation on that same job. The
+frontier's row count decides the next join: a
 frontier at or below ``broadcast_rows`` is broadcast so the big edge table is
 streamed without a shuffle (and a hot node cannot skew a shuffle partition);
 a larger frontier uses a shuffle join, where AQE splits skewed partitions.
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.session import work_dir
@@ -20,9 +21,12 @@ from quarry.session import work_dir
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def _persist(df: DataFrame) -> DataFrame:
+def _materialize(df: DataFrame):
+    """(checkpointed frame, row count) from a single job."""
     work_dir(df.sparkSession)  # make sure a checkpoint folder is configured
-    return df.checkpoint(eager=True)
+    seen = Observation()
+    frame = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    return frame, int(seen.get["rows"])
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -60,17 +64,15 @@ def walk(edges: DataFrame, start: DataFrame, direction: str = "BOTH", max_depth:
     so cycles terminate; the loop also stops early on an empty frontier.
     """
     adj = adjacency(edges, direction, src, dst)  # not de-duplicated: reached.distinct() absorbs repeats
-    frontier = _persist(start.select("node").distinct().withColumn("depth", F.lit(0)))
-    n = frontier.count()
-    levels = [frontier]  # each level is checkpointed, so their union has a short lineage
+    frontier, n = _materialize(start.select("node").distinct().withColumn("depth", F.lit(0)))
+    levels = [frontier]  # materialized levels: their union has a short lineage
     for d in range(1, max_depth + 1):
         if n == 0:
             break
         visited = _union(levels).select("node")
         reached = (_join_frontier(frontier.select(F.col("node").alias("frm")), n, adj, "frm", broadcast_rows)
                    .select(F.col("to").alias("node")).distinct())
-        frontier = _persist(reached.join(visited, "node", "left_anti").withColumn("depth", F.lit(d)))
-        n = frontier.count()
+        frontier, n = _materialize(reached.join(visited, "node", "left_anti").withColumn("depth", F.lit(d)))
         levels.append(frontier)
     return _union(levels)
 
@@ -83,9 +85,8 @@ def hierarchy(nodes: DataFrame, max_depth: int = 64, broadcast_rows: int = DEFAU
     node has one parent, so every node is reached once; nodes on a pointer
     cycle, or under a missing parent, are never reached.
     """
-    level = _persist(nodes.where(F.col("parent").isNull())
-                     .select("node", "kind", F.col("node").alias("root"), F.lit(0).alias("depth")))
-    n = level.count()
+    level, n = _materialize(nodes.where(F.col("parent").isNull())
+                            .select("node", "kind", F.col("node").alias("root"), F.lit(0).alias("depth")))
     levels = [level]
     for d in range(1, max_depth + 1):
         if n == 0:
@@ -93,7 +94,6 @@ def hierarchy(nodes: DataFrame, max_depth: int = 64, broadcast_rows: int = DEFAU
         parents = level.select(F.col("node").alias("parent"), "root")
         children = (_join_frontier(parents, n, nodes.where(F.col("parent").isNotNull()), "parent", broadcast_rows)
                     .select("node", "kind", "root", F.lit(d).alias("depth")))
-        level = _persist(children)
-        n = level.count()
+        level, n = _materialize(children)
         levels.append(level)
     return _union(levels)

@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators import entities as E
-from quarry.operators.graph import DEFAULT_BROADCAST_ROWS
-from quarry.session import work_dir
+from quarry.operators.graph import DEFAULT_BROADCAST_ROWS, _materialize
 
 EDGE_COLUMNS = ["src_qn", "process_qn", "dst_qn"]
 
@@ -82,14 +81,12 @@ def cascade_soft_delete(levels, root_filter, broadcast_rows: int = DEFAULT_BROAD
     de-duplicated and checkpointed per level (the next level's join input).
     Returns ``level, table_name, deleted_rows, remaining_rows``.
     """
-    work_dir(levels[0][1].sparkSession)
     out = []
-    prev = None
+    prev, n = None, 0
     for i, (name, df, key, parent) in enumerate(levels):
         if i == 0:
             marked = df.withColumn("_hit", root_filter)
         else:
-            n = prev.count()
             keys = F.broadcast(prev) if n <= broadcast_rows else prev
             marked = (df.join(keys.withColumnRenamed("_k", parent).withColumn("_m", F.lit(True)), parent, "left")
                       .withColumn("_hit", F.coalesce("_m", F.lit(False))))
@@ -98,7 +95,7 @@ def cascade_soft_delete(levels, root_filter, broadcast_rows: int = DEFAULT_BROAD
                    .select(F.lit(i).alias("level"), F.lit(name).alias("table_name"),
                            "deleted_rows", "remaining_rows"))
         if key is not None and i + 1 < len(levels):
-            prev = marked.where("_hit").select(F.col(key).alias("_k")).distinct().checkpoint(eager=True)
+            prev, n = _materialize(marked.where("_hit").select(F.col(key).alias("_k")).distinct())
     result = out[0]
     for o in out[1:]:
         result = result.unionByName(o)

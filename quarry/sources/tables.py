@@ -19,8 +19,37 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+_SCHEMAS: dict[tuple[str, str], object] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, cache_schema: bool = True) -> DataFrame:
+    """Lazy scan of one table.
+
+    Parquet schema inference runs a small Spark job per path; source tables
+    are treated as immutable within an application, so the inferred schema is
+    remembered per (application, path) and later reads skip the inference.
+    """
+    path = table_path(sf_dir, name)
+    if not cache_schema:
+        return spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster before CPU-heavy per-row work
+    (regex over whole texts) when the scan itself yields fewer partitions than
+    there are cores, e.g. a file with a single row group. Large inputs already
+    have many splits, so at scale this is a no-op and adds no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def read_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:

@@ -7,8 +7,9 @@ Layout under ``<root>/<name>/``::
     snapshots/*.parquet         append-only commit log, one small file per commit
 
 A commit writes its data folder first (overwriting leftovers of a failed
-attempt with the same id), counts the rows from the written files' footers and
-only then appends the log row. Readers see only snapshot ids present in the log,
+attempt with the same id), counting the rows as they are written (an
+``observe`` on the write job, no second scan), and only then appends the log
+row. Readers see only snapshot ids present in the log,
 so a half-written append is invisible and a retried job simply rewrites it.
 Snapshot ids are 1, 2, 3, ... in commit order; reading version ``v`` is the
 partition filter ``_snapshot_id <= v``, which Spark prunes at planning time.
@@ -21,7 +22,7 @@ import datetime as _dt
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,11 +59,17 @@ class VersionedTable:
         self.schema_path = f"{self.path}/schema"
         self.data_path = f"{self.path}/data"
         self.log_path = f"{self.path}/snapshots"
+        # What this handle has read or written itself (single writer per table):
+        # saves a Spark job per metadata lookup.
+        self._schema: T.StructType | None = None
+        self._log_cache: list | None = None
 
     # ------------------------------------------------------------------ state
     def exists(self) -> bool:
+        if self._schema is not None:
+            return True
         try:
-            self.spark.read.parquet(self.schema_path).schema
+            self._schema = self.spark.read.parquet(self.schema_path).schema
             return True
         except AnalysisException:
             return False
@@ -70,7 +77,7 @@ class VersionedTable:
     def schema(self) -> T.StructType:
         if not self.exists():
             raise TableNotFound(self.name)
-        return self.spark.read.parquet(self.schema_path).schema
+        return self._schema
 
     def log(self) -> DataFrame:
         """The commit log as a DataFrame (empty if nothing was committed)."""
@@ -81,11 +88,17 @@ class VersionedTable:
 
     def _log_rows(self):
         # One row per commit: bounded by the number of commits, not by data.
-        return self.log().select("snapshot_id", "batch_id").collect()
+        if self._log_cache is None:
+            self._log_cache = [(r["snapshot_id"], r["batch_id"])
+                               for r in self.log().select("snapshot_id", "batch_id").collect()]
+        return [{"snapshot_id": a, "batch_id": b} for a, b in self._log_cache]
+
+    def refresh(self) -> None:
+        """Forget cached state (another writer may have committed)."""
+        self._schema, self._log_cache = None, None
 
     def current_snapshot_id(self) -> int | None:
-        row = self.log().agg(F.max("snapshot_id").alias("m")).first()
-        return None if row is None else row["m"]
+        return max((r["snapshot_id"] for r in self._log_rows()), default=None)
 
     # ----------------------------------------------------------------- writes
     def create_if_not_exists(self, schema: T.StructType) -> bool:
@@ -93,6 +106,8 @@ class VersionedTable:
         if self.exists():
             return False
         self.spark.createDataFrame([], schema).write.mode("errorifexists").parquet(self.schema_path)
+        self._schema = schema
+        self._log_cache = []
         return True
 
     def create(self, df: DataFrame, committed_at=None, batch_id: str | None = None) -> int:
@@ -131,10 +146,13 @@ class VersionedTable:
         sid = 1 if parent is None else parent + 1
         folder = f"{self.data_path}/{SNAPSHOT_COL}={sid}"
         data = self._conform(df)
-        data.write.mode("overwrite").parquet(folder)
-        added = self.spark.read.parquet(folder).count()  # footer-only count of what was written
+        # rows are counted as they are written, in the same job (no second scan)
+        written = Observation(f"commit_{self.name}_{sid}")
+        data.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(folder)
+        added = int(written.get["rows"])
         entry = (sid, parent, committed_at or _now(), operation, added, data.schema.json(), batch_id)
         self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
+        self._log_cache = (self._log_cache or []) + [(sid, batch_id)]
         return sid
 
     def append_batches(self, df: DataFrame, batch_col: str, committed_at_for=None) -> list[int]:
@@ -172,6 +190,7 @@ class VersionedTable:
                             int(counts.get(sid, 0)), schema.json(), None))
             prev = sid
         self.spark.createDataFrame(entries, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
+        self._log_cache = (self._log_cache or []) + [(e[0], None) for e in entries]
         return list(ids.values())
 
     # ------------------------------------------------------------------ reads
