@@ -45,8 +45,8 @@ def _empty_map() -> Column:
 
 
 def make_entities(df: DataFrame, type_name, qn: Column, name: Column, parent_qn=None, description=None,
-                  data_type=None, position=None, attributes=None, owner=DEFAULT_OWNER, version: int = 1,
-                  status: str = ACTIVE) -> DataFrame:
+                  data_type=None, position=None, attributes=None, owner=DEFAULT_OWNER, version=1,
+                  status=ACTIVE) -> DataFrame:
     """Project any DataFrame into the entity shape (one entity per row)."""
     def c(v, typ):
         if v is None:
@@ -62,9 +62,9 @@ def make_entities(df: DataFrame, type_name, qn: Column, name: Column, parent_qn=
         c(description, "string").alias("description"),
         c(data_type, "string").alias("data_type"),
         c(position, "int").alias("position"),
-        F.lit(status).alias("status"),
+        c(status, "string").alias("status"),
         (attributes if attributes is not None else _empty_map()).alias("attributes"),
-        F.lit(version).cast("long").alias("version"),
+        c(version, "long").alias("version"),
     )
 
 

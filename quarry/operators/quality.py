@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from quarry.operators.metadata import Constraints, ForeignKey
 
 
-def _union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+def _union_all(frames: list[DataFrame]) -> DataFrame | None:
+    """Union of the frames; None when there is nothing to check."""
+    return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
 
 
 def _q(name: str) -> Column:
@@ -132,19 +133,21 @@ def all_reference_checks(tables: dict[str, DataFrame], cons: Constraints,
 
 def check_results(tables: dict[str, DataFrame], cons: Constraints) -> DataFrame:
     """Long format ``table_name, check_name, violations`` over all declared rules."""
+    parts = []
     dups = all_duplicate_keys(tables, cons)
-    parts = [
-        dups.select("table_name", F.concat(F.lit("unique:"), "constraint_name").alias("check_name"),
-                    F.col("duplicate_groups").alias("violations")),
-        dups.select("table_name", F.concat(F.lit("not_null:"), "constraint_name").alias("check_name"),
-                    F.col("null_key_rows").alias("violations")),
-        all_reference_checks(tables, cons).select(
-            "table_name", F.concat(F.lit("references:"), "constraint_name").alias("check_name"),
-            F.col("violating_rows").alias("violations")),
-        all_length_profiles(tables, cons).select(
-            "table_name", F.concat(F.lit("length:"), "column_name").alias("check_name"),
-            F.col("over_limit").alias("violations")),
-    ]
+    if dups is not None:
+        parts.append(dups.select("table_name", F.concat(F.lit("unique:"), "constraint_name").alias("check_name"),
+                                 F.col("duplicate_groups").alias("violations")))
+        parts.append(dups.select("table_name", F.concat(F.lit("not_null:"), "constraint_name").alias("check_name"),
+                                 F.col("null_key_rows").alias("violations")))
+    refs = all_reference_checks(tables, cons)
+    if refs is not None:
+        parts.append(refs.select("table_name", F.concat(F.lit("references:"), "constraint_name").alias("check_name"),
+                                 F.col("violating_rows").alias("violations")))
+    lengths = all_length_profiles(tables, cons)
+    if lengths is not None:
+        parts.append(lengths.select("table_name", F.concat(F.lit("length:"), "column_name").alias("check_name"),
+                                    F.col("over_limit").alias("violations")))
     return _union_all(parts)
 
 
