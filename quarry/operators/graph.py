@@ -1,10 +1,10 @@
 """Graph walks over edge DataFrames: lineage traversal and parent-pointer trees.
 
 Both walks are breadth-first rounds of joins. Each round's frontier is
-checkpointed into the shared checkpoint folder (reliable, survives executor
-loss, cuts the lineage) and counted by an observation on that same job. The
-frontier's row count decides the next join: a
-frontier at or below ``broadcast_rows`` is broadcast so the big edge table is
+written as a Parquet table into the shared work folder (reliable, survives
+executor loss, cuts the lineage) and counted by an observation on that same
+write job, so the round's plan runs exactly once. The frontier's row count
+decides the next join: a frontier at or below ``broadcast_rows`` is broadcast so the big edge table is
 streamed without a shuffle (and a hot node cannot skew a shuffle partition);
 a larger frontier uses a shuffle join, where AQE splits skewed partitions.
 """
@@ -16,17 +16,24 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quarry.session import work_dir
+from quarry.session import fresh_dir
+from quarry.sources.tables import spread
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def _materialize(df: DataFrame):
-    """(checkpointed frame, row count) from a single job."""
-    work_dir(df.sparkSession)  # make sure a checkpoint folder is configured
+    """(frame read back from a written table, row count), from one write job.
+
+    Unlike ``checkpoint(eager=True)``, which runs the plan once to count and
+    again to write, the write computes the plan once and the observation
+    counts its rows on the way out.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, "rounds")
     seen = Observation()
-    frame = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    return frame, int(seen.get["rows"])
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -58,21 +65,52 @@ def adjacency(edges: DataFrame, direction: str = "OUT", src: str = "src", dst: s
 def walk(edges: DataFrame, start: DataFrame, direction: str = "BOTH", max_depth: int = 3,
          src: str = "src", dst: str = "dst", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Nodes reachable from ``start`` (column ``node``) within ``max_depth``
-    steps, with their minimum depth (start nodes have depth 0).
-
-    A visited anti-join keeps each node in the first round that reaches it,
-    so cycles terminate; the loop also stops early on an empty frontier.
+    steps, with their minimum depth (start nodes have depth 0)."""
+    starts = (start.select("node").distinct()
+              .select(F.lit("w").alias("walk"), F.lit("g").alias("graph"), "node",
+                      F.lit(direction.upper()).alias("direction"), F.lit(max_depth).alias("max_depth")))
+    g = edges.select(F.lit("g").alias("graph"), F.col(src).alias("src"), F.col(dst).alias("dst"))
+    return walk_many(g, starts, broadcast_rows).select("node", "depth")
+
+
+def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Several walks in one breadth-first loop.
+
+    ``edges``: ``graph, src, dst``; ``starts``: ``walk, graph, node, direction,
+    max_depth`` (direction IN / OUT / BOTH per walk). Returns ``walk, node,
+    depth`` with the minimum depth per (walk, node). A visited anti-join keeps
+    each node in the first round that reaches it, so cycles terminate; the
+    loop stops when every frontier is empty or at its depth limit.
     """
-    adj = adjacency(edges, direction, src, dst)  # not de-duplicated: reached.distinct() absorbs repeats
-    frontier, n = _materialize(start.select("node").distinct().withColumn("depth", F.lit(0)))
+    # one small job: the deepest limit and the directions in use (bounded by the number of walks)
+    summary = starts.agg(F.max("max_depth").alias("deepest"),
+                         F.collect_set(F.upper("direction")).alias("dirs")).first()
+    for d in summary["dirs"]:
+        if d not in ("IN", "OUT", "BOTH"):
+            raise ValueError(f"direction must be IN, OUT or BOTH, not {d}")
+    deepest = summary["deepest"] or 0
+    limits = starts.select("walk", "graph", F.upper("direction").alias("direction"), "max_depth").distinct()
+    edges = edges.select("graph", "src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    if deepest > 1:
+        # every round reads the edges again: derive them once and keep them as a table
+        edges, _ = _materialize(spread(edges))
+    out = edges.select("graph", F.col("src").alias("frm"), F.col("dst").alias("to"), F.lit("OUT").alias("dir"))
+    inn = edges.select("graph", F.col("dst").alias("frm"), F.col("src").alias("to"), F.lit("IN").alias("dir"))
+    adj = out.unionByName(inn)
+    frontier, n = _materialize(starts.select("walk", "node").distinct().withColumn("depth", F.lit(0)))
     levels = [frontier]  # materialized levels: their union has a short lineage
-    for d in range(1, max_depth + 1):
+    for d in range(1, deepest + 1):
         if n == 0:
             break
-        visited = _union(levels).select("node")
-        reached = (_join_frontier(frontier.select(F.col("node").alias("frm")), n, adj, "frm", broadcast_rows)
-                   .select(F.col("to").alias("node")).distinct())
-        frontier, n = _materialize(reached.join(visited, "node", "left_anti").withColumn("depth", F.lit(d)))
+        active = (frontier.join(F.broadcast(limits), "walk").where(F.col("max_depth") >= d)
+                  .select("walk", "graph", F.col("node").alias("frm"), "direction"))
+        side = F.broadcast(active) if n <= broadcast_rows else active
+        # not de-duplicated edges: the distinct on (walk, node) absorbs repeats
+        reached = (adj.join(side, ["graph", "frm"])
+                   .where((F.col("direction") == "BOTH") | (F.col("direction") == F.col("dir")))
+                   .select("walk", F.col("to").alias("node")).distinct())
+        visited = _union(levels).select("walk", "node")
+        frontier, n = _materialize(reached.join(visited, ["walk", "node"], "left_anti").withColumn("depth", F.lit(d)))
         levels.append(frontier)
     return _union(levels)
 

@@ -54,7 +54,7 @@ def raw_table_name(table: str) -> str:
 
 def ingest_tables(spark: SparkSession, sources: dict[str, DataFrame], warehouse: str,
                   extracted_at: str | None = DEFAULT_RUN_TS, source_system: str = DEFAULT_SOURCE_SYSTEM,
-                  committed_at=None, batch_id: str | None = None, parallelism: int = 4) -> DataFrame:
+                  committed_at=None, batch_id: str | None = None, parallelism: int = 8) -> DataFrame:
     """Copy every source into ``raw_<table>`` (create or append).
 
     Returns one row per table: ``table_name, raw_table, snapshot_id, status, error``.

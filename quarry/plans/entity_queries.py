@@ -20,18 +20,17 @@ DB = "tpch"
 REGISTERED = STAR_TABLES + ["documents", "pages"]  # allow-list for the partial catalog
 
 
-def build_catalog(spark: SparkSession, sf_dir: str, table_allow: list[str] | None = None) -> DataFrame:
-    """db + table + column entities from the schemas, asset entities from rows."""
+def build_catalog(spark: SparkSession, sf_dir: str, table_allow: list[str] | None = None,
+                  assets: bool = True) -> DataFrame:
+    """db + table + column entities from the schemas, asset entities from rows
+    (``assets=False`` keeps only the schema-level entities)."""
     tables = read_tables(spark, sf_dir, ALL_TABLES)
     mt = M.meta_tables(spark, tables, allow=table_allow)
     mc = M.meta_columns(spark, tables)
-    return E.union_entities([
-        E.database_entities(spark, DB),
-        E.table_entities(mt, DB),
-        E.column_entities(mc, DB),
-        E.document_entities(tables["documents"], DB),
-        E.page_entities(tables["pages"], DB),
-    ])
+    parts = [E.database_entities(spark, DB), E.table_entities(mt, DB), E.column_entities(mc, DB)]
+    if assets:
+        parts += [E.document_entities(tables["documents"], DB), E.page_entities(tables["pages"], DB)]
+    return E.union_entities(parts)
 
 
 def raw_layer_entities(spark: SparkSession, sf_dir: str, names: list[str], version: int) -> DataFrame:

@@ -104,6 +104,19 @@ def time_travel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                F.sum("added").over(w).cast("long").alias("row_count"))
 
 
+def stream_events_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events through a file stream (availableNow) appended per micro-batch to a raw table."""
+    from quarry.streaming.events import append_stream, stream_source
+    root = fresh_dir(spark, "stream_events_append")
+    table = VersionedTable(spark, root, "raw_events")
+    schema = read_table(spark, sf_dir, "events").schema
+    query = append_stream(stream_source(spark, sf_dir, "events.parquet", schema), table,
+                          checkpoint=f"{root}/_checkpoint", extracted_at=DEFAULT_RUN_TS)
+    query.awaitTermination()
+    table.refresh()
+    return table.read().drop(SNAPSHOT_COL)
+
+
 QUERIES = {
     "topk_by_key": topk_by_key,
     "raw_ingest_audit": raw_ingest_audit,
@@ -115,6 +128,7 @@ QUERIES = {
     "version_snapshots": version_snapshots,
     "version_files": version_files,
     "time_travel_counts": time_travel_counts,
+    "stream_events_append": stream_events_append,
 }
 
 _TS = f"TIMESTAMP '{DEFAULT_RUN_TS}'"
@@ -130,6 +144,7 @@ ORACLE = {
         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
         GROUP BY n.n_name ORDER BY customer_count DESC, n.n_name LIMIT 10""",
     "raw_ingest_audit": f"SELECT *, {_AUDIT} FROM orders",
+    "stream_events_append": f"SELECT *, {_AUDIT} FROM events",
     "raw_projection": f"SELECT c_custkey, c_name, c_nationkey, c_mktsegment, {_TS} AS created_at FROM customer",
     "raw_create_append": f"""
         SELECT *, {_AUDIT}, CAST(CASE WHEN c_acctbal >= 0 THEN 1 ELSE 2 END AS BIGINT) AS _snapshot_id

@@ -8,11 +8,11 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.patterns import NAME_RULES, SENSITIVE_PATTERNS
+from quarry.functions.patterns import CONTENT_TAG_PREFIX, NAME_RULES, SENSITIVE_PATTERNS
 from quarry.operators import classify as C
 from quarry.operators import entities as E
 from quarry.operators import metadata as M
-from quarry.operators.graph import hierarchy, walk
+from quarry.operators.graph import hierarchy, walk_many
 from quarry.operators.ingest import batch_summary, ingest_tables, raw_table_name, with_audit_columns
 from quarry.operators.lineage import cascade_soft_delete, etl_process_edges, fk_edges
 from quarry.plans.catalog_queries import _COLS, _IN
@@ -54,7 +54,7 @@ def lineage_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fk_edges(spark, sf_dir):
     tc, kcu, ccu = M.constraint_relations(spark, DRIVER_CONSTRAINTS)
-    return fk_edges(M.foreign_key_columns(tc, kcu, ccu), build_catalog(spark, sf_dir))
+    return fk_edges(M.foreign_key_columns(tc, kcu, ccu), build_catalog(spark, sf_dir, assets=False))
 
 
 def lineage_fk_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,22 +76,18 @@ def row_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineage_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fk = _fk_edges(spark, sf_dir).select(F.col("src_qn").alias("src"), F.col("dst_qn").alias("dst"))
-
-    def start(node):
-        return spark.createDataFrame([(node,)], "node string")
-
-    walks = [
-        ("fk_out_lineitem", walk(fk, start("source.tpch.lineitem"), "OUT", 3)),
-        ("fk_in_region", walk(fk, start("source.tpch.region"), "IN", 3)),
-        ("fk_both_customer", walk(fk, start("source.tpch.customer"), "BOTH", 2)),
-        ("rows_both_customer", walk(row_edges(spark, sf_dir), start(f"customer:{WALK_CUSTOMER}"), "BOTH", 3)),
-    ]
-    out = None
-    for name, w in walks:
-        w = w.select(F.lit(name).alias("walk"), "node", F.col("depth").cast("int").alias("depth"))
-        out = w if out is None else out.unionByName(w)
-    return out
+    """Table-level FK lineage walked three ways plus a row-level walk from one
+    customer, all in one breadth-first loop."""
+    fk = _fk_edges(spark, sf_dir).select(F.lit("fk").alias("graph"), F.col("src_qn").alias("src"),
+                                         F.col("dst_qn").alias("dst"))
+    rows = row_edges(spark, sf_dir).select(F.lit("rows").alias("graph"), "src", "dst")
+    starts = spark.createDataFrame([
+        ("fk_out_lineitem", "fk", "source.tpch.lineitem", "OUT", 3),
+        ("fk_in_region", "fk", "source.tpch.region", "IN", 3),
+        ("fk_both_customer", "fk", "source.tpch.customer", "BOTH", 2),
+        ("rows_both_customer", "rows", f"customer:{WALK_CUSTOMER}", "BOTH", 3),
+    ], "walk string, graph string, node string, direction string, max_depth int")
+    return walk_many(fk.unionByName(rows), starts).select("walk", "node", F.col("depth").cast("int").alias("depth"))
 
 
 def parent_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,17 +149,34 @@ def classify_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.classify(M.meta_columns(spark, tables), tables)
 
 
-def entity_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tags on column entities (name and content rules) and on document entities (content)."""
-    cols = classify_columns(spark, sf_dir).select(
-        F.concat(F.lit(f"source.{DB}."), "table_name", F.lit("."), "column_name").alias("entity_qn"), "tag")
-    docs = C.row_tags(read_table(spark, sf_dir, "documents"),
-                      F.concat(F.lit(f"asset.{DB}.document."), F.col("doc_id").cast("string")), "text")
-    return cols.unionByName(docs).distinct()
+def entity_tags(spark: SparkSession, sf_dir: str, only_tag: str | None = None) -> DataFrame:
+    """Tags on column entities (name and content rules) and on document entities
+    (content). With ``only_tag`` just the rules that can yield that tag run."""
+    tables = read_tables(spark, sf_dir, ALL_TABLES)
+    rules = [(t, rx) for t, rx in NAME_RULES if only_tag in (None, t)]
+    patterns = {p: rx for p, rx in SENSITIVE_PATTERNS.items() if only_tag in (None, CONTENT_TAG_PREFIX + p)}
+    parts = []
+    if rules:
+        parts.append(C.name_tags(M.meta_columns(spark, tables), rules))
+    if patterns:
+        parts.append(C.content_tags(tables, patterns))
+    cols = [p.select(F.concat(F.lit(f"source.{DB}."), "table_name", F.lit("."), "column_name").alias("entity_qn"),
+                     "tag") for p in parts]
+    if patterns:
+        cols.append(C.row_tags(tables["documents"],
+                               F.concat(F.lit(f"asset.{DB}.document."), F.col("doc_id").cast("string")), "text",
+                               patterns))
+    if not cols:
+        return spark.createDataFrame([], "entity_qn string, tag string")
+    out = cols[0]
+    for c in cols[1:]:
+        out = out.unionByName(c)
+    return out.distinct()
 
 
 def tag_search(spark: SparkSession, sf_dir: str, tag: str = SEARCH_TAG) -> DataFrame:
-    tagged = entity_tags(spark, sf_dir).where(F.col("tag") == tag).select(F.col("entity_qn").alias("qualified_name"))
+    tagged = entity_tags(spark, sf_dir, only_tag=tag).where(F.col("tag") == tag).select(
+        F.col("entity_qn").alias("qualified_name"))
     return (build_catalog(spark, sf_dir).join(tagged, "qualified_name", "left_semi")
             .select("type_name", "qualified_name", "name"))
 

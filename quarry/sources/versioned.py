@@ -51,6 +51,19 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of the path (any scheme)."""
+    try:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath))
+    except AttributeError:  # no JVM gateway (Spark Connect): probe with a read
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except AnalysisException:
+            return False
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark = spark
@@ -68,11 +81,10 @@ class VersionedTable:
     def exists(self) -> bool:
         if self._schema is not None:
             return True
-        try:
-            self._schema = self.spark.read.parquet(self.schema_path).schema
-            return True
-        except AnalysisException:
+        if not path_exists(self.spark, self.schema_path):
             return False
+        self._schema = self.spark.read.parquet(self.schema_path).schema
+        return True
 
     def schema(self) -> T.StructType:
         if not self.exists():
@@ -81,10 +93,9 @@ class VersionedTable:
 
     def log(self) -> DataFrame:
         """The commit log as a DataFrame (empty if nothing was committed)."""
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
-        except AnalysisException:
+        if not path_exists(self.spark, self.log_path):
             return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
 
     def _log_rows(self):
         # One row per commit: bounded by the number of commits, not by data.
