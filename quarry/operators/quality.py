@@ -77,20 +77,24 @@ def _keys(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
 def orphan_references(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFrame:
     """Child rows whose non-null key has no parent row (null keys are exempt).
 
-    The child is first reduced to ``(key, rows)``, so the anti-join compares
-    distinct keys; the key columns are paired by ordinal position.
+    The child is reduced to ``(key, rows)`` first (partial aggregation, so a
+    hot key leaves each map task as one row), then left-outer-joined with the
+    parent's distinct keys; one scan of each side answers orphan keys, orphan
+    rows and null-key rows. An outer join (rather than an anti-join) keeps
+    the optimizer from moving the join below the child's aggregation, which
+    would shuffle every child row instead of one row per key. Key columns are
+    paired by ordinal position.
     """
     names = [f"_k{i}" for i in range(len(fk.columns))]
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in names])
     per_key = _keys(child, fk.columns).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
-    parent_keys = _keys(parent, fk.ref_columns)
-    orphans = per_key.where(~any_null).join(parent_keys, names, "left_anti").withColumn("_kind", F.lit("orphan"))
-    nulls = per_key.where(any_null).withColumn("_kind", F.lit("null"))
-    both = orphans.unionByName(nulls)
-    return both.agg(
-        F.count_if(F.col("_kind") == "orphan").cast("long").alias("violating_keys"),
-        F.coalesce(F.sum(F.when(F.col("_kind") == "orphan", F.col("n"))), F.lit(0)).cast("long").alias("violating_rows"),
-        F.coalesce(F.sum(F.when(F.col("_kind") == "null", F.col("n"))), F.lit(0)).cast("long").alias("null_key_rows"),
+    parent_keys = _keys(parent, fk.ref_columns).distinct().withColumn("_found", F.lit(True))
+    joined = per_key.join(parent_keys, names, "left")
+    orphan = ~any_null & F.col("_found").isNull()
+    return joined.agg(
+        F.count_if(orphan).cast("long").alias("violating_keys"),
+        F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).cast("long").alias("violating_rows"),
+        F.coalesce(F.sum(F.when(any_null, F.col("n"))), F.lit(0)).cast("long").alias("null_key_rows"),
     ).select(F.lit(fk.name).alias("constraint_name"), F.lit("orphan").alias("check_type"),
              F.lit(fk.table).alias("table_name"), F.lit(fk.ref_table).alias("ref_table"),
              "violating_keys", "violating_rows", "null_key_rows")
@@ -136,10 +140,12 @@ def check_results(tables: dict[str, DataFrame], cons: Constraints) -> DataFrame:
     parts = []
     dups = all_duplicate_keys(tables, cons)
     if dups is not None:
-        parts.append(dups.select("table_name", F.concat(F.lit("unique:"), "constraint_name").alias("check_name"),
-                                 F.col("duplicate_groups").alias("violations")))
-        parts.append(dups.select("table_name", F.concat(F.lit("not_null:"), "constraint_name").alias("check_name"),
-                                 F.col("null_key_rows").alias("violations")))
+        # one pass per key check yields both the uniqueness and the not-null result
+        parts.append(dups.select("table_name", F.inline(F.array(
+            F.struct(F.concat(F.lit("unique:"), "constraint_name").alias("check_name"),
+                     F.col("duplicate_groups").alias("violations")),
+            F.struct(F.concat(F.lit("not_null:"), "constraint_name").alias("check_name"),
+                     F.col("null_key_rows").alias("violations"))))))
     refs = all_reference_checks(tables, cons)
     if refs is not None:
         parts.append(refs.select("table_name", F.concat(F.lit("references:"), "constraint_name").alias("check_name"),
