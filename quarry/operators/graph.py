@@ -102,7 +102,7 @@ def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT
     for d in range(1, deepest + 1):
         if n == 0:
             break
-        active = (frontier.join(F.broadcast(limits), "walk").where(F.col("max_depth") >= d)
+        active = (frontier.join(limits, "walk").where(F.col("max_depth") >= d)
                   .select("walk", "graph", F.col("node").alias("frm"), "direction"))
         side = F.broadcast(active) if n <= broadcast_rows else active
         # not de-duplicated edges: the distinct on (walk, node) absorbs repeats

@@ -1,7 +1,7 @@
 """Session construction and the shared work folder.
 
 Every job that has to cut lineage or persist intermediate state writes under
-one shared folder. On a cluster that folder is ``spark.checkpoint.dir`` (or
+one shared folder. On a cluster that folder is ``spark.checkpoint.dir`` (else
 ``quarry.work.dir``); only local sessions without either fall back to a fresh
 folder under /tmp, which is what the tests use.
 """
@@ -52,24 +52,26 @@ def _is_local(spark: SparkSession) -> bool:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written tables.
+    """The shared folder for lineage cuts and written tables.
 
-    Read from the session: ``quarry.work.dir`` first, then
-    ``spark.checkpoint.dir``. A local session with neither gets a fresh
-    folder under /tmp; a cluster session with neither is a configuration
-    error, because a machine-local folder would not survive executor loss.
+    Read from the session: the cluster's ``spark.checkpoint.dir`` first (or
+    the folder already given to ``setCheckpointDir``), then
+    ``quarry.work.dir``. Only a local session with neither gets a fresh
+    folder under /tmp (tests); a cluster session with neither is a
+    configuration error, because a machine-local folder would not survive
+    executor loss.
     """
-    conf = spark.conf
-    found = conf.get(WORK_DIR_CONF, None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    found = (sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+             or spark.conf.get(WORK_DIR_CONF, None))
     if not found:
         if not _is_local(spark):
             raise RuntimeError(
                 "set spark.checkpoint.dir (a shared folder) before running quarry jobs on a cluster")
         found = tempfile.mkdtemp(prefix="quarry-work-", dir="/tmp")
     found = found.rstrip("/")
-    conf.set(WORK_DIR_CONF, found)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{found}/checkpoints")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(f"{found}/checkpoints")
     return found
 
 
