@@ -12,9 +12,10 @@ from quarry.functions.patterns import CONTENT_TAG_PREFIX, NAME_RULES, SENSITIVE_
 from quarry.operators import classify as C
 from quarry.operators import entities as E
 from quarry.operators import metadata as M
-from quarry.operators.graph import hierarchy, walk_many
+from quarry.operators.graph import hierarchy, walk, walk_many
 from quarry.operators.ingest import batch_summary, ingest_tables, raw_table_name, with_audit_columns
-from quarry.operators.lineage import cascade_soft_delete, etl_process_edges, fk_edges
+from quarry.operators.lineage import (cascade_soft_delete, etl_process_edges, fk_edges, process_edges,
+                                     process_entities)
 from quarry.plans.catalog_queries import _COLS, _IN
 from quarry.plans.declared import DRIVER_CONSTRAINTS, FOREIGN_KEYS
 from quarry.plans.entity_queries import DB, build_catalog, catalog_sql
@@ -49,7 +50,10 @@ def lineage_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, _rejects = etl_process_edges(results, catalog)
     recs = raw_tables.select(F.col("qualified_name").alias("dst_qn"),
                              F.col("attributes")["record_count"].cast("long").alias("records_extracted"))
-    return edges.join(recs, "dst_qn").select("process_qn", "src_qn", "dst_qn", "records_extracted")
+    procs = process_entities(edges).select(F.col("qualified_name").alias("process_qn"),
+                                           F.col("key").alias("process_key"))
+    return (edges.join(recs, "dst_qn").join(procs, "process_qn")
+            .select("process_qn", "process_key", "src_qn", "dst_qn", "records_extracted"))
 
 
 def _fk_edges(spark, sf_dir):
@@ -113,9 +117,20 @@ def hierarchy_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("long").alias("node_count")))
 
 
-def layered_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+PIPELINE_ANALYTICS = "analytics.tpch.customer_summary"
+
+# The pipeline's process wiring (input, process, output).
+PIPELINE_EDGES = [
+    ("source.tpch.orders", "etl.orders_to_raw", "raw.tpch.raw_orders"),
+    ("raw.tpch.raw_orders", "etl.validate_orders", "processed.tpch.processed_orders"),
+    ("processed.tpch.processed_orders", "etl.customer_aggregation", PIPELINE_ANALYTICS),
+    ("source.tpch.customer", "etl.customer_aggregation", PIPELINE_ANALYTICS),
+]
+
+
+def _run_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, VersionedTable]:
     """orders -> raw -> processed (validated) -> analytics (customer summary),
-    each stage a versioned table; returns the analytics table."""
+    each stage a versioned table; returns them by qualified name."""
     warehouse = fresh_dir(spark, "layered_pipeline")
     raw = VersionedTable(spark, warehouse, "raw_orders")
     raw.create(with_audit_columns(read_table(spark, sf_dir, "orders")), committed_at=RUN_TS)
@@ -132,15 +147,41 @@ def layered_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = customer.join(per_cust, customer["c_custkey"] == per_cust["o_custkey"]).drop("o_custkey")
     analytics = VersionedTable(spark, warehouse, "customer_summary")
     analytics.create(summary, committed_at=RUN_TS)
-    return analytics.read().drop(SNAPSHOT_COL)
+    return {"raw.tpch.raw_orders": raw, "processed.tpch.processed_orders": processed, PIPELINE_ANALYTICS: analytics}
 
 
-PIPELINE_EDGES = [
-    ("source.tpch.orders", "etl.orders_to_raw", "raw.tpch.raw_orders"),
-    ("raw.tpch.raw_orders", "etl.validate_orders", "processed.tpch.processed_orders"),
-    ("processed.tpch.processed_orders", "etl.customer_aggregation", "analytics.tpch.customer_summary"),
-    ("source.tpch.customer", "etl.customer_aggregation", "analytics.tpch.customer_summary"),
-]
+def layered_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_pipeline(spark, sf_dir)[PIPELINE_ANALYTICS].read().drop(SNAPSHOT_COL)
+
+
+def pipeline_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the pipeline, register its tables with their written row counts,
+    wire the processes (inputs[] / outputs[]), then walk upstream from the
+    analytics table: ``node, depth, record_count``."""
+    stages = _run_pipeline(spark, sf_dir)
+    written = None
+    for qn, table in stages.items():
+        part = table.log().select(F.lit(qn).alias("qualified_name"), F.col("added_rows").alias("record_count"))
+        written = part if written is None else written.unionByName(part)
+    sources = M.table_row_counts(read_tables(spark, sf_dir, ["orders", "customer"])).select(
+        F.concat(F.lit(f"source.{DB}."), "table_name").alias("qualified_name"),
+        F.col("row_count").alias("record_count"))
+    counts = written.unionByName(sources)
+    tables = E.make_entities(counts, "table", F.col("qualified_name"),
+                             F.element_at(F.split("qualified_name", r"\."), -1),
+                             attributes=F.create_map(F.lit("record_count"), F.col("record_count").cast("string")))
+    wiring = spark.createDataFrame(PIPELINE_EDGES, "src_qn string, process_qn string, dst_qn string")
+    edges = process_edges(process_entities(wiring).select(
+        F.col("qualified_name").alias("process_qn"),
+        F.split(F.col("attributes")["inputs"], ",").alias("inputs"),
+        F.split(F.col("attributes")["outputs"], ",").alias("outputs")))
+    known = tables.select("qualified_name")
+    guarded = (edges.join(known.withColumnRenamed("qualified_name", "src_qn"), "src_qn", "left_semi")
+               .join(known.withColumnRenamed("qualified_name", "dst_qn"), "dst_qn", "left_semi"))
+    start = spark.createDataFrame([(PIPELINE_ANALYTICS,)], "node string")
+    walked = walk(guarded.select(F.col("src_qn").alias("src"), F.col("dst_qn").alias("dst")), start, "IN", 3)
+    return (walked.join(counts.withColumnRenamed("qualified_name", "node"), "node", "left")
+            .select("node", F.col("depth").cast("int").alias("depth"), "record_count"))
 
 
 # ------------------------------------------------------------ classification
@@ -230,6 +271,7 @@ QUERIES = {
     "lineage_walk": lineage_walk,
     "hierarchy_walk": hierarchy_walk,
     "layered_pipeline": layered_pipeline,
+    "pipeline_lineage": pipeline_lineage,
     "classify_columns": classify_columns,
     "tag_search": tag_search,
     "sensitive_scan": sensitive_scan,
@@ -328,7 +370,8 @@ UNION ALL SELECT 4, 'lineitem', count(*) FILTER (WHERE l_orderkey IN (SELECT k F
 
 ORACLE = {
     "lineage_processes": f"""
-        SELECT 'etl.tpch_to_raw_' || t AS process_qn, 'source.tpch.' || t AS src_qn, 'raw.tpch.' || t AS dst_qn,
+        SELECT 'etl.tpch_to_raw_' || t AS process_qn, sha256('etl.tpch_to_raw_' || t) AS process_key,
+               'source.tpch.' || t AS src_qn, 'raw.tpch.' || t AS dst_qn,
                CAST(n AS BIGINT) AS records_extracted
         FROM ({_counts(INGEST_SET)})""",
     "lineage_fk_edges": f"SELECT * FROM {_fk_edges_sql()}",
@@ -355,6 +398,20 @@ ORACLE = {
         FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
         WHERE o.o_totalprice > 0 AND o.o_orderstatus IN ('F', 'O', 'P')
         GROUP BY c.c_custkey, c.c_name, c.c_mktsegment""",
+    "pipeline_lineage": f"""
+        WITH RECURSIVE e(src, dst) AS (VALUES {", ".join(f"('{a}', '{c}')" for a, _b, c in PIPELINE_EDGES)}),
+        w(node, depth) AS (SELECT '{PIPELINE_ANALYTICS}', 0 UNION
+                           SELECT e.src, w.depth + 1 FROM w JOIN e ON e.dst = w.node WHERE w.depth < 3),
+        valid AS (SELECT * FROM orders WHERE o_totalprice > 0 AND o_orderstatus IN ('F', 'O', 'P')),
+        c(node, record_count) AS (
+          SELECT 'source.tpch.orders', count(*) FROM orders UNION ALL
+          SELECT 'source.tpch.customer', count(*) FROM customer UNION ALL
+          SELECT 'raw.tpch.raw_orders', count(*) FROM orders UNION ALL
+          SELECT 'processed.tpch.processed_orders', count(*) FROM valid UNION ALL
+          SELECT '{PIPELINE_ANALYTICS}', count(*) FROM customer
+            WHERE c_custkey IN (SELECT o_custkey FROM valid))
+        SELECT w.node, CAST(min(w.depth) AS INTEGER) AS depth, c.record_count
+        FROM w LEFT JOIN c ON c.node = w.node GROUP BY w.node, c.record_count""",
     "classify_columns": _name_tags_sql() + " UNION ALL " + _content_tags_sql(),
     "tag_search": f"""
         WITH cat AS {catalog_sql()},
