@@ -193,6 +193,32 @@ def soft_delete(entities: DataFrame, keys: DataFrame, version: int | None = None
     return out.drop("_del").select(*entities.columns)
 
 
+def cleanup(entities: DataFrame, order=("column", "table", "db")):
+    """Hierarchical cleanup: soft-delete ACTIVE entities type by type (children
+    before parents), then everything left.
+
+    Returns ``(cleaned, report)``; the report has one row per step with the
+    entities deleted in it and the ACTIVE entities remaining after it, from
+    one aggregate over the input (steps are a handful of rows, so the running
+    total is a window over that small result).
+    """
+    from pyspark.sql import Window
+    step = F.lit(len(order) + 1)
+    scope = F.lit("rest")
+    for i, t in reversed(list(enumerate(order))):
+        step = F.when(F.col("type_name") == t, F.lit(i + 1)).otherwise(step)
+        scope = F.when(F.col("type_name") == t, F.lit(t)).otherwise(scope)
+    active = entities.where(F.col("status") == ACTIVE)
+    per_step = active.groupBy(step.alias("step"), scope.alias("scope")).agg(
+        F.count(F.lit(1)).cast("long").alias("deleted"))
+    total = F.sum("deleted").over(Window.partitionBy(F.lit(1)))
+    done = F.sum("deleted").over(Window.partitionBy(F.lit(1)).orderBy("step")
+                                 .rowsBetween(Window.unboundedPreceding, 0))
+    report = per_step.select("step", "scope", "deleted", (total - done).cast("long").alias("remaining_active"))
+    cleaned = entities.withColumn("status", F.lit(DELETED))
+    return cleaned, report
+
+
 def search(entities: DataFrame, query: str = "*", type_name: str | None = None, limit: int | None = None,
            active_only: bool = True) -> DataFrame:
     """Free-text search (case-insensitive substring of name / qualified name /

@@ -145,6 +145,16 @@ def entity_active_counts(spark, sf_dir):
     return E.active_counts(replaced_catalog(spark, sf_dir))
 
 
+def catalog_cleanup(spark, sf_dir):
+    """Columns, then tables, then databases, then the rest; a final row
+    re-counts ACTIVE entities on the cleaned catalog (expected 0)."""
+    cleaned, report = E.cleanup(build_catalog(spark, sf_dir))
+    check = cleaned.agg(F.count_if(F.col("status") == E.ACTIVE).cast("long").alias("remaining_active")).select(
+        F.lit(99).alias("step"), F.lit("verify").alias("scope"), F.lit(0).cast("long").alias("deleted"),
+        "remaining_active")
+    return report.unionByName(check).withColumn("step", F.col("step").cast("int"))
+
+
 REPORT_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True)
                               for n in ["guid", "type_name", "name", "description"]])
 
@@ -190,6 +200,7 @@ QUERIES = {
     "entity_upsert": entity_upsert,
     "entity_replace": entity_replace,
     "entity_active_counts": entity_active_counts,
+    "catalog_cleanup": catalog_cleanup,
     "discovery_report": discovery_report,
     "discovery_stats": discovery_stats,
 }
@@ -358,6 +369,16 @@ ORACLE = {
                count(*) FILTER (WHERE status <> 'ACTIVE') AS deleted,
                count(*) AS total
         FROM replaced""",
+    "catalog_cleanup": f"""
+        WITH cat AS {catalog_sql()},
+        s AS (SELECT CASE type_name WHEN 'column' THEN 1 WHEN 'table' THEN 2 WHEN 'db' THEN 3 ELSE 4 END AS step,
+                     CASE WHEN type_name IN ('column', 'table', 'db') THEN type_name ELSE 'rest' END AS scope,
+                     count(*) AS deleted
+              FROM cat WHERE status = 'ACTIVE' GROUP BY ALL)
+        SELECT CAST(step AS INTEGER) AS step, scope, deleted,
+               CAST(sum(deleted) OVER () - sum(deleted) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING
+                    AND CURRENT ROW) AS BIGINT) AS remaining_active FROM s
+        UNION ALL SELECT 99, 'verify', CAST(0 AS BIGINT), CAST(0 AS BIGINT)""",
     "discovery_report": f"""
         SELECT key AS guid, coalesce(type_name, 'unknown') AS type_name, coalesce(name, 'N/A') AS name,
                coalesce(description, 'N/A') AS description FROM {catalog_sql()}""",
