@@ -237,6 +237,19 @@ def search(entities: DataFrame, query: str = "*", type_name: str | None = None,
     return out.limit(limit) if limit is not None else out
 
 
+def search_texts(entities: DataFrame, texts: DataFrame, qn: Column, text_col: str, query: str,
+                 limit: int | None = None) -> DataFrame:
+    """Free-text search over the *content* behind asset entities: rows of
+    ``texts`` whose whole ``text_col`` contains ``query`` (case-insensitive)
+    select their entity (``qn`` maps a row to its qualified name)."""
+    from quarry.sources.tables import spread
+    hits = (spread(texts).where(F.lower(F.col(text_col)).contains(query.lower()))
+            .select(entity_key(qn).alias("key")))
+    out = (entities.where(F.col("status") == ACTIVE).join(hits, "key", "left_semi")
+           .orderBy("qualified_name"))
+    return out.limit(limit) if limit is not None else out
+
+
 def get(entities: DataFrame, keys: list[str]) -> DataFrame:
     """Point read by id (an equality / IN filter on the key)."""
     return entities.where(F.col("key").isin(keys))

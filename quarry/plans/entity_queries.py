@@ -66,6 +66,17 @@ def entity_search(spark, sf_dir):
     return E.flat(E.search(build_catalog(spark, sf_dir), "order", limit=200))
 
 
+TEXT_QUERY = "license"
+
+
+def document_search(spark, sf_dir):
+    """Documents whose text mentions the query, as catalog entities (page size 200)."""
+    docs = read_tables(spark, sf_dir, ["documents"])["documents"]
+    qn = F.concat(F.lit(f"asset.{DB}.document."), F.col("doc_id").cast("string"))
+    return (E.search_texts(build_catalog(spark, sf_dir), docs, qn, "text", TEXT_QUERY, limit=200)
+            .select("type_name", "qualified_name", "name", "description"))
+
+
 def entity_type_counts(spark, sf_dir):
     return E.type_counts(build_catalog(spark, sf_dir))
 
@@ -192,6 +203,7 @@ QUERIES = {
     "entity_json_roundtrip": entity_json_roundtrip,
     "entity_get": entity_get,
     "entity_search": entity_search,
+    "document_search": document_search,
     "entity_type_counts": entity_type_counts,
     "discover_tables": discover_tables,
     "table_schema": table_schema,
@@ -331,6 +343,11 @@ ORACLE = {
           contains(lower(name), 'order') OR contains(lower(qualified_name), 'order')
           OR contains(lower(coalesce(description, '')), 'order'))
         ORDER BY qualified_name LIMIT 200""",
+    "document_search": f"""
+        SELECT type_name, qualified_name, name, description FROM {catalog_sql()}
+        WHERE status = 'ACTIVE' AND qualified_name IN (
+          SELECT 'asset.tpch.document.' || doc_id FROM documents WHERE contains(lower(text), '{TEXT_QUERY}'))
+        ORDER BY qualified_name LIMIT 200""",
     "entity_type_counts": f"""
         SELECT coalesce(type_name, 'unknown') AS type_name, count(*) AS entity_count, min(key) AS first_key
         FROM {catalog_sql()} WHERE status = 'ACTIVE' GROUP BY 1""",
