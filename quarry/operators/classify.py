@@ -11,6 +11,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from quarry.functions.frames import union_all
 from pyspark.sql import types as T
 
 from quarry.functions.patterns import CONTENT_TAG_PREFIX, NAME_RULES, SENSITIVE_PATTERNS
@@ -18,7 +20,7 @@ from quarry.sources.tables import spread
 
 
 def _union(frames):
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return union_all(frames)
 
 
 def name_tags(columns: DataFrame, rules=NAME_RULES) -> DataFrame:

@@ -15,6 +15,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from quarry.functions.frames import union_all
 from pyspark.sql import types as T
 
 from quarry.functions.names import entity_key, qualified_name
@@ -69,7 +71,7 @@ def make_entities(df: DataFrame, type_name, qn: Column, name: Column, parent_qn=
 
 
 def union_entities(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return union_all(frames)
 
 
 # ---------------------------------------------------------------- builders

@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from quarry.functions.frames import union_all
+
 from quarry.session import fresh_dir
 from quarry.sources.tables import spread
 
@@ -37,7 +39,7 @@ def _materialize(df: DataFrame):
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return union_all(frames)
 
 
 def _join_frontier(frontier: DataFrame, n: int, big: DataFrame, on, broadcast_rows: int) -> DataFrame:

@@ -14,28 +14,33 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.frames import sql_id, sql_str, union_all
+
 from quarry.operators.metadata import Constraints, ForeignKey
 
 
 def _union_all(frames: list[DataFrame]) -> DataFrame | None:
     """Union of the frames; None when there is nothing to check."""
-    return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
+    return union_all(frames)
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+# The builders below write their aggregates as SQL expressions: one
+# expression string is one call into the JVM, which keeps driver-side planning
+# short when a check spans dozens of tables and hundreds of columns.
+
+
 def null_profile(df: DataFrame, table: str) -> DataFrame:
     """``table_name, column_name, row_count, null_count`` for every column, one pass."""
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count_if(_q(c).isNull()).alias(f"__n{i}") for i, c in enumerate(df.columns)]
-    one = df.agg(*aggs)
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__n{i}").cast("long").alias("null_count"))
-                      for i, c in enumerate(df.columns)])
-    return (one.select(F.lit(table).alias("table_name"), F.col("__rows").cast("long").alias("row_count"),
-                       F.inline(cells))
-            .select("table_name", "column_name", "row_count", "null_count"))
+    aggs = ["count(1) AS __rows"] + [f"count_if({sql_id(c)} IS NULL) AS __n{i}" for i, c in enumerate(df.columns)]
+    one = df.agg(*[F.expr(a) for a in aggs])
+    cells = ", ".join(f"named_struct('column_name', {sql_str(c)}, 'null_count', CAST(__n{i} AS BIGINT))"
+                      for i, c in enumerate(df.columns))
+    return one.selectExpr(f"{sql_str(table)} AS table_name", "CAST(__rows AS BIGINT) AS row_count",
+                          f"inline(array({cells}))").select("table_name", "column_name", "row_count", "null_count")
 
 
 def length_profile(df: DataFrame, table: str, limits: dict[str, int]) -> DataFrame:
@@ -43,15 +48,14 @@ def length_profile(df: DataFrame, table: str, limits: dict[str, int]) -> DataFra
     cols = list(limits)
     aggs = []
     for i, c in enumerate(cols):
-        aggs.append(F.max(F.length(_q(c))).alias(f"__m{i}"))
-        aggs.append(F.count_if(F.length(_q(c)) > limits[c]).alias(f"__o{i}"))
-    one = df.agg(*aggs)
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                               F.coalesce(F.col(f"__m{i}"), F.lit(0)).cast("int").alias("max_length"),
-                               F.lit(limits[c]).cast("int").alias("declared_length"),
-                               F.col(f"__o{i}").cast("long").alias("over_limit"))
-                      for i, c in enumerate(cols)])
-    return one.select(F.lit(table).alias("table_name"), F.inline(cells))
+        aggs.append(f"max(length({sql_id(c)})) AS __m{i}")
+        aggs.append(f"count_if(length({sql_id(c)}) > {int(limits[c])}) AS __o{i}")
+    one = df.agg(*[F.expr(a) for a in aggs])
+    cells = ", ".join(
+        f"named_struct('column_name', {sql_str(c)}, 'max_length', CAST(coalesce(__m{i}, 0) AS INT), "
+        f"'declared_length', CAST({int(limits[c])} AS INT), 'over_limit', CAST(__o{i} AS BIGINT))"
+        for i, c in enumerate(cols))
+    return one.selectExpr(f"{sql_str(table)} AS table_name", f"inline(array({cells}))")
 
 
 def duplicate_keys(df: DataFrame, table: str, keys: tuple[str, ...], name: str) -> DataFrame:
@@ -59,15 +63,15 @@ def duplicate_keys(df: DataFrame, table: str, keys: tuple[str, ...], name: str)
 
     One shuffle on the key (after partial aggregation) answers all three.
     """
-    any_null = reduce(lambda a, b: a | b, [_q(k).isNull() for k in keys])
-    groups = df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("n")).withColumn("_null", any_null)
-    dup = (F.col("n") > 1) & ~F.col("_null")
+    any_null = " OR ".join(f"{sql_id(k)} IS NULL" for k in keys)
+    groups = (df.groupBy(*[_q(k) for k in keys]).agg(F.expr("count(1) AS n"))
+              .selectExpr("n", f"({any_null}) AS _null"))
     return groups.agg(
-        F.count_if(dup).cast("long").alias("duplicate_groups"),
-        F.coalesce(F.sum(F.when(dup, F.col("n"))), F.lit(0)).cast("long").alias("duplicate_rows"),
-        F.coalesce(F.sum(F.when(F.col("_null"), F.col("n"))), F.lit(0)).cast("long").alias("null_key_rows"),
-    ).select(F.lit(name).alias("constraint_name"), F.lit(table).alias("table_name"),
-             F.lit(",".join(keys)).alias("key_columns"), "duplicate_groups", "duplicate_rows", "null_key_rows")
+        F.expr("CAST(count_if(n > 1 AND NOT _null) AS BIGINT) AS duplicate_groups"),
+        F.expr("CAST(coalesce(sum(IF(n > 1 AND NOT _null, n, NULL)), 0) AS BIGINT) AS duplicate_rows"),
+        F.expr("CAST(coalesce(sum(IF(_null, n, NULL)), 0) AS BIGINT) AS null_key_rows"),
+    ).selectExpr(f"{sql_str(name)} AS constraint_name", f"{sql_str(table)} AS table_name",
+                 f"{sql_str(','.join(keys))} AS key_columns", "duplicate_groups", "duplicate_rows", "null_key_rows")
 
 
 def _keys(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
@@ -86,18 +90,18 @@ def orphan_references(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> Da
     paired by ordinal position.
     """
     names = [f"_k{i}" for i in range(len(fk.columns))]
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in names])
-    per_key = _keys(child, fk.columns).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    any_null = " OR ".join(f"{k} IS NULL" for k in names)
+    per_key = _keys(child, fk.columns).groupBy(*names).agg(F.expr("count(1) AS n"))
     parent_keys = _keys(parent, fk.ref_columns).distinct().withColumn("_found", F.lit(True))
-    joined = per_key.join(parent_keys, names, "left")
-    orphan = ~any_null & F.col("_found").isNull()
+    joined = per_key.join(parent_keys, names, "left").selectExpr(
+        "n", f"({any_null}) AS _null", f"NOT ({any_null}) AND _found IS NULL AS _orphan")
     return joined.agg(
-        F.count_if(orphan).cast("long").alias("violating_keys"),
-        F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).cast("long").alias("violating_rows"),
-        F.coalesce(F.sum(F.when(any_null, F.col("n"))), F.lit(0)).cast("long").alias("null_key_rows"),
-    ).select(F.lit(fk.name).alias("constraint_name"), F.lit("orphan").alias("check_type"),
-             F.lit(fk.table).alias("table_name"), F.lit(fk.ref_table).alias("ref_table"),
-             "violating_keys", "violating_rows", "null_key_rows")
+        F.expr("CAST(count_if(_orphan) AS BIGINT) AS violating_keys"),
+        F.expr("CAST(coalesce(sum(IF(_orphan, n, NULL)), 0) AS BIGINT) AS violating_rows"),
+        F.expr("CAST(coalesce(sum(IF(_null, n, NULL)), 0) AS BIGINT) AS null_key_rows"),
+    ).selectExpr(f"{sql_str(fk.name)} AS constraint_name", "'orphan' AS check_type",
+                 f"{sql_str(fk.table)} AS table_name", f"{sql_str(fk.ref_table)} AS ref_table",
+                 "violating_keys", "violating_rows", "null_key_rows")
 
 
 def unreferenced_parents(child: DataFrame, parent: DataFrame, fk: ForeignKey, check_name: str) -> DataFrame:
