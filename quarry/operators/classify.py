@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.frames import union_all
+from quarry.functions.frames import sql_id, sql_str, union_all
 from pyspark.sql import types as T
 
 from quarry.functions.patterns import CONTENT_TAG_PREFIX, NAME_RULES, SENSITIVE_PATTERNS
@@ -35,7 +35,11 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def content_tags(tables: dict[str, DataFrame], patterns=SENSITIVE_PATTERNS) -> DataFrame:
-    """Columns holding at least one value that matches a sensitive pattern."""
+    """Columns holding at least one value that matches a sensitive pattern.
+
+    One aggregate pass per table over all its string columns and patterns;
+    the aggregates are SQL expression strings (one JVM call each).
+    """
     frames = []
     for t, df in tables.items():
         cols = string_columns(df)
@@ -44,13 +48,11 @@ def content_tags(tables: dict[str, DataFrame], patterns=SENSITIVE_PATTERNS) -> D
         cells, aggs = [], []
         for i, c in enumerate(cols):
             for j, (pname, rx) in enumerate(patterns.items()):
-                alias = f"__h{i}_{j}"
-                aggs.append(F.count_if(F.col(f"`{c}`").rlike(rx)).alias(alias))
-                cells.append(F.struct(F.lit(c).alias("column_name"),
-                                      F.lit(CONTENT_TAG_PREFIX + pname).alias("tag"),
-                                      F.col(alias).cast("long").alias("hits")))
-        one = spread(df.select(*[F.col(f"`{c}`") for c in cols])).agg(*aggs)
-        frames.append(one.select(F.lit(t).alias("table_name"), F.inline(F.array(*cells))))
+                aggs.append(F.expr(f"count_if({sql_id(c)} RLIKE {sql_str(rx)}) AS __h{i}_{j}"))
+                cells.append(f"named_struct('column_name', {sql_str(c)}, "
+                             f"'tag', {sql_str(CONTENT_TAG_PREFIX + pname)}, 'hits', CAST(__h{i}_{j} AS BIGINT))")
+        one = spread(df.select(*[F.col(sql_id(c)) for c in cols])).agg(*aggs)
+        frames.append(one.selectExpr(f"{sql_str(t)} AS table_name", f"inline(array({', '.join(cells)}))"))
     hits = _union(frames)
     return (hits.where(F.col("hits") > 0).select("table_name", "column_name", "tag")
             .withColumn("basis", F.lit("content")))
@@ -67,21 +69,19 @@ def sensitive_scan(texts: dict[str, tuple[DataFrame, str]], patterns=SENSITIVE_P
     pass with every pattern counted over the whole text.
     """
     frames = []
+    names = list(patterns)
     for t, (df, col) in texts.items():
-        names = list(patterns)
-        counted = spread(df.select(col)).select(
-            *[F.regexp_count(F.col(col), F.lit(patterns[p])).alias(f"__n{j}") for j, p in enumerate(names)])
-        aggs = [F.count(F.lit(1)).alias("__rows")]
+        counted = spread(df.select(col)).selectExpr(
+            *[f"regexp_count({sql_id(col)}, {sql_str(patterns[p])}) AS __n{j}" for j, p in enumerate(names)])
+        aggs = ["count(1) AS __rows"]
         cells = []
         for j, pname in enumerate(names):
-            aggs.append(F.count_if(F.col(f"__n{j}") > 0).alias(f"__r{j}"))
-            aggs.append(F.coalesce(F.sum(f"__n{j}"), F.lit(0)).alias(f"__m{j}"))
-            cells.append(F.struct(F.lit(pname).alias("pattern"),
-                                  F.col(f"__r{j}").cast("long").alias("rows_with_match"),
-                                  F.col(f"__m{j}").cast("long").alias("match_count")))
-        one = counted.agg(*aggs)
-        frames.append(one.select(F.lit(t).alias("table_name"), F.col("__rows").cast("long").alias("rows_scanned"),
-                                 F.inline(F.array(*cells))))
+            aggs += [f"count_if(__n{j} > 0) AS __r{j}", f"coalesce(sum(__n{j}), 0) AS __m{j}"]
+            cells.append(f"named_struct('pattern', {sql_str(pname)}, 'rows_with_match', CAST(__r{j} AS BIGINT), "
+                         f"'match_count', CAST(__m{j} AS BIGINT))")
+        one = counted.agg(*[F.expr(a) for a in aggs])
+        frames.append(one.selectExpr(f"{sql_str(t)} AS table_name", "CAST(__rows AS BIGINT) AS rows_scanned",
+                                     f"inline(array({', '.join(cells)}))"))
     return _union(frames)
 
 
