@@ -2,19 +2,24 @@
 
 Both walks are breadth-first rounds of joins. Each round's frontier is
 written as a Parquet table into the shared work folder (reliable, survives
-executor loss, cuts the lineage) and counted by an observation on that same
-write job, so the round's plan runs exactly once. The frontier's row count
-decides the next join: a frontier at or below ``broadcast_rows`` is broadcast so the big edge table is
-streamed without a shuffle (and a hot node cannot skew a shuffle partition);
-a larger frontier uses a shuffle join, where AQE splits skewed partitions.
+executor loss, cuts the lineage) and measured by an observation on that same
+write job (rows and in-memory bytes), so the round's plan runs exactly once.
+The measured size decides the next join: a frontier within both
+``broadcast_rows`` and ``broadcast_bytes`` is broadcast so the big edge table
+is streamed without a shuffle (and a hot node cannot skew a shuffle
+partition); a larger frontier uses a shuffle join, where AQE splits skewed
+partitions.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.frames import union_all
 
@@ -22,28 +27,61 @@ from quarry.session import fresh_dir
 from quarry.sources.tables import spread
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+_VAR_WIDTH = (T.StringType, T.BinaryType)
+
+
+class Materialized(NamedTuple):
+    frame: DataFrame
+    rows: int
+    bytes: int
 
 
-def _materialize(df: DataFrame):
-    """(frame read back from a written table, row count), from one write job.
+def _row_bytes(df: DataFrame):
+    """Per-row size as Spark holds it in memory (UnsafeRow): an 8-byte header,
+    8 bytes per field, plus the variable-length payload of string / binary
+    fields rounded up to 8 bytes. Nested types count their default size."""
+    fixed = 8 + 8 * len(df.schema.fields)
+    var = [F.coalesce(F.ceil(F.octet_length(F.col(f"`{f.name}`")) / 8) * 8, F.lit(0))
+           for f in df.schema.fields if isinstance(f.dataType, _VAR_WIDTH)]
+    nested = sum(f.dataType.defaultSize() for f in df.schema.fields
+                 if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)))
+    size = F.lit(fixed + nested)
+    for v in var:
+        size = size + v
+    return size
+
+
+def _materialize(df: DataFrame) -> Materialized:
+    """The frame read back from a written table, with its measured rows and
+    in-memory bytes, all from one write job.
 
     Unlike ``checkpoint(eager=True)``, which runs the plan once to count and
     again to write, the write computes the plan once and the observation
-    counts its rows on the way out.
+    measures its rows on the way out.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, "rounds")
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])
+    (df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
+     .write.mode("overwrite").parquet(path))
+    got = seen.get
+    return Materialized(spark.read.schema(df.schema).parquet(path), int(got["rows"]), int(got["bytes"] or 0))
+
+
+def broadcastable(m: Materialized, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when a measured side is small enough to ship to every executor."""
+    return m.rows <= broadcast_rows and m.bytes <= broadcast_bytes
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return union_all(frames)
 
 
-def _join_frontier(frontier: DataFrame, n: int, big: DataFrame, on, broadcast_rows: int) -> DataFrame:
-    side = F.broadcast(frontier) if n <= broadcast_rows else frontier
+def _join_frontier(frontier: DataFrame, small: bool, big: DataFrame, on) -> DataFrame:
+    side = F.broadcast(frontier) if small else frontier
     return big.join(side, on)
 
 
@@ -65,17 +103,19 @@ def adjacency(edges: DataFrame, direction: str = "OUT", src: str = "src", dst: s
 
 
 def walk(edges: DataFrame, start: DataFrame, direction: str = "BOTH", max_depth: int = 3,
-         src: str = "src", dst: str = "dst", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+         src: str = "src", dst: str = "dst", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+         broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Nodes reachable from ``start`` (column ``node``) within ``max_depth``
     steps, with their minimum depth (start nodes have depth 0)."""
     starts = (start.select("node").distinct()
               .select(F.lit("w").alias("walk"), F.lit("g").alias("graph"), "node",
                       F.lit(direction.upper()).alias("direction"), F.lit(max_depth).alias("max_depth")))
     g = edges.select(F.lit("g").alias("graph"), F.col(src).alias("src"), F.col(dst).alias("dst"))
-    return walk_many(g, starts, broadcast_rows).select("node", "depth")
+    return walk_many(g, starts, broadcast_rows, broadcast_bytes).select("node", "depth")
 
 
-def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+              broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Several walks in one breadth-first loop.
 
     ``edges``: ``graph, src, dst``; ``starts``: ``walk, graph, node, direction,
@@ -95,29 +135,32 @@ def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT
     edges = edges.select("graph", "src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     if deepest > 1:
         # every round reads the edges again: derive them once and keep them as a table
-        edges, _ = _materialize(spread(edges))
+        edges = _materialize(spread(edges)).frame
     out = edges.select("graph", F.col("src").alias("frm"), F.col("dst").alias("to"), F.lit("OUT").alias("dir"))
     inn = edges.select("graph", F.col("dst").alias("frm"), F.col("src").alias("to"), F.lit("IN").alias("dir"))
     adj = out.unionByName(inn)
-    frontier, n = _materialize(starts.select("walk", "node").distinct().withColumn("depth", F.lit(0)))
-    levels = [frontier]  # materialized levels: their union has a short lineage
+    m = _materialize(starts.select("walk", "node").distinct().withColumn("depth", F.lit(0)))
+    levels = [m.frame]  # materialized levels: their union has a short lineage
     for d in range(1, deepest + 1):
-        if n == 0:
+        if m.rows == 0:
             break
-        active = (frontier.join(limits, "walk").where(F.col("max_depth") >= d)
+        active = (m.frame.join(limits, "walk").where(F.col("max_depth") >= d)
                   .select("walk", "graph", F.col("node").alias("frm"), "direction"))
-        side = F.broadcast(active) if n <= broadcast_rows else active
+        # the probe side is the measured frontier plus two short per-walk strings
+        small = broadcastable(Materialized(active, m.rows, m.bytes + 32 * m.rows), broadcast_rows, broadcast_bytes)
+        side = F.broadcast(active) if small else active
         # not de-duplicated edges: the distinct on (walk, node) absorbs repeats
         reached = (adj.join(side, ["graph", "frm"])
                    .where((F.col("direction") == "BOTH") | (F.col("direction") == F.col("dir")))
                    .select("walk", F.col("to").alias("node")).distinct())
         visited = _union(levels).select("walk", "node")
-        frontier, n = _materialize(reached.join(visited, ["walk", "node"], "left_anti").withColumn("depth", F.lit(d)))
-        levels.append(frontier)
+        m = _materialize(reached.join(visited, ["walk", "node"], "left_anti").withColumn("depth", F.lit(d)))
+        levels.append(m.frame)
     return _union(levels)
 
 
-def hierarchy(nodes: DataFrame, max_depth: int = 64, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def hierarchy(nodes: DataFrame, max_depth: int = 64, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+              broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Top-down walk of a parent-pointer forest.
 
     ``nodes`` has ``node, parent, kind``; roots have a null parent. Returns
@@ -125,15 +168,17 @@ def hierarchy(nodes: DataFrame, max_depth: int = 64, broadcast_rows: int = DEFAU
     node has one parent, so every node is reached once; nodes on a pointer
     cycle, or under a missing parent, are never reached.
     """
-    level, n = _materialize(nodes.where(F.col("parent").isNull())
-                            .select("node", "kind", F.col("node").alias("root"), F.lit(0).alias("depth")))
-    levels = [level]
+    m = _materialize(nodes.where(F.col("parent").isNull())
+                     .select("node", "kind", F.col("node").alias("root"), F.lit(0).alias("depth")))
+    levels = [m.frame]
     for d in range(1, max_depth + 1):
-        if n == 0:
+        if m.rows == 0:
             break
-        parents = level.select(F.col("node").alias("parent"), "root")
-        children = (_join_frontier(parents, n, nodes.where(F.col("parent").isNotNull()), "parent", broadcast_rows)
+        # the probe side is a projection of the measured level, so the measure bounds it
+        parents = m.frame.select(F.col("node").alias("parent"), "root")
+        small = broadcastable(m, broadcast_rows, broadcast_bytes)
+        children = (_join_frontier(parents, small, nodes.where(F.col("parent").isNotNull()), "parent")
                     .select("node", "kind", "root", F.lit(d).alias("depth")))
-        level, n = _materialize(children)
-        levels.append(level)
+        m = _materialize(children)
+        levels.append(m.frame)
     return _union(levels)

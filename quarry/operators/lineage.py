@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators import entities as E
-from quarry.operators.graph import DEFAULT_BROADCAST_ROWS, _materialize
+from quarry.operators.graph import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, _materialize, broadcastable
 
 EDGE_COLUMNS = ["src_qn", "process_qn", "dst_qn"]
 
@@ -72,22 +72,25 @@ def fk_edges(fk_columns: DataFrame, entities: DataFrame, db_prefix: str = "sourc
             .select(*EDGE_COLUMNS))
 
 
-def cascade_soft_delete(levels, root_filter, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def cascade_soft_delete(levels, root_filter, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                        broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Soft-delete a root selection and everything under it, level by level.
 
     ``levels`` is a list of ``(table_name, df, key_col, parent_col)``; level 0
     is filtered by ``root_filter`` and each later level is the semi-join of its
     ``parent_col`` with the previous level's deleted keys. Deleted keys are
-    de-duplicated and checkpointed per level (the next level's join input).
+    de-duplicated and written per level (the next level's join input); the
+    written keys are broadcast only when their measured rows and bytes are
+    within the bounds, else the level is a shuffle join.
     Returns ``level, table_name, deleted_rows, remaining_rows``.
     """
     out = []
-    prev, n = None, 0
+    prev = None
     for i, (name, df, key, parent) in enumerate(levels):
         if i == 0:
             marked = df.withColumn("_hit", root_filter)
         else:
-            keys = F.broadcast(prev) if n <= broadcast_rows else prev
+            keys = F.broadcast(prev.frame) if broadcastable(prev, broadcast_rows, broadcast_bytes) else prev.frame
             marked = (df.join(keys.withColumnRenamed("_k", parent).withColumn("_m", F.lit(True)), parent, "left")
                       .withColumn("_hit", F.coalesce("_m", F.lit(False))))
         out.append(marked.agg(F.count_if("_hit").cast("long").alias("deleted_rows"),
@@ -95,7 +98,7 @@ def cascade_soft_delete(levels, root_filter, broadcast_rows: int = DEFAULT_BROAD
                    .select(F.lit(i).alias("level"), F.lit(name).alias("table_name"),
                            "deleted_rows", "remaining_rows"))
         if key is not None and i + 1 < len(levels):
-            prev, n = _materialize(marked.where("_hit").select(F.col(key).alias("_k")).distinct())
+            prev = _materialize(marked.where("_hit").select(F.col(key).alias("_k")).distinct())
     result = out[0]
     for o in out[1:]:
         result = result.unionByName(o)

@@ -53,9 +53,10 @@ def raw_create_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = with_audit_columns(read_table(spark, sf_dir, "customer"))
     table = VersionedTable(spark, fresh_dir(spark, "raw_create_append"), "raw_customer")
     table.create_if_not_exists(customer.schema)  # declares, no snapshot
-    table.create_or_append(customer.where(F.col("c_acctbal") >= 0), committed_at=RUN_TS, batch_id="b1")
-    table.create_or_append(customer.where(~(F.col("c_acctbal") >= 0)), committed_at=RUN_TS, batch_id="b2")
-    table.create_or_append(customer.where(F.col("c_acctbal") >= 0), committed_at=RUN_TS, batch_id="b1")  # replay: no-op
+    first = F.coalesce(F.col("c_acctbal") >= 0, F.lit(False))  # every row lands in exactly one batch
+    table.create_or_append(customer.where(first), committed_at=RUN_TS, batch_id="b1")
+    table.create_or_append(customer.where(~first), committed_at=RUN_TS, batch_id="b2")
+    table.create_or_append(customer.where(first), committed_at=RUN_TS, batch_id="b1")  # replay: no-op
     return table.read()
 
 

@@ -166,15 +166,23 @@ class VersionedTable:
         self._log_cache = (self._log_cache or []) + [(sid, batch_id)]
         return sid
 
-    def append_batches(self, df: DataFrame, batch_col: str, committed_at_for=None) -> list[int]:
+    def append_batches(self, df: DataFrame, batch_col: str, committed_at_for=None,
+                       max_batches: int = 10_000) -> list[int]:
         """One snapshot per distinct ``batch_col`` value, ascending, written in one job.
 
         Backfills (e.g. one snapshot per year) scan the source once: rows get
         their snapshot id from a broadcast of the small value->id map and are
         written with dynamic partition overwrite, so only the new snapshot
         folders are touched. The log rows for all batches land in one file.
+        The value list is the only thing that reaches the driver, so its size
+        is checked: more than ``max_batches`` distinct values is refused (a
+        batch column is a coarse grain such as a day or a year, never a key).
         """
-        values = [r[0] for r in df.select(batch_col).distinct().orderBy(batch_col).collect()]
+        values = [r[0] for r in df.select(batch_col).distinct().orderBy(batch_col)
+                  .limit(max_batches + 1).collect()]
+        if len(values) > max_batches:
+            raise ValueError(f"{self.name}: {batch_col} has more than {max_batches} distinct values; "
+                             "use a coarser batch column")
         if not values:
             return []
         first_op = "append" if self.exists() else "create"
@@ -184,7 +192,7 @@ class VersionedTable:
         ids = {v: base + i + 1 for i, v in enumerate(values)}
         mapping = self.spark.createDataFrame([(v, s) for v, s in ids.items()],
                                              f"_batch {df.schema[batch_col].dataType.simpleString()}, {SNAPSHOT_COL} long")
-        body =df.join(F.broadcast(mapping), df[batch_col] == mapping["_batch"]).drop(batch_col, "_batch")
+        body = df.join(F.broadcast(mapping), df[batch_col] == mapping["_batch"]).drop(batch_col, "_batch")
         schema = self.schema()
         body = body.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], SNAPSHOT_COL)
         (body.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

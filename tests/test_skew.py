@@ -56,3 +56,26 @@ def test_cascade_hot_parent_shuffle_join(spark):
     got = {r["table_name"]: (r["deleted_rows"], r["remaining_rows"])
            for r in cascade_soft_delete(levels, F.col("name") == "drop", broadcast_rows=0).collect()}
     assert got["child"] == (N // 3, N - N // 3)
+
+
+def test_materialize_measures_rows_and_bytes(spark):
+    from quarry.operators.graph import _materialize, broadcastable
+    df = spark.range(10).select(F.lit("abcdefghij").alias("s"), F.col("id"))
+    m = _materialize(df)
+    # per row: 8-byte header + 2 fields x 8 bytes + 10-byte string padded to 16
+    assert (m.rows, m.bytes) == (10, 10 * 40)
+    assert m.frame.count() == 10
+    assert broadcastable(m, 10, 400) and not broadcastable(m, 10, 399) and not broadcastable(m, 9, 10**9)
+
+
+def test_byte_bound_alone_forces_shuffle_join(spark):
+    edges = _hot(spark).select(F.concat(F.lit("row:"), F.col("v").cast("string")).alias("src"),
+                               F.concat(F.lit("key:"), F.col("k").cast("string")).alias("dst"))
+    start = spark.createDataFrame([("key:7",)], "node string")
+    got = walk(edges, start, "IN", 1, broadcast_bytes=0)
+    assert got.where("depth = 1").count() == N // 3
+    top = spark.createDataFrame([(7, "drop"), (8, "keep")], "k long, name string")
+    levels = [("top", top, "k", None), ("child", _hot(spark), None, "k")]
+    got = {r["table_name"]: r["deleted_rows"]
+           for r in cascade_soft_delete(levels, F.col("name") == "drop", broadcast_bytes=0).collect()}
+    assert got["child"] == N // 3

@@ -15,7 +15,7 @@ def _customers(spark, n):
 
 
 def test_counts_91_then_93_and_time_travel(spark):
-    t = VersionedTable(spark, fresh_dir(spark, "t"), "northwind_customers")
+    t = VersionedTable(spark, fresh_dir(spark, "t"), "customers")
     t.create_if_not_exists(_customers(spark, 1).schema)
     assert t.current_snapshot_id() is None  # declaring a table makes no snapshot
     assert t.read().count() == 0
@@ -91,3 +91,13 @@ def test_append_batches_one_snapshot_per_value(spark):
     assert t.read(version=2).count() == 20
     files = t.files().collect()
     assert sum(f["record_count"] for f in files) == 30
+
+
+def test_append_batches_refuses_a_key_as_batch_column(spark):
+    t = VersionedTable(spark, fresh_dir(spark, "t"), "too_many_batches")
+    df = spark.range(50).select(F.col("id").alias("k"), (F.col("id") % 5).alias("day"))
+    with pytest.raises(ValueError):
+        t.append_batches(df, "k", max_batches=10)
+    assert not t.exists()  # refused before anything was declared or written
+    assert t.append_batches(df, "day", max_batches=10) == [1, 2, 3, 4, 5]
+    assert t.read().count() == 50
