@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.frames import union_all
+from quarry.functions.frames import anti_join, semi_join, union_all
 from pyspark.sql import types as T
 
 from quarry.functions.names import entity_key, qualified_name
@@ -159,13 +159,13 @@ def latest_per_key(changes: DataFrame, key: str = "key", order=("version",)) ->
 def upsert(target: DataFrame, changes: DataFrame, key: str = "key") -> DataFrame:
     """Create-or-replace by key: latest change per key wins, untouched rows kept."""
     latest = latest_per_key(changes, key)
-    kept = target.join(latest.select(key), key, "left_anti")
+    kept = anti_join(target, latest, key)
     return kept.unionByName(latest.select(*target.columns))
 
 
 def create_or_get(target: DataFrame, candidates: DataFrame, key: str = "key") -> DataFrame:
     """Insert only candidates whose key is new; existing rows are returned unchanged."""
-    fresh = latest_per_key(candidates, key).join(target.select(key), key, "left_anti")
+    fresh = anti_join(latest_per_key(candidates, key), target, key)
     return target.unionByName(fresh.select(*target.columns))
 
 
@@ -175,11 +175,10 @@ def replace_by_name(target: DataFrame, incoming: DataFrame, version: int,
     incoming top-level entity are soft-deleted together with their children,
     then the incoming entities are added."""
     tops = incoming.where(F.col("type_name").isin(list(match_types))).select("type_name", "name").distinct()
-    clash = (target.where(F.col("status") == ACTIVE)
-             .join(tops, ["type_name", "name"], "left_semi")
-             .join(incoming.select("key"), "key", "left_anti"))
+    clash = anti_join(semi_join(target.where(F.col("status") == ACTIVE), tops, ["type_name", "name"]),
+                      incoming, "key")
     doomed = clash.select("qualified_name")
-    children = target.join(doomed.withColumnRenamed("qualified_name", "parent_qn"), "parent_qn", "left_semi")
+    children = semi_join(target, doomed.withColumnRenamed("qualified_name", "parent_qn"), "parent_qn")
     doomed_keys = clash.select("key").unionByName(children.select("key")).distinct()
     marked = soft_delete(target, doomed_keys, version)
     return upsert(marked, incoming)
@@ -247,8 +246,7 @@ def search_texts(entities: DataFrame, texts: DataFrame, qn: Column, text_col: st
     from quarry.sources.tables import spread
     hits = (spread(texts).where(F.lower(F.col(text_col)).contains(query.lower()))
             .select(entity_key(qn).alias("key")))
-    out = (entities.where(F.col("status") == ACTIVE).join(hits, "key", "left_semi")
-           .orderBy("qualified_name"))
+    out = semi_join(entities.where(F.col("status") == ACTIVE), hits, "key").orderBy("qualified_name")
     return out.limit(limit) if limit is not None else out
 
 
@@ -278,10 +276,16 @@ def active_counts(entities: DataFrame) -> DataFrame:
 
 
 def orphans(entities: DataFrame) -> DataFrame:
-    """Entities whose ``parent_qn`` names no entity (reported, not joined)."""
+    """Entities whose ``parent_qn`` names no entity (reported, not joined).
+
+    Parents are few and hot (every document sits under a handful of
+    sources), so the referenced names are de-duplicated first (partial
+    aggregation) and only the missing ones are joined back to the children.
+    """
+    children = entities.where(F.col("parent_qn").isNotNull())
     parents = entities.select(F.col("qualified_name").alias("parent_qn"))
-    return (entities.where(F.col("parent_qn").isNotNull())
-            .join(parents, "parent_qn", "left_anti"))
+    missing = anti_join(children.select("parent_qn").distinct(), parents, "parent_qn")
+    return semi_join(children, missing, "parent_qn")
 
 
 def to_json_documents(entities: DataFrame) -> DataFrame:

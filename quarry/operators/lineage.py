@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.frames import semi_join
 from quarry.operators import entities as E
 from quarry.operators.graph import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, _materialize, broadcastable
 
@@ -67,8 +68,8 @@ def fk_edges(fk_columns: DataFrame, entities: DataFrame, db_prefix: str = "sourc
     edges = pairs.select(F.concat(F.lit(db_prefix), "table_name").alias("src_qn"),
                          F.concat(F.lit("fk."), "table_name", F.lit("_"), "foreign_table_name").alias("process_qn"),
                          F.concat(F.lit(db_prefix), "foreign_table_name").alias("dst_qn"))
-    return (edges.join(tables.withColumnRenamed("qualified_name", "src_qn"), "src_qn", "left_semi")
-            .join(tables.withColumnRenamed("qualified_name", "dst_qn"), "dst_qn", "left_semi")
+    return (semi_join(semi_join(edges, tables.withColumnRenamed("qualified_name", "src_qn"), "src_qn"),
+                      tables.withColumnRenamed("qualified_name", "dst_qn"), "dst_qn")
             .select(*EDGE_COLUMNS))
 
 

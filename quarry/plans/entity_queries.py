@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.frames import semi_join
 from quarry.operators import entities as E
 from quarry.operators import metadata as M
 from quarry.operators.ingest import raw_table_name, with_audit_columns
@@ -103,8 +104,8 @@ def catalog_coverage(spark, sf_dir):
                 .agg(F.count(F.lit(1)).cast("long").alias("expected_columns")))
     reg_tables = catalog.where((F.col("type_name") == "table") & (F.col("status") == E.ACTIVE)).select(
         F.col("name").alias("table_name"), F.col("qualified_name").alias("table_qn"))
-    reg_cols = (catalog.where(F.col("type_name") == "column").join(
-        reg_tables.select(F.col("table_qn").alias("parent_qn")), "parent_qn", "left_semi")
+    reg_cols = (semi_join(catalog.where(F.col("type_name") == "column"),
+                          reg_tables.select(F.col("table_qn").alias("parent_qn")), "parent_qn")
         .groupBy(F.col("parent_qn").alias("table_qn")).agg(F.count(F.lit(1)).cast("long").alias("registered_columns")))
     per = (expected.join(reg_tables, "table_name", "left").join(reg_cols, "table_qn", "left")
            .select("table_name", F.col("table_qn").isNotNull().alias("is_registered"),
@@ -171,12 +172,16 @@ REPORT_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True)
 
 
 def discovery_report(spark, sf_dir):
-    """Report rows written as JSON lines and CSV with header; the JSON copy is read back."""
+    """Report rows written as JSON lines and CSV with header; the JSON copy is read back.
+
+    The catalog is computed once: the CSV copy is written from the JSON copy.
+    """
     rows = E.report_rows(build_catalog(spark, sf_dir))
     out = fresh_dir(spark, "discovery_report")
     rows.write.mode("overwrite").json(f"{out}/json")
-    rows.write.mode("overwrite").option("header", True).csv(f"{out}/csv")
-    return spark.read.schema(REPORT_SCHEMA).json(f"{out}/json")
+    written = spark.read.schema(REPORT_SCHEMA).json(f"{out}/json")
+    written.write.mode("overwrite").option("header", True).csv(f"{out}/csv")
+    return written
 
 
 def discovery_stats(spark, sf_dir, k: int = 5):

@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.frames import semi_join
 from quarry.functions.patterns import CONTENT_TAG_PREFIX, NAME_RULES, SENSITIVE_PATTERNS
 from quarry.operators import classify as C
 from quarry.operators import entities as E
@@ -176,8 +177,8 @@ def pipeline_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.split(F.col("attributes")["inputs"], ",").alias("inputs"),
         F.split(F.col("attributes")["outputs"], ",").alias("outputs")))
     known = tables.select("qualified_name")
-    guarded = (edges.join(known.withColumnRenamed("qualified_name", "src_qn"), "src_qn", "left_semi")
-               .join(known.withColumnRenamed("qualified_name", "dst_qn"), "dst_qn", "left_semi"))
+    guarded = semi_join(semi_join(edges, known.withColumnRenamed("qualified_name", "src_qn"), "src_qn"),
+                        known.withColumnRenamed("qualified_name", "dst_qn"), "dst_qn")
     start = spark.createDataFrame([(PIPELINE_ANALYTICS,)], "node string")
     walked = walk(guarded.select(F.col("src_qn").alias("src"), F.col("dst_qn").alias("dst")), start, "IN", 3)
     return (walked.join(counts.withColumnRenamed("qualified_name", "node"), "node", "left")
@@ -218,8 +219,8 @@ def entity_tags(spark: SparkSession, sf_dir: str, only_tag: str | None = None) -
 def tag_search(spark: SparkSession, sf_dir: str, tag: str = SEARCH_TAG) -> DataFrame:
     tagged = entity_tags(spark, sf_dir, only_tag=tag).where(F.col("tag") == tag).select(
         F.col("entity_qn").alias("qualified_name"))
-    return (build_catalog(spark, sf_dir).join(tagged, "qualified_name", "left_semi")
-            .select("type_name", "qualified_name", "name"))
+    return semi_join(build_catalog(spark, sf_dir), tagged, "qualified_name").select(
+        "type_name", "qualified_name", "name")
 
 
 def sensitive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
