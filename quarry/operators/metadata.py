@@ -74,12 +74,18 @@ def schema_rows(tables: dict[str, DataFrame], schema_name: str):
 
 
 def meta_tables(spark: SparkSession, tables: dict[str, DataFrame], schema_name: str = "main",
-                allow: list[str] | None = None) -> DataFrame:
-    """``(table_schema, table_name)`` for the allow-listed tables, ordered by name."""
+                allow: list[str] | None = None, ordered: bool = False) -> DataFrame:
+    """``(table_schema, table_name)`` for the allow-listed tables.
+
+    ``ordered=True`` sorts by name for a listing; catalog builds leave it off,
+    since a sort inside a larger plan costs a sampling job and the joins
+    after it do not keep the order anyway.
+    """
     df = spark.createDataFrame([(schema_name, t) for t in tables], META_TABLES_SCHEMA)
     if allow is not None:
         df = df.where(F.col("table_name").isin(list(allow)))
-    return df.where(F.col("table_schema") == schema_name).orderBy("table_name")
+    df = df.where(F.col("table_schema") == schema_name)
+    return df.orderBy("table_name") if ordered else df
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:

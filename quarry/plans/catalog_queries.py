@@ -21,7 +21,8 @@ def _tables(spark, sf_dir):
 def meta_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark, sf_dir)
     listed = M.meta_tables(spark, tables, SCHEMA, allow=ALL_TABLES)
-    return listed.join(M.table_row_counts(tables), "table_name").select("table_schema", "table_name", "row_count")
+    return (listed.join(M.table_row_counts(tables), "table_name").select("table_schema", "table_name", "row_count")
+            .orderBy("table_name"))
 
 
 def meta_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
