@@ -1,4 +1,4 @@
-"""Lineage: process entities and edges, FK lineage, layered pipelines, cascades.
+"""Lineage: process entities and edges, FK lineage, layered ETL stages, cascades.
 
 Edges are a DataFrame ``src_qn, process_qn, dst_qn``; a process's inputs and
 outputs arrays are exploded into one edge per (input, output) pair of that

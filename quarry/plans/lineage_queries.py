@@ -1,5 +1,5 @@
 """Registered queries: lineage, graph walks, classification, scans, upserts,
-cascades, raw-layer validation and the layered pipeline."""
+cascades, raw-layer validation and the layered raw -> processed -> analytics ETL."""
 
 from __future__ import annotations
 
@@ -118,21 +118,21 @@ def hierarchy_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("long").alias("node_count")))
 
 
-PIPELINE_ANALYTICS = "analytics.tpch.customer_summary"
+LAYERS_ANALYTICS = "analytics.tpch.customer_summary"
 
-# The pipeline's process wiring (input, process, output).
-PIPELINE_EDGES = [
+# The layered ETL's process wiring (input, process, output).
+LAYERS_EDGES = [
     ("source.tpch.orders", "etl.orders_to_raw", "raw.tpch.raw_orders"),
     ("raw.tpch.raw_orders", "etl.validate_orders", "processed.tpch.processed_orders"),
-    ("processed.tpch.processed_orders", "etl.customer_aggregation", PIPELINE_ANALYTICS),
-    ("source.tpch.customer", "etl.customer_aggregation", PIPELINE_ANALYTICS),
+    ("processed.tpch.processed_orders", "etl.customer_aggregation", LAYERS_ANALYTICS),
+    ("source.tpch.customer", "etl.customer_aggregation", LAYERS_ANALYTICS),
 ]
 
 
-def _run_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, VersionedTable]:
+def _run_layers(spark: SparkSession, sf_dir: str) -> dict[str, VersionedTable]:
     """orders -> raw -> processed (validated) -> analytics (customer summary),
     each stage a versioned table; returns them by qualified name."""
-    warehouse = fresh_dir(spark, "layered_pipeline")
+    warehouse = fresh_dir(spark, "layered_etl")
     raw = VersionedTable(spark, warehouse, "raw_orders")
     raw.create(with_audit_columns(read_table(spark, sf_dir, "orders")), committed_at=RUN_TS)
     processed = VersionedTable(spark, warehouse, "processed_orders")
@@ -148,18 +148,18 @@ def _run_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, VersionedTable]
     summary = customer.join(per_cust, customer["c_custkey"] == per_cust["o_custkey"]).drop("o_custkey")
     analytics = VersionedTable(spark, warehouse, "customer_summary")
     analytics.create(summary, committed_at=RUN_TS)
-    return {"raw.tpch.raw_orders": raw, "processed.tpch.processed_orders": processed, PIPELINE_ANALYTICS: analytics}
+    return {"raw.tpch.raw_orders": raw, "processed.tpch.processed_orders": processed, LAYERS_ANALYTICS: analytics}
 
 
-def layered_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_pipeline(spark, sf_dir)[PIPELINE_ANALYTICS].read().drop(SNAPSHOT_COL)
+def layered_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_layers(spark, sf_dir)[LAYERS_ANALYTICS].read().drop(SNAPSHOT_COL)
 
 
-def pipeline_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the pipeline, register its tables with their written row counts,
+def layered_etl_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the layered ETL, register its tables with their written row counts,
     wire the processes (inputs[] / outputs[]), then walk upstream from the
     analytics table: ``node, depth, record_count``."""
-    stages = _run_pipeline(spark, sf_dir)
+    stages = _run_layers(spark, sf_dir)
     written = None
     for qn, table in stages.items():
         part = table.log().select(F.lit(qn).alias("qualified_name"), F.col("added_rows").alias("record_count"))
@@ -171,7 +171,7 @@ def pipeline_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = E.make_entities(counts, "table", F.col("qualified_name"),
                              F.element_at(F.split("qualified_name", r"\."), -1),
                              attributes=F.create_map(F.lit("record_count"), F.col("record_count").cast("string")))
-    wiring = spark.createDataFrame(PIPELINE_EDGES, "src_qn string, process_qn string, dst_qn string")
+    wiring = spark.createDataFrame(LAYERS_EDGES, "src_qn string, process_qn string, dst_qn string")
     edges = process_edges(process_entities(wiring).select(
         F.col("qualified_name").alias("process_qn"),
         F.split(F.col("attributes")["inputs"], ",").alias("inputs"),
@@ -179,7 +179,7 @@ def pipeline_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = tables.select("qualified_name")
     guarded = semi_join(semi_join(edges, known.withColumnRenamed("qualified_name", "src_qn"), "src_qn"),
                         known.withColumnRenamed("qualified_name", "dst_qn"), "dst_qn")
-    start = spark.createDataFrame([(PIPELINE_ANALYTICS,)], "node string")
+    start = spark.createDataFrame([(LAYERS_ANALYTICS,)], "node string")
     walked = walk(guarded.select(F.col("src_qn").alias("src"), F.col("dst_qn").alias("dst")), start, "IN", 3)
     return (walked.join(counts.withColumnRenamed("qualified_name", "node"), "node", "left")
             .select("node", F.col("depth").cast("int").alias("depth"), "record_count"))
@@ -271,8 +271,8 @@ QUERIES = {
     "lineage_fk_edges": lineage_fk_edges,
     "lineage_walk": lineage_walk,
     "hierarchy_walk": hierarchy_walk,
-    "layered_pipeline": layered_pipeline,
-    "pipeline_lineage": pipeline_lineage,
+    "layered_etl": layered_etl,
+    "layered_etl_lineage": layered_etl_lineage,
     "classify_columns": classify_columns,
     "tag_search": tag_search,
     "sensitive_scan": sensitive_scan,
@@ -393,15 +393,15 @@ ORACLE = {
           UNION ALL SELECT p.node, p.kind, h.root, h.depth + 1 FROM p JOIN h ON p.parent = h.node)
         SELECT root, kind AS node_type, CAST(depth AS INTEGER) AS depth, count(*) AS node_count
         FROM h GROUP BY ALL""",
-    "layered_pipeline": """
+    "layered_etl": """
         SELECT c.c_custkey, c.c_name, c.c_mktsegment, count(*) AS order_count,
                round(sum(o.o_totalprice), 2) AS total_spent, max(o.o_orderdate) AS last_order_date
         FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
         WHERE o.o_totalprice > 0 AND o.o_orderstatus IN ('F', 'O', 'P')
         GROUP BY c.c_custkey, c.c_name, c.c_mktsegment""",
-    "pipeline_lineage": f"""
-        WITH RECURSIVE e(src, dst) AS (VALUES {", ".join(f"('{a}', '{c}')" for a, _b, c in PIPELINE_EDGES)}),
-        w(node, depth) AS (SELECT '{PIPELINE_ANALYTICS}', 0 UNION
+    "layered_etl_lineage": f"""
+        WITH RECURSIVE e(src, dst) AS (VALUES {", ".join(f"('{a}', '{c}')" for a, _b, c in LAYERS_EDGES)}),
+        w(node, depth) AS (SELECT '{LAYERS_ANALYTICS}', 0 UNION
                            SELECT e.src, w.depth + 1 FROM w JOIN e ON e.dst = w.node WHERE w.depth < 3),
         valid AS (SELECT * FROM orders WHERE o_totalprice > 0 AND o_orderstatus IN ('F', 'O', 'P')),
         c(node, record_count) AS (
@@ -409,7 +409,7 @@ ORACLE = {
           SELECT 'source.tpch.customer', count(*) FROM customer UNION ALL
           SELECT 'raw.tpch.raw_orders', count(*) FROM orders UNION ALL
           SELECT 'processed.tpch.processed_orders', count(*) FROM valid UNION ALL
-          SELECT '{PIPELINE_ANALYTICS}', count(*) FROM customer
+          SELECT '{LAYERS_ANALYTICS}', count(*) FROM customer
             WHERE c_custkey IN (SELECT o_custkey FROM valid))
         SELECT w.node, CAST(min(w.depth) AS INTEGER) AS depth, c.record_count
         FROM w LEFT JOIN c ON c.node = w.node GROUP BY w.node, c.record_count""",
