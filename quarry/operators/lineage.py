@@ -1,8 +1,8 @@
 """Lineage: process entities and edges, FK lineage, layered ETL stages, cascades.
 
-Edges are a DataFrame ``src_qn, process_qn, dst_qn``; a process's inputs and
-outputs arrays are exploded into one edge per (input, output) pair of that
-process. Both ends of an edge must resolve to catalog entities (inner joins);
+Edges are a DataFrame ``src_qn, process_qn, dst_qn`` (one process per
+ingested table); a process with several inputs and outputs is walked as hops
+through the process node (``process_hops``), never as input x output pairs. Both ends of an edge must resolve to catalog entities (inner joins);
 unresolved ones are returned separately by an anti-join instead of vanishing.
 """
 
@@ -54,10 +54,17 @@ def process_entities(edges: DataFrame) -> DataFrame:
                                                    F.lit("outputs"), F.array_join("outputs", ",")))
 
 
-def process_edges(processes: DataFrame) -> DataFrame:
-    """Explode ``process_qn, inputs[], outputs[]`` into edges."""
-    return (processes.select("process_qn", F.explode("inputs").alias("src_qn"), "outputs")
-            .select("src_qn", "process_qn", F.explode("outputs").alias("dst_qn")))
+def process_hops(processes: DataFrame) -> DataFrame:
+    """``src, dst`` hops of ``process_qn, inputs[], outputs[]``: input -> process
+    and process -> output.
+
+    A process links every input to every output; going through the process
+    node expresses that with inputs + outputs rows instead of inputs x
+    outputs pairs. A table-to-table step is two hops.
+    """
+    ins = processes.select(F.explode("inputs").alias("src"), F.col("process_qn").alias("dst"))
+    outs = processes.select(F.col("process_qn").alias("src"), F.explode("outputs").alias("dst"))
+    return ins.unionByName(outs)
 
 
 def fk_edges(fk_columns: DataFrame, entities: DataFrame, db_prefix: str = "source.tpch.") -> DataFrame:

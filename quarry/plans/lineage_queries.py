@@ -15,8 +15,8 @@ from quarry.operators import entities as E
 from quarry.operators import metadata as M
 from quarry.operators.graph import hierarchy, walk, walk_many
 from quarry.operators.ingest import batch_summary, ingest_tables, raw_table_name, with_audit_columns
-from quarry.operators.lineage import (cascade_soft_delete, etl_process_edges, fk_edges, process_edges,
-                                     process_entities)
+from quarry.operators.lineage import (cascade_soft_delete, etl_process_edges, fk_edges, process_entities,
+                                     process_hops)
 from quarry.plans.catalog_queries import _COLS, _IN
 from quarry.plans.declared import DRIVER_CONSTRAINTS, FOREIGN_KEYS
 from quarry.plans.entity_queries import DB, build_catalog, catalog_sql
@@ -172,17 +172,19 @@ def layered_etl_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.element_at(F.split("qualified_name", r"\."), -1),
                              attributes=F.create_map(F.lit("record_count"), F.col("record_count").cast("string")))
     wiring = spark.createDataFrame(LAYERS_EDGES, "src_qn string, process_qn string, dst_qn string")
-    edges = process_edges(process_entities(wiring).select(
+    hops = process_hops(process_entities(wiring).select(
         F.col("qualified_name").alias("process_qn"),
         F.split(F.col("attributes")["inputs"], ",").alias("inputs"),
         F.split(F.col("attributes")["outputs"], ",").alias("outputs")))
     known = tables.select("qualified_name")
-    guarded = semi_join(semi_join(edges, known.withColumnRenamed("qualified_name", "src_qn"), "src_qn"),
-                        known.withColumnRenamed("qualified_name", "dst_qn"), "dst_qn")
+    # guard: an input hop needs a registered input table, an output hop a registered output table
+    guarded = (semi_join(hops, known.withColumnRenamed("qualified_name", "src"), "src")
+               .unionByName(semi_join(hops, known.withColumnRenamed("qualified_name", "dst"), "dst")))
     start = spark.createDataFrame([(LAYERS_ANALYTICS,)], "node string")
-    walked = walk(guarded.select(F.col("src_qn").alias("src"), F.col("dst_qn").alias("dst")), start, "IN", 3)
-    return (walked.join(counts.withColumnRenamed("qualified_name", "node"), "node", "left")
-            .select("node", F.col("depth").cast("int").alias("depth"), "record_count"))
+    walked = walk(guarded, start, "IN", 2 * 3)  # three table steps, two hops each
+    tables_reached = semi_join(walked, known.withColumnRenamed("qualified_name", "node"), "node")
+    return (tables_reached.join(counts.withColumnRenamed("qualified_name", "node"), "node", "left")
+            .select("node", (F.col("depth") / 2).cast("int").alias("depth"), "record_count"))
 
 
 # ------------------------------------------------------------ classification

@@ -68,3 +68,13 @@ def test_cascade_soft_delete(spark):
     got = {r["table_name"]: (r["deleted_rows"], r["remaining_rows"])
            for r in cascade_soft_delete(levels, F.col("name") == "drop").collect()}
     assert got == {"top": (1, 1), "mid": (2, 1), "low": (3, 1)}
+
+
+def test_process_hops_link_inputs_to_outputs_without_pairs(spark):
+    from quarry.operators.lineage import process_hops
+    procs = spark.createDataFrame([("p", ["a", "b"], ["x", "y", "z"])],
+                                  "process_qn string, inputs array<string>, outputs array<string>")
+    hops = process_hops(procs)
+    assert hops.count() == 5  # inputs + outputs, not 2 x 3 pairs
+    got = {r["node"]: r["depth"] for r in walk(hops, _start(spark, "y"), "IN", 2).collect()}
+    assert got == {"y": 0, "p": 1, "a": 2, "b": 2}
