@@ -58,20 +58,43 @@ def length_profile(df: DataFrame, table: str, limits: dict[str, int]) -> DataFra
     return one.selectExpr(f"{sql_str(table)} AS table_name", f"inline(array({cells}))")
 
 
+def _key_groups(df: DataFrame, table: str, keys: tuple[str, ...], name: str) -> DataFrame:
+    """One row per key value: its row count and whether a key part is null,
+    labelled with the constraint (one shuffle on the key, after partial
+    aggregation)."""
+    any_null = " OR ".join(f"{sql_id(k)} IS NULL" for k in keys)
+    return (df.groupBy(*[_q(k) for k in keys]).agg(F.expr("count(1) AS n"))
+            .selectExpr(f"{sql_str(name)} AS constraint_name", f"{sql_str(table)} AS table_name",
+                        f"{sql_str(','.join(keys))} AS key_columns", "n", f"({any_null}) AS _null"))
+
+
+def _seeded(rows: DataFrame, labels: list[tuple], label_cols: list[str], zero_cols: str) -> DataFrame:
+    """Add one neutral row per expected label (n = 0, no flags), so that every
+    constraint gets a result row even when its table is empty. Bounded by the
+    number of declared constraints."""
+    spark = rows.sparkSession
+    seed = spark.createDataFrame(labels, ", ".join(f"{c} string" for c in label_cols)).selectExpr(
+        *label_cols, *zero_cols.split(","))
+    return rows.unionByName(seed)
+
+
+def _summarize_key_groups(groups: DataFrame, labels: list[tuple]) -> DataFrame:
+    # one aggregate for any number of constraints: their key groups are unioned
+    # first, so many checks share one small final exchange
+    groups = _seeded(groups, labels, ["constraint_name", "table_name", "key_columns"],
+                     "CAST(0 AS BIGINT) AS n,false AS _null")
+    return groups.groupBy("constraint_name", "table_name", "key_columns").agg(
+        F.expr("CAST(count_if(n > 1 AND NOT _null) AS BIGINT) AS duplicate_groups"),
+        F.expr("CAST(coalesce(sum(IF(n > 1 AND NOT _null, n, NULL)), 0) AS BIGINT) AS duplicate_rows"),
+        F.expr("CAST(coalesce(sum(IF(_null, n, NULL)), 0) AS BIGINT) AS null_key_rows"))
+
+
 def duplicate_keys(df: DataFrame, table: str, keys: tuple[str, ...], name: str) -> DataFrame:
     """Key groups seen more than once, rows inside them, and rows with a null key part.
 
     One shuffle on the key (after partial aggregation) answers all three.
     """
-    any_null = " OR ".join(f"{sql_id(k)} IS NULL" for k in keys)
-    groups = (df.groupBy(*[_q(k) for k in keys]).agg(F.expr("count(1) AS n"))
-              .selectExpr("n", f"({any_null}) AS _null"))
-    return groups.agg(
-        F.expr("CAST(count_if(n > 1 AND NOT _null) AS BIGINT) AS duplicate_groups"),
-        F.expr("CAST(coalesce(sum(IF(n > 1 AND NOT _null, n, NULL)), 0) AS BIGINT) AS duplicate_rows"),
-        F.expr("CAST(coalesce(sum(IF(_null, n, NULL)), 0) AS BIGINT) AS null_key_rows"),
-    ).selectExpr(f"{sql_str(name)} AS constraint_name", f"{sql_str(table)} AS table_name",
-                 f"{sql_str(','.join(keys))} AS key_columns", "duplicate_groups", "duplicate_rows", "null_key_rows")
+    return _summarize_key_groups(_key_groups(df, table, keys, name), [(name, table, ",".join(keys))])
 
 
 def _keys(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
@@ -89,19 +112,33 @@ def orphan_references(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> Da
     would shuffle every child row instead of one row per key. Key columns are
     paired by ordinal position.
     """
+    return _summarize_references(_reference_keys(child, parent, fk), [_ref_label(fk)])
+
+
+def _ref_label(fk: ForeignKey) -> tuple:
+    return (fk.name, "orphan", fk.table, fk.ref_table)
+
+
+def _reference_keys(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFrame:
+    """One row per distinct child key: rows holding it, null / orphan flags."""
     names = [f"_k{i}" for i in range(len(fk.columns))]
     any_null = " OR ".join(f"{k} IS NULL" for k in names)
     per_key = _keys(child, fk.columns).groupBy(*names).agg(F.expr("count(1) AS n"))
     parent_keys = _keys(parent, fk.ref_columns).distinct().withColumn("_found", F.lit(True))
-    joined = per_key.join(parent_keys, names, "left").selectExpr(
+    return per_key.join(parent_keys, names, "left").selectExpr(
+        f"{sql_str(fk.name)} AS constraint_name", "'orphan' AS check_type",
+        f"{sql_str(fk.table)} AS table_name", f"{sql_str(fk.ref_table)} AS ref_table",
         "n", f"({any_null}) AS _null", f"NOT ({any_null}) AND _found IS NULL AS _orphan")
-    return joined.agg(
+
+
+def _summarize_references(keys: DataFrame, labels: list[tuple]) -> DataFrame:
+    # one aggregate for any number of references (their key rows are unioned first)
+    keys = _seeded(keys, labels, ["constraint_name", "check_type", "table_name", "ref_table"],
+                   "CAST(0 AS BIGINT) AS n,false AS _null,false AS _orphan")
+    return keys.groupBy("constraint_name", "check_type", "table_name", "ref_table").agg(
         F.expr("CAST(count_if(_orphan) AS BIGINT) AS violating_keys"),
         F.expr("CAST(coalesce(sum(IF(_orphan, n, NULL)), 0) AS BIGINT) AS violating_rows"),
-        F.expr("CAST(coalesce(sum(IF(_null, n, NULL)), 0) AS BIGINT) AS null_key_rows"),
-    ).selectExpr(f"{sql_str(fk.name)} AS constraint_name", "'orphan' AS check_type",
-                 f"{sql_str(fk.table)} AS table_name", f"{sql_str(fk.ref_table)} AS ref_table",
-                 "violating_keys", "violating_rows", "null_key_rows")
+        F.expr("CAST(coalesce(sum(IF(_null, n, NULL)), 0) AS BIGINT) AS null_key_rows"))
 
 
 def unreferenced_parents(child: DataFrame, parent: DataFrame, fk: ForeignKey, check_name: str) -> DataFrame:
@@ -125,14 +162,18 @@ def all_length_profiles(tables: dict[str, DataFrame], cons: Constraints) -> Data
 
 
 def all_duplicate_keys(tables: dict[str, DataFrame], cons: Constraints) -> DataFrame:
-    return _union_all([duplicate_keys(tables[t], t, keys, cons.pk_name(t))
-                       for t, keys in cons.primary_keys.items() if t in tables])
+    checked = [(t, keys) for t, keys in cons.primary_keys.items() if t in tables]
+    groups = _union_all([_key_groups(tables[t], t, keys, cons.pk_name(t)) for t, keys in checked])
+    if groups is None:
+        return None
+    return _summarize_key_groups(groups, [(cons.pk_name(t), t, ",".join(keys)) for t, keys in checked])
 
 
 def all_reference_checks(tables: dict[str, DataFrame], cons: Constraints,
                          reverse: list[tuple[str, str]] = ()) -> DataFrame:
-    frames = [orphan_references(tables[fk.table], tables[fk.ref_table], fk)
-              for fk in cons.foreign_keys if fk.table in tables and fk.ref_table in tables]
+    checked = [fk for fk in cons.foreign_keys if fk.table in tables and fk.ref_table in tables]
+    keys = _union_all([_reference_keys(tables[fk.table], tables[fk.ref_table], fk) for fk in checked])
+    frames = [] if keys is None else [_summarize_references(keys, [_ref_label(fk) for fk in checked])]
     by_name = {fk.name: fk for fk in cons.foreign_keys}
     frames += [unreferenced_parents(tables[by_name[n].table], tables[by_name[n].ref_table], by_name[n], check)
                for n, check in reverse]

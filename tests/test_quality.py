@@ -56,3 +56,14 @@ def test_key_check_plan_aggregates_before_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 7 AS k")
     plan = Q.duplicate_keys(df, "t", ("k",), "pk")._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan  # partial aggregate runs before the exchange
+
+
+def test_empty_tables_still_report_every_check(spark):
+    empty = spark.createDataFrame([], "k int, p int")
+    parent = spark.createDataFrame([(1,)], "k int")
+    cons = Constraints(primary_keys={"e": ("k",), "p": ("k",)},
+                       foreign_keys=[ForeignKey("fk_e_p", "e", ("p",), "p", ("k",))])
+    dups = {r["table_name"]: r["duplicate_groups"] for r in Q.all_duplicate_keys({"e": empty, "p": parent}, cons).collect()}
+    assert dups == {"e": 0, "p": 0}
+    refs = Q.all_reference_checks({"e": empty, "p": parent}, cons).collect()
+    assert [(r["constraint_name"], r["violating_rows"], r["null_key_rows"]) for r in refs] == [("fk_e_p", 0, 0)]
