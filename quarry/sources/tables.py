@@ -46,10 +46,12 @@ def spread(df: DataFrame) -> DataFrame:
     (regex over whole texts) when the scan itself yields fewer partitions than
     there are cores, e.g. a file with a single row group. Large inputs already
     have many splits, so at scale this is a no-op and adds no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
+    except Exception:  # no RDD API (Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def read_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
