@@ -85,7 +85,16 @@ def sensitive_scan(texts: dict[str, tuple[DataFrame, str]], patterns=SENSITIVE_P
     return _union(frames)
 
 
-def row_tags(df: DataFrame, key_qn, text_col: str, patterns=SENSITIVE_PATTERNS) -> DataFrame:
-    """``entity_qn, tag`` for every row whose text matches a pattern (one row per tag)."""
+def row_tags(df: DataFrame, key_qn, text_col: str, patterns=SENSITIVE_PATTERNS,
+             column_qn: str | None = None) -> DataFrame:
+    """``entity_qn, tag`` for every row whose text matches a pattern (one row per tag).
+
+    With ``column_qn`` every hit also tags that column entity, so one regex
+    pass over the texts yields the row-level and the column-level tags (the
+    repeated column rows collapse in the caller's distinct, map-side).
+    """
     hits = F.array(*[F.when(F.col(text_col).rlike(rx), F.lit(CONTENT_TAG_PREFIX + p)) for p, rx in patterns.items()])
-    return spread(df).select(key_qn.alias("entity_qn"), F.explode(F.array_compact(hits)).alias("tag"))
+    out = spread(df).select(key_qn.alias("entity_qn"), F.explode(F.array_compact(hits)).alias("tag"))
+    if column_qn is not None:
+        out = out.select(F.explode(F.array(F.col("entity_qn"), F.lit(column_qn))).alias("entity_qn"), "tag")
+    return out

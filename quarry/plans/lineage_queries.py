@@ -203,13 +203,15 @@ def entity_tags(spark: SparkSession, sf_dir: str, only_tag: str | None = None) -
     if rules:
         parts.append(C.name_tags(M.meta_columns(spark, tables), rules))
     if patterns:
-        parts.append(C.content_tags(tables, patterns))
+        # documents.text is tagged by the per-document pass below (one regex pass over the texts)
+        parts.append(C.content_tags({t: (df.drop("text") if t == "documents" else df) for t, df in tables.items()},
+                                    patterns))
     cols = [p.select(F.concat(F.lit(f"source.{DB}."), "table_name", F.lit("."), "column_name").alias("entity_qn"),
                      "tag") for p in parts]
     if patterns:
         cols.append(C.row_tags(tables["documents"],
                                F.concat(F.lit(f"asset.{DB}.document."), F.col("doc_id").cast("string")), "text",
-                               patterns))
+                               patterns, column_qn=f"source.{DB}.documents.text"))
     if not cols:
         return spark.createDataFrame([], "entity_qn string, tag string")
     out = cols[0]

@@ -49,3 +49,12 @@ def test_metadata_documents_composite_keys_in_ordinal_order(spark):
     assert docs["parent"]["primary_keys"] == "k1,k2"
     assert docs["child"]["foreign_keys"] == "b1->parent.k1,b2->parent.k2"  # paired by ordinal, no cross product
     assert docs["parent"]["foreign_keys"] == ""
+
+
+def test_row_tags_also_tag_the_column_in_the_same_pass(spark):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(1, "a@b.io"), (2, "x@y.org and 10.1.2.3"), (3, "none")], "doc_id long, text string")
+    got = set(map(tuple, C.row_tags(docs, F.concat(F.lit("doc:"), F.col("doc_id").cast("string")), "text",
+                                    column_qn="col:text").distinct().collect()))
+    assert got == {("doc:1", "PII:email"), ("doc:2", "PII:email"), ("doc:2", "PII:ipv4"),
+                   ("col:text", "PII:email"), ("col:text", "PII:ipv4")}
