@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.frames import union_all
+
 META_TABLES_SCHEMA = T.StructType([
     T.StructField("table_schema", T.StringType(), False),
     T.StructField("table_name", T.StringType(), False),
@@ -89,13 +91,20 @@ def meta_tables(spark: SparkSession, tables: dict[str, DataFrame], schema_name:
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count per table, all tables in one job (count(*) needs no column data)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-             for t, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Row count per table, all tables in one aggregate (count(*) reads no column data).
+
+    Each scan is labelled with its table name and the union is grouped once:
+    partial counts per map task, one small exchange for all tables. A seed
+    row per table (counted as 0) keeps empty tables in the result.
+    """
+    if not tables:
+        raise ValueError("no tables to count")
+    spark = next(iter(tables.values())).sparkSession
+    labelled = union_all([df.select(F.lit(t).alias("table_name"), F.lit(1).alias("_one"))
+                          for t, df in tables.items()])
+    seed = spark.createDataFrame([(t, 0) for t in tables], "table_name string, _one int")
+    return (labelled.unionByName(seed).groupBy("table_name")
+            .agg(F.sum("_one").cast("long").alias("row_count")))
 
 
 def meta_columns(spark: SparkSession, tables: dict[str, DataFrame], schema_name: str = "main",

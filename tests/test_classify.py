@@ -58,3 +58,9 @@ def test_row_tags_also_tag_the_column_in_the_same_pass(spark):
                                     column_qn="col:text").distinct().collect()))
     assert got == {("doc:1", "PII:email"), ("doc:2", "PII:email"), ("doc:2", "PII:ipv4"),
                    ("col:text", "PII:email"), ("col:text", "PII:ipv4")}
+
+
+def test_table_row_counts_one_aggregate_keeps_empty_tables(spark):
+    counts = {r["table_name"]: r["row_count"] for r in M.table_row_counts({
+        "a": spark.range(7), "b": spark.createDataFrame([], "x int"), "c": spark.range(3)}).collect()}
+    assert counts == {"a": 7, "b": 0, "c": 3}
