@@ -107,13 +107,13 @@ def time_travel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_events_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events through a file stream (availableNow) appended per micro-batch to a raw table."""
-    from quarry.streaming.events import append_stream, stream_source
+    from quarry.streaming.events import append_stream, run_to_completion, stream_source
     root = fresh_dir(spark, "stream_events_append")
     table = VersionedTable(spark, root, "raw_events")
     schema = read_table(spark, sf_dir, "events").schema
     query = append_stream(stream_source(spark, sf_dir, "events.parquet", schema), table,
                           checkpoint=f"{root}/_checkpoint", extracted_at=DEFAULT_RUN_TS)
-    query.awaitTermination()
+    run_to_completion(query)
     table.refresh()
     return table.read().drop(SNAPSHOT_COL)
 

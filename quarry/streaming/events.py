@@ -37,3 +37,12 @@ def append_stream(stream: DataFrame, table: VersionedTable, checkpoint: str, ext
     writer = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def run_to_completion(query, timeout_s: float = 6 * 3600) -> None:
+    """Wait for an ``availableNow`` query; stop it and fail if it outlives
+    ``timeout_s`` (a stuck stream must not hold the driver forever). Errors
+    of the query itself are raised by ``awaitTermination``."""
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"streaming query {query.id} did not finish within {timeout_s} s")
