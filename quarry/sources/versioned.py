@@ -14,6 +14,13 @@ so a half-written append is invisible and a retried job simply rewrites it.
 Snapshot ids are 1, 2, 3, ... in commit order; reading version ``v`` is the
 partition filter ``_snapshot_id <= v``, which Spark prunes at planning time.
 One writer per table is assumed.
+
+Executor loss: the data write goes through Spark's file commit protocol, so
+a lost task is re-run and only committed task output becomes visible; the
+row-count observation sits in the write's result stage, where Spark applies
+each task's update exactly once, so retried tasks are not counted twice. A
+failed job leaves no log row, and re-running it with the same batch id
+rewrites the snapshot folder.
 """
 
 from __future__ import annotations
