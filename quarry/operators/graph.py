@@ -15,65 +15,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from typing import NamedTuple
-
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.functions.frames import union_all
-
-from quarry.session import fresh_dir
+from quarry.sources.scratch import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, Materialized,  # noqa: F401
+                                    broadcastable, materialize)
 from quarry.sources.tables import spread
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-_VAR_WIDTH = (T.StringType, T.BinaryType)
-
-
-class Materialized(NamedTuple):
-    frame: DataFrame
-    rows: int
-    bytes: int
-
-
-def _row_bytes(df: DataFrame):
-    """Per-row size as Spark holds it in memory (UnsafeRow): an 8-byte header,
-    8 bytes per field, plus the variable-length payload of string / binary
-    fields rounded up to 8 bytes. Nested types count their default size."""
-    fixed = 8 + 8 * len(df.schema.fields)
-    var = [F.coalesce(F.ceil(F.octet_length(F.col(f"`{f.name}`")) / 8) * 8, F.lit(0))
-           for f in df.schema.fields if isinstance(f.dataType, _VAR_WIDTH)]
-    nested = sum(f.dataType.defaultSize() for f in df.schema.fields
-                 if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)))
-    size = F.lit(fixed + nested)
-    for v in var:
-        size = size + v
-    return size
-
-
-def _materialize(df: DataFrame) -> Materialized:
-    """The frame read back from a written table, with its measured rows and
-    in-memory bytes, all from one write job.
-
-    Unlike ``checkpoint(eager=True)``, which runs the plan once to count and
-    again to write, the write computes the plan once and the observation
-    measures its rows on the way out.
-    """
-    spark = df.sparkSession
-    path = fresh_dir(spark, "rounds")
-    seen = Observation()
-    (df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
-     .write.mode("overwrite").parquet(path))
-    got = seen.get
-    return Materialized(spark.read.schema(df.schema).parquet(path), int(got["rows"]), int(got["bytes"] or 0))
-
-
-def broadcastable(m: Materialized, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when a measured side is small enough to ship to every executor."""
-    return m.rows <= broadcast_rows and m.bytes <= broadcast_bytes
+_materialize = materialize  # the walks' name for it
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -15,6 +15,7 @@ from quarry.operators.ingest import raw_table_name, with_audit_columns
 from quarry.plans.catalog_queries import _COLS, _FK_VALUES, _IN
 from quarry.plans.declared import DRIVER_CONSTRAINTS
 from quarry.session import fresh_dir
+from quarry.sources.scratch import materialize
 from quarry.sources.tables import ALL_TABLES, STAR_TABLES, read_tables
 
 DB = "tpch"
@@ -22,9 +23,17 @@ REGISTERED = STAR_TABLES + ["documents", "pages"]  # allow-list for the partial
 
 
 def build_catalog(spark: SparkSession, sf_dir: str, table_allow: list[str] | None = None,
-                  assets: bool = True) -> DataFrame:
+                  assets: bool = True, written: bool = False) -> DataFrame:
     """db + table + column entities from the schemas, asset entities from rows
-    (``assets=False`` keeps only the schema-level entities)."""
+    (``assets=False`` keeps only the schema-level entities).
+
+    ``written=True`` writes the catalog once into the work folder and returns
+    the written table: for operations that read the catalog several times
+    (upsert, replace, orphans), which would otherwise re-scan the sources,
+    page HTML included, once per reference.
+    """
+    if written:
+        return materialize(build_catalog(spark, sf_dir, table_allow, assets), "catalog").frame
     tables = read_tables(spark, sf_dir, ALL_TABLES)
     mt = M.meta_tables(spark, tables, allow=table_allow)
     mc = M.meta_columns(spark, tables)
@@ -92,7 +101,7 @@ def table_schema(spark, sf_dir):
 
 
 def entity_orphans(spark, sf_dir):
-    return (E.orphans(build_catalog(spark, sf_dir, table_allow=REGISTERED))
+    return (E.orphans(build_catalog(spark, sf_dir, table_allow=REGISTERED, written=True))
             .select("type_name", "qualified_name", "parent_qn"))
 
 
@@ -134,7 +143,7 @@ def _label_changes(catalog: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def entity_upsert(spark, sf_dir):
-    catalog = build_catalog(spark, sf_dir)
+    catalog = build_catalog(spark, sf_dir, written=True)
     labels = read_tables(spark, sf_dir, ["labels"])["labels"]
     updated = E.upsert(catalog, _label_changes(catalog, labels))
     raw_tables = (raw_layer_entities(spark, sf_dir, STAR_TABLES + ["events"], version=1)
@@ -144,7 +153,7 @@ def entity_upsert(spark, sf_dir):
 
 
 def replaced_catalog(spark, sf_dir) -> DataFrame:
-    catalog = build_catalog(spark, sf_dir)
+    catalog = build_catalog(spark, sf_dir, written=True)
     incoming = raw_layer_entities(spark, sf_dir, STAR_TABLES, version=2)
     return E.replace_by_name(catalog, incoming, version=2)
 

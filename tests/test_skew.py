@@ -79,3 +79,12 @@ def test_byte_bound_alone_forces_shuffle_join(spark):
     got = {r["table_name"]: r["deleted_rows"]
            for r in cascade_soft_delete(levels, F.col("name") == "drop", broadcast_bytes=0).collect()}
     assert got["child"] == N // 3
+
+
+def test_materialize_measures_nested_columns(spark):
+    from quarry.sources.scratch import materialize
+    df = spark.range(4).select(F.create_map(F.lit("k"), F.lit("v")).alias("m"), F.array(F.lit(1.5)).alias("a"))
+    m = materialize(df, "nested")
+    # 8 + 2 x 8 fixed, {"k":"v"} (9 bytes -> 16) and [1.5] (5 bytes -> 8) measured as JSON text
+    assert (m.rows, m.bytes) == (4, 4 * (24 + 16 + 8))
+    assert m.frame.count() == 4
