@@ -63,7 +63,23 @@ def materialize(df: DataFrame, purpose: str = "rounds") -> Materialized:
     return Materialized(spark.read.schema(df.schema).parquet(path), int(got["rows"]), int(got["bytes"] or 0))
 
 
+MAX_ROWS_CONF = "quarry.broadcast.maxRows"
+MAX_BYTES_CONF = "quarry.broadcast.maxBytes"
+
+
 def broadcastable(m: Materialized, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when a measured side is small enough to ship to every executor."""
+    """True when a measured side is small enough to ship to every executor.
+
+    The session can lower or raise the defaults (``quarry.broadcast.maxRows``,
+    ``quarry.broadcast.maxBytes``); a session that disables broadcast joins
+    (``spark.sql.autoBroadcastJoinThreshold = -1``) gets none from here either.
+    """
+    conf = m.frame.sparkSession.conf
+    if str(conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip() == "-1":
+        return False
+    if broadcast_rows == DEFAULT_BROADCAST_ROWS:
+        broadcast_rows = int(conf.get(MAX_ROWS_CONF, str(broadcast_rows)))
+    if broadcast_bytes == DEFAULT_BROADCAST_BYTES:
+        broadcast_bytes = int(conf.get(MAX_BYTES_CONF, str(broadcast_bytes)))
     return m.rows <= broadcast_rows and m.bytes <= broadcast_bytes

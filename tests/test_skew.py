@@ -88,3 +88,20 @@ def test_materialize_measures_nested_columns(spark):
     # 8 + 2 x 8 fixed, {"k":"v"} (9 bytes -> 16) and [1.5] (5 bytes -> 8) measured as JSON text
     assert (m.rows, m.bytes) == (4, 4 * (24 + 16 + 8))
     assert m.frame.count() == 4
+
+
+def test_broadcast_bounds_follow_the_session(spark):
+    from quarry.sources.scratch import broadcastable, materialize
+    m = materialize(spark.range(10), "bounds")
+    assert broadcastable(m)
+    spark.conf.set("quarry.broadcast.maxRows", "5")
+    try:
+        assert not broadcastable(m)
+    finally:
+        spark.conf.unset("quarry.broadcast.maxRows")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not broadcastable(m)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert broadcastable(m)
