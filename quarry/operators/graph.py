@@ -88,7 +88,10 @@ def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT
         edges = _materialize(spread(edges)).frame
     out = edges.select("graph", F.col("src").alias("frm"), F.col("dst").alias("to"), F.lit("OUT").alias("dir"))
     inn = edges.select("graph", F.col("dst").alias("frm"), F.col("src").alias("to"), F.lit("IN").alias("dir"))
-    adj = out.unionByName(inn)
+    # only the orientations some walk follows: an upstream-only walk never reads the edges forwards
+    dirs = set(summary["dirs"])
+    sides = ([out] if dirs & {"OUT", "BOTH"} else []) + ([inn] if dirs & {"IN", "BOTH"} else [])
+    adj = _union(sides)
     m = _materialize(starts.select("walk", "node").distinct().withColumn("depth", F.lit(0)))
     levels = [m.frame]  # materialized levels: their union has a short lineage
     for d in range(1, deepest + 1):
