@@ -198,24 +198,25 @@ def cleanup(entities: DataFrame, order=("column", "table", "db")):
     """Hierarchical cleanup: soft-delete ACTIVE entities type by type (children
     before parents), then everything left.
 
-    Returns ``(cleaned, report)``; the report has one row per step with the
-    entities deleted in it and the ACTIVE entities remaining after it, from
-    one aggregate over the input (steps are a handful of rows, so the running
-    total is a window over that small result).
+    Returns ``(cleaned, report)``; the report has one row per step that
+    deletes something, with the entities deleted in it and the ACTIVE
+    entities remaining after it. The steps are known up front, so the report
+    is one global aggregate over the input (a conditional count per step,
+    combined map-side), unpivoted into rows.
     """
-    from pyspark.sql import Window
-    step = F.lit(len(order) + 1)
-    scope = F.lit("rest")
+    steps = list(order) + ["rest"]
+    step = F.lit(len(steps))
     for i, t in reversed(list(enumerate(order))):
         step = F.when(F.col("type_name") == t, F.lit(i + 1)).otherwise(step)
-        scope = F.when(F.col("type_name") == t, F.lit(t)).otherwise(scope)
-    active = entities.where(F.col("status") == ACTIVE)
-    per_step = active.groupBy(step.alias("step"), scope.alias("scope")).agg(
-        F.count(F.lit(1)).cast("long").alias("deleted"))
-    total = F.sum("deleted").over(Window.partitionBy(F.lit(1)))
-    done = F.sum("deleted").over(Window.partitionBy(F.lit(1)).orderBy("step")
-                                 .rowsBetween(Window.unboundedPreceding, 0))
-    report = per_step.select("step", "scope", "deleted", (total - done).cast("long").alias("remaining_active"))
+    active = entities.where(F.col("status") == ACTIVE).select(step.alias("step"))
+    aggs = []
+    for i in range(1, len(steps) + 1):
+        aggs += [F.count_if(F.col("step") == i).cast("long").alias(f"d{i}"),
+                 F.count_if(F.col("step") > i).cast("long").alias(f"r{i}")]
+    cells = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(name).alias("scope"),
+                               F.col(f"d{i}").alias("deleted"), F.col(f"r{i}").alias("remaining_active"))
+                      for i, name in enumerate(steps, start=1)])
+    report = active.agg(*aggs).select(F.inline(cells)).where(F.col("deleted") > 0)
     cleaned = entities.withColumn("status", F.lit(DELETED))
     return cleaned, report
 

@@ -73,3 +73,14 @@ def test_latest_per_key_plan_has_no_window(spark):
     plan = E.latest_per_key(df, "key")._jdf.queryExecution().executedPlan().toString()
     # map-side partial aggregate before the exchange: a hot key leaves each task as one row
     assert "Window" not in plan and "partial_max_by" in plan
+
+
+def test_cleanup_children_first_report(spark):
+    ents = _ents(spark, [("c1", "column", "a", 1, "ACTIVE"), ("c2", "column", "b", 1, "ACTIVE"),
+                         ("t", "table", "t", 1, "ACTIVE"), ("d", "document", "x", 1, "ACTIVE"),
+                         ("gone", "column", "z", 1, "DELETED")])
+    cleaned, report = E.cleanup(ents)
+    got = sorted(tuple(r) for r in report.select("step", "scope", "deleted", "remaining_active").collect())
+    # no db entity: that step deletes nothing and is not reported
+    assert got == [(1, "column", 2, 2), (2, "table", 1, 1), (4, "rest", 1, 0)]
+    assert cleaned.where(F.col("status") == "ACTIVE").count() == 0
