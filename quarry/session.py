@@ -18,7 +18,8 @@ WORK_DIR_CONF = "quarry.work.dir"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "quarry", driver_memory: str = "8g") -> SparkSession:
+                  app_name: str = "quarry", driver_memory: str = "8g",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A session configured the way every job in this package expects.
 
     AQE is on so small shuffle outputs are coalesced and skewed join
@@ -42,6 +43,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "static")
     )
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
