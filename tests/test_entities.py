@@ -84,3 +84,16 @@ def test_cleanup_children_first_report(spark):
     # no db entity: that step deletes nothing and is not reported
     assert got == [(1, "column", 2, 2), (2, "table", 1, 1), (4, "rest", 1, 0)]
     assert cleaned.where(F.col("status") == "ACTIVE").count() == 0
+
+
+def test_search_texts_reads_whole_texts_and_limits_after_filtering(spark):
+    ents = _ents(spark, [(f"doc.{i}", "document", str(i), 1, "ACTIVE") for i in range(4)]
+                 + [("doc.9", "document", "9", 1, "DELETED")])
+    long_tail = "filler " * 20000 + "Needle here"
+    texts = spark.createDataFrame([(0, "no match"), (1, long_tail), (2, "NEEDLE first"), (3, "needle"),
+                                   (9, "needle but deleted")], "doc_id long, text string")
+    qn = F.concat(F.lit("doc."), F.col("doc_id").cast("string"))
+    got = [r["qualified_name"] for r in E.search_texts(ents, texts, qn, "text", "needle").collect()]
+    assert got == ["doc.1", "doc.2", "doc.3"]  # a match 140k characters in counts; deleted entities do not
+    top = [r["qualified_name"] for r in E.search_texts(ents, texts, qn, "text", "needle", limit=2).collect()]
+    assert top == ["doc.1", "doc.2"]
