@@ -7,14 +7,11 @@ table in a single aggregate pass, whole values, all patterns at once.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.frames import sql_id, sql_str, union_all
-
 from quarry.functions.patterns import CONTENT_TAG_PREFIX, NAME_RULES, SENSITIVE_PATTERNS
 from quarry.sources.tables import spread
 

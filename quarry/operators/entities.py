@@ -11,8 +11,6 @@ runs at data size. Deletes are soft: ``status`` becomes ``DELETED``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 

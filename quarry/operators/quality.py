@@ -9,8 +9,6 @@ distinct key sets rather than raw rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
