@@ -32,3 +32,21 @@ def test_no_nested_loop_over_a_union_with_a_constant_branch(spark):
         assert "NestedLoopJoin" not in plan
     assert semi_join(consts.unionByName(rows), right, "k").count() == 4
     assert anti_join(consts.unionByName(rows), right, "k").count() == 4
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+keys = st.lists(st.one_of(st.none(), st.integers(min_value=0, max_value=5)), max_size=12)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=keys, right=keys)
+def test_semi_anti_match_brute_force(spark, left, right):
+    lf = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "k int, i int")
+    rf = spark.createDataFrame([(k,) for k in right], "k int")
+    present = {k for k in right if k is not None}
+    semi = sorted(r["i"] for r in semi_join(lf, rf, "k").collect())
+    anti = sorted(r["i"] for r in anti_join(lf, rf, "k").collect())
+    assert semi == [i for i, k in enumerate(left) if k is not None and k in present]
+    assert anti == [i for i, k in enumerate(left) if k is None or k not in present]
