@@ -39,3 +39,45 @@ def test_walk_matches_brute_force(spark, edges, start, direction, max_depth):
     got = {r["node"]: r["depth"] for r in
            walk(df, spark.createDataFrame([(start,)], "node string"), direction, max_depth).collect()}
     assert got == brute_force(edges, start, direction, max_depth)
+
+
+rows = st.lists(st.tuples(st.integers(min_value=0, max_value=3), st.integers(min_value=0, max_value=4)),
+                max_size=15)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(changes=rows)
+def test_latest_per_key_matches_brute_force(spark, changes):
+    from quarry.operators.entities import latest_per_key
+    data = [(k, v, i, f"p{i}") for i, (k, v) in enumerate(changes)]  # (version, seq) is a total order per key
+    df = spark.createDataFrame(data, "k int, version int, seq int, payload string")
+    got = {r["k"]: r["payload"] for r in latest_per_key(df, "k", order=("version", "seq")).collect()}
+    want = {}
+    for k, v, i, p in data:
+        if k not in want or (v, i) > want[k][0]:
+            want[k] = ((v, i), p)
+    assert got == {k: p for k, (_, p) in want.items()}
+
+
+parents = st.lists(st.one_of(st.none(), st.integers(min_value=0, max_value=7)), min_size=1, max_size=8)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(parent_of=parents)
+def test_hierarchy_matches_brute_force(spark, parent_of):
+    from quarry.operators.graph import hierarchy
+    n = len(parent_of)
+    pointers = [(f"v{i}", None if p is None else f"v{p % n}") for i, p in enumerate(parent_of)]
+    nodes = spark.createDataFrame([(a, b, "k") for a, b in pointers], "node string, parent string, kind string")
+    got = {r["node"]: (r["root"], r["depth"]) for r in hierarchy(nodes).collect()}
+    want = {}
+    for a, _ in pointers:  # follow the pointers up; nodes on a cycle never reach a root
+        seen, cur, d = set(), a, 0
+        while cur is not None and cur not in seen:
+            seen.add(cur)
+            par = dict(pointers)[cur]
+            if par is None:
+                want[a] = (cur, d)
+                break
+            cur, d = par, d + 1
+    assert got == want
