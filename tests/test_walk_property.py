@@ -81,3 +81,25 @@ def test_hierarchy_matches_brute_force(spark, parent_of):
                 break
             cur, d = par, d + 1
     assert got == want
+
+
+level_parents = st.lists(st.one_of(st.none(), st.integers(min_value=0, max_value=5)), max_size=8)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(top_flags=st.lists(st.booleans(), min_size=1, max_size=4), mid=level_parents, low=level_parents)
+def test_cascade_matches_brute_force(spark, top_flags, mid, low):
+    from pyspark.sql import functions as F
+    from quarry.operators.lineage import cascade_soft_delete
+    top = spark.createDataFrame([(i, "drop" if f else "keep") for i, f in enumerate(top_flags)], "k int, name string")
+    mid_df = spark.createDataFrame([(i, p) for i, p in enumerate(mid)], "k int, p int")
+    low_df = spark.createDataFrame([(i, p) for i, p in enumerate(low)], "k int, p int")
+    levels = [("top", top, "k", None), ("mid", mid_df, "k", "p"), ("low", low_df, None, "p")]
+    got = {r["table_name"]: (r["deleted_rows"], r["remaining_rows"])
+           for r in cascade_soft_delete(levels, F.col("name") == "drop").collect()}
+    dead_top = {i for i, f in enumerate(top_flags) if f}
+    dead_mid = {i for i, p in enumerate(mid) if p in dead_top}
+    dead_low = [i for i, p in enumerate(low) if p in dead_mid]
+    assert got == {"top": (len(dead_top), len(top_flags) - len(dead_top)),
+                   "mid": (len(dead_mid), len(mid) - len(dead_mid)),
+                   "low": (len(dead_low), len(low) - len(dead_low))}
