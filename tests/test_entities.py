@@ -97,3 +97,14 @@ def test_search_texts_reads_whole_texts_and_limits_after_filtering(spark):
     assert got == ["doc.1", "doc.2", "doc.3"]  # a match 140k characters in counts; deleted entities do not
     top = [r["qualified_name"] for r in E.search_texts(ents, texts, qn, "text", "needle", limit=2).collect()]
     assert top == ["doc.1", "doc.2"]
+
+
+def test_stored_catalog_point_read_pushes_the_key_filter(spark):
+    from quarry.session import fresh_dir
+    ents = _ents(spark, [(f"t.{i}", "table", str(i), 1, "ACTIVE") for i in range(50)])
+    stored = E.store_by_key(ents, fresh_dir(spark, "by_key"), files=4)
+    wanted = [r["key"] for r in ents.where(F.col("qualified_name").isin("t.3", "t.41")).collect()]
+    got = E.get(stored, wanted)
+    assert sorted(r["qualified_name"] for r in got.collect()) == ["t.3", "t.41"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(key" in plan or "PushedFilters: [IsNotNull(key), In(key" in plan
