@@ -199,7 +199,8 @@ class VersionedTable:
         ids = {v: base + i + 1 for i, v in enumerate(values)}
         mapping = self.spark.createDataFrame([(v, s) for v, s in ids.items()],
                                              f"_batch {df.schema[batch_col].dataType.simpleString()}, {SNAPSHOT_COL} long")
-        body = df.join(F.broadcast(mapping), df[batch_col] == mapping["_batch"]).drop(batch_col, "_batch")
+        # null-safe: rows whose batch value is null get that value's snapshot instead of vanishing
+        body = df.join(F.broadcast(mapping), df[batch_col].eqNullSafe(mapping["_batch"])).drop(batch_col, "_batch")
         schema = self.schema()
         body = body.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], SNAPSHOT_COL)
         (body.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -101,3 +101,12 @@ def test_append_batches_refuses_a_key_as_batch_column(spark):
     assert not t.exists()  # refused before anything was declared or written
     assert t.append_batches(df, "day", max_batches=10) == [1, 2, 3, 4, 5]
     assert t.read().count() == 50
+
+
+def test_append_batches_keeps_rows_with_a_null_batch_value(spark):
+    t = VersionedTable(spark, fresh_dir(spark, "t"), "null_batches")
+    df = spark.createDataFrame([(1, None), (2, 2020), (3, None), (4, 2021)], "id int, yr int")
+    ids = t.append_batches(df, "yr")
+    assert len(ids) == 3 and t.read().count() == 4
+    added = {r["snapshot_id"]: r["added_rows"] for r in t.snapshots().collect()}
+    assert sorted(added.values()) == [1, 1, 2]
