@@ -259,9 +259,9 @@ def store_by_key(entities: DataFrame, path: str, files: int | None = None) -> Da
     (only the footers of the other files are read).
     """
     spark = entities.sparkSession
-    n = files or spark.sparkContext.defaultParallelism
-    (entities.repartitionByRange(n, "key").sortWithinPartitions("key")
-     .write.mode("overwrite").parquet(path))
+    # without an explicit count AQE sizes the range partitions (advisory partition size)
+    ranged = entities.repartitionByRange(files, "key") if files else entities.repartitionByRange("key")
+    ranged.sortWithinPartitions("key").write.mode("overwrite").parquet(path)
     return spark.read.schema(entities.schema).parquet(path)
 
 
