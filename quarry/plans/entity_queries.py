@@ -33,7 +33,7 @@ def build_catalog(spark: SparkSession, sf_dir: str, table_allow: list[str] | Non
     page HTML included, once per reference.
     """
     if written:
-        return materialize(build_catalog(spark, sf_dir, table_allow, assets), "catalog").frame
+        return materialize(build_catalog(spark, sf_dir, table_allow, assets), "catalog", measure_bytes=False).frame
     tables = read_tables(spark, sf_dir, ALL_TABLES)
     mt = M.meta_tables(spark, tables, allow=table_allow)
     mc = M.meta_columns(spark, tables)

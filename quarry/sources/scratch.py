@@ -46,9 +46,10 @@ def _row_bytes(df: DataFrame):
     return size
 
 
-def materialize(df: DataFrame, purpose: str = "rounds") -> Materialized:
+def materialize(df: DataFrame, purpose: str = "rounds", measure_bytes: bool = True) -> Materialized:
     """The frame read back from a written table, with its measured rows and
-    in-memory bytes, all from one write job.
+    in-memory bytes, all from one write job. ``measure_bytes=False`` skips the
+    per-row size (bytes is then -1, which is never broadcastable).
 
     Unlike ``checkpoint(eager=True)``, which runs the plan once to count and
     again to write, the write computes the plan once and the observation
@@ -57,7 +58,8 @@ def materialize(df: DataFrame, purpose: str = "rounds") -> Materialized:
     spark = df.sparkSession
     path = fresh_dir(spark, purpose)
     seen = Observation()
-    (df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
+    size = F.sum(_row_bytes(df)) if measure_bytes else F.lit(-1)
+    (df.observe(seen, F.count(F.lit(1)).alias("rows"), size.alias("bytes"))
      .write.mode("overwrite").parquet(path))
     got = seen.get
     return Materialized(spark.read.schema(df.schema).parquet(path), int(got["rows"]), int(got["bytes"] or 0))
@@ -75,6 +77,8 @@ def broadcastable(m: Materialized, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     ``quarry.broadcast.maxBytes``); a session that disables broadcast joins
     (``spark.sql.autoBroadcastJoinThreshold = -1``) gets none from here either.
     """
+    if m.bytes < 0:  # not measured
+        return False
     conf = m.frame.sparkSession.conf
     if str(conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip() == "-1":
         return False

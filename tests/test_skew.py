@@ -105,3 +105,9 @@ def test_broadcast_bounds_follow_the_session(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert broadcastable(m)
+
+
+def test_unmeasured_materialization_is_never_broadcast(spark):
+    from quarry.sources.scratch import broadcastable, materialize
+    m = materialize(spark.range(3), "unmeasured", measure_bytes=False)
+    assert m.rows == 3 and m.bytes == -1 and not broadcastable(m)
