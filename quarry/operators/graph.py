@@ -70,7 +70,9 @@ def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT
     max_depth`` (direction IN / OUT / BOTH per walk). Returns ``walk, node,
     depth`` with the minimum depth per (walk, node). A visited anti-join keeps
     each node in the first round that reaches it, so cycles terminate; the
-    loop stops when every frontier is empty or at its depth limit.
+    loop stops when every frontier is empty or at its depth limit. Each walk
+    has one graph, direction and depth limit; frontier rows carry them, so a
+    round needs no lookup of its walk's settings.
     """
     # one small job: the deepest limit and the directions in use (bounded by the number of walks)
     summary = starts.agg(F.max("max_depth").alias("deepest"),
@@ -79,7 +81,6 @@ def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT
         if d not in ("IN", "OUT", "BOTH"):
             raise ValueError(f"direction must be IN, OUT or BOTH, not {d}")
     deepest = summary["deepest"] or 0
-    limits = starts.select("walk", "graph", F.upper("direction").alias("direction"), "max_depth").distinct()
     edges = edges.select("graph", "src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     if deepest > 1:
         # every round reads the edges again: derive them once and keep them as a table
@@ -90,24 +91,24 @@ def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT
     dirs = set(summary["dirs"])
     sides = ([out] if dirs & {"OUT", "BOTH"} else []) + ([inn] if dirs & {"IN", "BOTH"} else [])
     adj = _union(sides)
-    m = _materialize(starts.select("walk", "node").distinct().withColumn("depth", F.lit(0)))
+    carried = ["walk", "graph", "direction", "max_depth"]
+    m = _materialize(starts.select("walk", "graph", F.upper("direction").alias("direction"), "max_depth", "node")
+                     .distinct().withColumn("depth", F.lit(0)))
     levels = [m.frame]  # materialized levels: their union has a short lineage
     for d in range(1, deepest + 1):
         if m.rows == 0:
             break
-        active = (m.frame.join(limits, "walk").where(F.col("max_depth") >= d)
-                  .select("walk", "graph", F.col("node").alias("frm"), "direction"))
-        # the probe side is the measured frontier plus two short per-walk strings
-        small = broadcastable(Materialized(active, m.rows, m.bytes + 32 * m.rows), broadcast_rows, broadcast_bytes)
-        side = F.broadcast(active) if small else active
+        active = m.frame.where(F.col("max_depth") >= d).select(*carried, F.col("node").alias("frm"))
+        # the probe side is a filtered projection of the measured frontier, so the measure bounds it
+        side = F.broadcast(active) if broadcastable(m, broadcast_rows, broadcast_bytes) else active
         # not de-duplicated edges: the distinct on (walk, node) absorbs repeats
         reached = (adj.join(side, ["graph", "frm"])
                    .where((F.col("direction") == "BOTH") | (F.col("direction") == F.col("dir")))
-                   .select("walk", F.col("to").alias("node")).distinct())
+                   .select(*carried, F.col("to").alias("node")).distinct())
         visited = _union(levels).select("walk", "node")
         m = _materialize(reached.join(visited, ["walk", "node"], "left_anti").withColumn("depth", F.lit(d)))
         levels.append(m.frame)
-    return _union(levels)
+    return _union(levels).select("walk", "node", "depth")
 
 
 def hierarchy(nodes: DataFrame, max_depth: int = 64, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
