@@ -59,11 +59,12 @@ def walk(edges: DataFrame, start: DataFrame, direction: str = "BOTH", max_depth:
               .select(F.lit("w").alias("walk"), F.lit("g").alias("graph"), "node",
                       F.lit(direction.upper()).alias("direction"), F.lit(max_depth).alias("max_depth")))
     g = edges.select(F.lit("g").alias("graph"), F.col(src).alias("src"), F.col(dst).alias("dst"))
-    return walk_many(g, starts, broadcast_rows, broadcast_bytes).select("node", "depth")
+    return (walk_many(g, starts, broadcast_rows, broadcast_bytes, settings=(max_depth, {direction.upper()}))
+            .select("node", "depth"))
 
 
 def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-              broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+              broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, settings=None) -> DataFrame:
     """Several walks in one breadth-first loop.
 
     ``edges``: ``graph, src, dst``; ``starts``: ``walk, graph, node, direction,
@@ -72,15 +73,19 @@ def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT
     each node in the first round that reaches it, so cycles terminate; the
     loop stops when every frontier is empty or at its depth limit. Each walk
     has one graph, direction and depth limit; frontier rows carry them, so a
-    round needs no lookup of its walk's settings.
+    round needs no lookup of its walk's settings. ``settings`` = (deepest
+    limit, set of directions) when the caller knows them; otherwise one small
+    job reads them from ``starts``.
     """
-    # one small job: the deepest limit and the directions in use (bounded by the number of walks)
-    summary = starts.agg(F.max("max_depth").alias("deepest"),
-                         F.collect_set(F.upper("direction")).alias("dirs")).first()
-    for d in summary["dirs"]:
+    if settings is None:
+        # one small job: the deepest limit and the directions in use (bounded by the number of walks)
+        summary = starts.agg(F.max("max_depth").alias("deepest"),
+                             F.collect_set(F.upper("direction")).alias("dirs")).first()
+        settings = (summary["deepest"], set(summary["dirs"]))
+    deepest, dirs = settings[0] or 0, set(settings[1])
+    for d in dirs:
         if d not in ("IN", "OUT", "BOTH"):
             raise ValueError(f"direction must be IN, OUT or BOTH, not {d}")
-    deepest = summary["deepest"] or 0
     edges = edges.select("graph", "src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     if deepest > 1:
         # every round reads the edges again: derive them once and keep them as a table
@@ -88,7 +93,6 @@ def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT
     out = edges.select("graph", F.col("src").alias("frm"), F.col("dst").alias("to"), F.lit("OUT").alias("dir"))
     inn = edges.select("graph", F.col("dst").alias("frm"), F.col("src").alias("to"), F.lit("IN").alias("dir"))
     # only the orientations some walk follows: an upstream-only walk never reads the edges forwards
-    dirs = set(summary["dirs"])
     sides = ([out] if dirs & {"OUT", "BOTH"} else []) + ([inn] if dirs & {"IN", "BOTH"} else [])
     adj = _union(sides)
     carried = ["walk", "graph", "direction", "max_depth"]
