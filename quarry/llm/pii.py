@@ -99,6 +99,11 @@ def _spans(text: Column, kind: str, pattern: str, gate: str) -> Column:
     return F.when(text.rlike(gate), F.aggregate(parts, start, step, lambda s: s["found"])).otherwise(F.array().cast(_SPAN))
 
 
+def _base(text: Column, kind: str) -> Column:
+    """The matches of a base pattern that pass its check."""
+    return F.filter(_spans(text, kind, BASE[kind], _GATE[kind]), lambda s: _valid(kind, s["text"]))
+
+
 def _plain(text: Column) -> Column:
     """The text with its own U+FDD0 and U+FDD1 made U+FFFD (as long, and in no pattern)."""
     text = F.coalesce(text, F.lit(""))
@@ -166,7 +171,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pr
     """doc_id, base and spans (arrays of kind number, start, end; sorted) for each row."""
     text = _plain(docs[text_col].cast("string"))
     slim = docs.select(docs[id_col].alias("doc_id"), text.alias("text"))
-    base = F.concat(*[F.filter(_spans(F.col("text"), k, BASE[k], _GATE[k]), lambda s, k=k: _valid(k, s["text"])) for k in KINDS])
+    base = F.concat(*[_base(F.col("text"), k) for k in KINDS])
     loose = F.concat(*[_spans(F.col("text"), k, LOOSE[k], _LOOSE_GATE[k]) for k in KINDS])
     narrow = "struct<kind:int,start:int,end:int>"
     found = slim.select("doc_id", base.alias("base"), loose.alias("loose"), "text")
