@@ -18,8 +18,8 @@ broadcast): any order gives the same result, rare words first give short runs.
 Groups of thousands of near copies would make a square of pairs. So a line
 first takes the ``NEAREST`` candidates of each run (least bitmap difference),
 which are verified by their words. Only lines that no such pair settles, and
-that have more candidates, go into a second pass with all their candidates:
-the result is the same as with all pairs. Words are compared by the lines'
+that have more candidates, go into a second pass over the runs of their words,
+with all their candidates: the result is the same as with all pairs. Words are compared by the lines'
 text, fetched for the lines in question.
 
 Defined results: null text has no lines; lines without a word are kept and never
@@ -38,33 +38,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import free_name, runs, utf8, written
+from quarry.sources.scratch import Materialized, broadcastable, materialize
 
 THRESHOLD = 0.8
 NEAREST = 2
 COUNTERS = 1 << 18
 _BLOCK = 512
+_SMALL = 24
 
 
 def words_of(line: bytes) -> list[bytes]:
     return line.lower().split()
 
 
+class _Hashes(dict):
+    """XXH64 of the words met lately."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_KNOWN = _Hashes()
+
+
 def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, line number, line, word hash) of the distinct words of each
     line of a batch, sorted by line and hash; lines count through the batch."""
-    digest = xxhash.xxh64_intdigest
-    known: dict[bytes, int] = {}
+    if len(_KNOWN) > 500_000:
+        _KNOWN.clear()
     hashes: list[int] = []
     doc, number, size = [], [], []
     for d, text in enumerate(texts):
-        for i, line in enumerate(text.split(b"\n")):
-            words = set(words_of(line))
+        for i, line in enumerate(text.lower().split(b"\n")):
+            words = set(line.split())
             if words:
-                for w in words:
-                    h = known.get(w)
-                    if h is None:
-                        h = known[w] = digest(w)
-                    hashes.append(h)
+                hashes.extend(map(_KNOWN.__getitem__, words))
                 doc.append(d)
                 number.append(i)
                 size.append(len(words))
@@ -101,11 +110,12 @@ def _counters(slim: DataFrame) -> np.ndarray:
     return out
 
 
-_INDEX = "word long, doc long, low long, high long, same long, line int, size int, place int"
+_INDEX = "word int, doc long, low long, high long, same long, line int, size int, place int"
 
 
 def _index(slim: DataFrame, counters, threshold: float) -> DataFrame:
-    """One row for each prefix word of each line: the word, the line's place in
+    """One row for each prefix word of each line: the word (32 bits of its hash:
+    where two words share them, their lines meet for nothing), the line's place in
     the order (doc, line), its set hash, 128-bit bitmap and size, the word's place."""
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = counters.value
@@ -131,7 +141,7 @@ def _index(slim: DataFrame, counters, threshold: float) -> DataFrame:
                 high = np.bitwise_xor.reduceat(np.where(bit >= 64, one, np.uint64(0)), first[:-1])
                 keep = place < _prefix(size, threshold)[line]
                 at_line = line[keep]
-                cols = [h[keep].view(np.int64), key[doc[at_line]], low[at_line].view(np.int64), high[at_line].view(np.int64),
+                cols = [(h[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32), key[doc[at_line]], low[at_line].view(np.int64), high[at_line].view(np.int64),
                         same[at_line].view(np.int64), number[at_line].astype(np.int32), size[at_line].astype(np.int32),
                         place[keep].astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols],
@@ -205,31 +215,78 @@ def _pairs(index: DataFrame, threshold: float, nearest: int | None) -> DataFrame
 
     columns = [c for c in index.columns if c != "word"]
 
+    def of_small(r: dict[str, np.ndarray], left: np.ndarray) -> tuple:
+        """The same for many runs of at most ``_SMALL`` rows one after the other;
+        ``left``: rows from each one to the end of its run."""
+        n = len(left)
+        size, place = r["size"].astype(np.int64), r["place"].astype(np.int64)
+        low, high = r["low"].view(np.uint64), r["high"].view(np.uint64)
+        equal = np.full(n, -1, dtype=np.int64)
+        for k in range(1, _SMALL):
+            x = np.flatnonzero(left > k)
+            x = x[r["same"][x] == r["same"][x + k]]
+            new = x + k
+            new = equal[new] < 0
+            equal[(x + k)[new]] = x[new]
+        first = (equal < 0) & (size + 1e-9 >= threshold / (1 - threshold))
+        found = []
+        for k in range(1, _SMALL):
+            x = np.flatnonzero(left > k)
+            x = x[first[x] & first[x + k]]
+            a, b = size[x], size[x + k]
+            need = _least_overlap(a, b, threshold)
+            ok = (np.minimum(a, b) >= need) & (np.minimum(a - place[x], b - place[x + k]) >= need)
+            x, need, both = x[ok], need[ok], (a + b)[ok]
+            differ = np.bitwise_count(low[x] ^ low[x + k]).astype(np.int64) + np.bitwise_count(high[x] ^ high[x + k])
+            ok = differ <= both - 2 * need
+            found.append(np.stack([x[ok] + k, differ[ok], x[ok]]))
+        y, differ, x = np.concatenate(found, axis=1)
+        order = np.lexsort((x, differ, y))
+        y, x = y[order], x[order]
+        many = np.bincount(y, minlength=n)
+        cuts = runs(y)
+        nearer = np.arange(len(y)) - np.repeat(cuts[:-1], np.diff(cuts)) < nearest
+        y, x = y[nearer], x[nearer]
+        e = np.flatnonzero(equal >= 0)
+        yy, xx = np.concatenate([e, y]), np.concatenate([equal[e], x])
+        settled = np.arange(len(yy)) < len(e)
+        return (r["doc"][yy], r["line"][yy], r["doc"][xx], r["line"][xx], settled, ~settled & (many[yy] > nearest))
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, held = None, []
+        word, held = None, []  # the last word and its rows so far
 
         def close() -> Iterator[tuple]:
             r = held[0] if len(held) == 1 else {c: np.concatenate([x[c] for x in held]) for c in columns}
             if len(r["doc"]) > 1:
                 yield from of_run(r)
 
-        rows: list[tuple] = []
         for b in batches:
+            if not b.num_rows:
+                continue
             w = b.column("word").to_numpy()
             cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in columns}
             cuts = runs(w)
-            # a run that lies whole inside the batch and has one row has no pair
-            last = len(cuts) - 2
-            for k in np.flatnonzero((np.diff(cuts) > 1) | np.isin(np.arange(last + 1), (0, last))).tolist():
-                lo, hi = cuts[k], cuts[k + 1]
-                if word is not None and w[lo] != word:
-                    rows += close()
-                    held = []
-                word = w[lo]
-                held.append({c: v[lo:hi] for c, v in cols.items()})
+            lo = 0
+            if word is not None and w[0] == word:  # goes on
+                held.append({c: v[:cuts[1]] for c, v in cols.items()})
+                lo = 1
+            if lo == len(cuts) - 1:
+                continue
+            rows: list[tuple] = list(close()) if word is not None else []
+            sizes = np.diff(cuts)
+            inner = np.arange(len(sizes))[lo:-1]
+            big = inner[sizes[inner] > (_SMALL if nearest is not None else 1)]
+            for k in big.tolist():
+                rows += of_run({c: v[cuts[k]:cuts[k + 1]] for c, v in cols.items()})
+            if nearest is not None:
+                small = inner[(sizes[inner] > 1) & (sizes[inner] <= _SMALL)]
+                if len(small):
+                    left = np.repeat(cuts[1:], sizes) - np.arange(len(w))
+                    chosen = np.isin(np.repeat(np.arange(len(sizes)), sizes), small)
+                    rows.append(of_small({c: v[chosen] for c, v in cols.items()}, left[chosen]))
+            word, held = w[-1], [{c: v[cuts[-2]:] for c, v in cols.items()}]
             if rows:
                 yield batch(rows)
-                rows = []
         if word is not None:
             yield batch(list(close()))
 
@@ -247,11 +304,16 @@ def _alike(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("line")], names=["doc", "line"]).filter(pa.array(good, pa.bool_()))
 
 
+def _small_side(m: Materialized) -> DataFrame:
+    """The table for a join's small side: broadcast if its measured size allows."""
+    return F.broadcast(m.frame) if broadcastable(m) else m.frame
+
+
 def _verified(pairs: DataFrame, slim: DataFrame, threshold: float) -> DataFrame:
     """(doc, line) of the pairs' lines that are like the earlier one, by their words."""
-    wanted = pairs.select("doc", "line").union(pairs.select("other_doc", "other_line")).distinct()
+    wanted = materialize(pairs.select("doc", "line").union(pairs.select("other_doc", "other_line")).distinct(), "llm/lines")
     lines = slim.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "words"))
-    fetched = lines.join(wanted, ["doc", "line"])
+    fetched = lines.join(_small_side(wanted), ["doc", "line"])
     fetched, _ = written(fetched.select("doc", "line", "words"), "lines")
     one = pairs.join(fetched, ["doc", "line"])
     two = one.join(fetched.select(F.col("doc").alias("other_doc"), F.col("line").alias("other_line"),
@@ -289,8 +351,13 @@ def later_matches(slim: DataFrame, threshold: float = THRESHOLD, nearest: int =
     rest, seen = written(first.where("more").select("doc", "line").distinct().join(good, ["doc", "line"], "left_anti"), "lines")
     if not seen["rows"]:
         return good
-    ask = rest.withColumn("ask", F.lit(True))
-    index = (_index(slim, counters, threshold).join(ask, ["doc", "line"], "left")
+    # the second pass takes the runs of the open lines' words only
+    index = _index(slim, counters, threshold)
+    asked = materialize(rest.withColumn("ask", F.lit(True)), "llm/lines")
+    own = slim.join(_small_side(materialize(rest.select("doc").distinct(), "llm/lines")), "doc").select("doc", "text")
+    words = materialize(_index(own, counters, threshold).join(_small_side(asked), ["doc", "line"]).select("word").distinct(),
+                        "llm/lines")
+    index = (index.join(_small_side(words), "word").join(_small_side(asked), ["doc", "line"], "left")
              .withColumn("ask", F.coalesce("ask", F.lit(False))))
     again = _pairs(index.select("word", "doc", "low", "high", "same", "line", "size", "place", "ask"), threshold, None)
     again = again.select("doc", "line", "other_doc", "other_line").distinct().join(first, ["doc", "line", "other_doc", "other_line"], "left_anti")
