@@ -13,6 +13,8 @@ partitions.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,20 +117,21 @@ def walk_many(edges: DataFrame, starts: DataFrame, broadcast_rows: int = DEFAULT
     return _union(levels).select("walk", "node", "depth")
 
 
-def hierarchy(nodes: DataFrame, max_depth: int = 64, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+def hierarchy(nodes: DataFrame, max_depth: int | None = None, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
               broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Top-down walk of a parent-pointer forest.
 
     ``nodes`` has ``node, parent, kind``; roots have a null parent. Returns
     ``node, kind, root, depth`` for every node reachable from a root. Each
     node has one parent, so every node is reached once; nodes on a pointer
-    cycle, or under a missing parent, are never reached.
+    cycle, or under a missing parent, are never reached. The walk ends when a
+    level has no children; ``max_depth`` cuts it only if given.
     """
     m = _materialize(nodes.where(F.col("parent").isNull())
                      .select("node", "kind", F.col("node").alias("root"), F.lit(0).alias("depth")))
     levels = [m.frame]
-    for d in range(1, max_depth + 1):
-        if m.rows == 0:
+    for d in count(1):
+        if m.rows == 0 or (max_depth is not None and d > max_depth):
             break
         # the probe side is a projection of the measured level, so the measure bounds it
         parents = m.frame.select(F.col("node").alias("parent"), "root")

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.names import DEFAULT_RUN_TS, DEFAULT_SOURCE_SYSTEM, RAW_LAYER, ts_ntz
+from quarry.functions.names import DEFAULT_SOURCE_SYSTEM, RAW_LAYER, ts_ntz
+from quarry.functions.frames import union_all
 from quarry.sources.versioned import VersionedTable
 
 AUDIT_COLUMNS = ["_extracted_at", "_source_system", "_layer"]
@@ -30,7 +31,7 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
-def with_audit_columns(df: DataFrame, extracted_at: str | None = DEFAULT_RUN_TS,
+def with_audit_columns(df: DataFrame, extracted_at: str | None = None,
                        source_system: str = DEFAULT_SOURCE_SYSTEM, layer: str = RAW_LAYER) -> DataFrame:
     """Add the three audit columns. ``extracted_at=None`` stamps the query time."""
     stamp = ts_ntz(extracted_at) if extracted_at is not None else F.current_timestamp().cast("timestamp_ntz")
@@ -42,7 +43,7 @@ def with_audit_columns(df: DataFrame, extracted_at: str | None = DEFAULT_RUN_TS,
 
 
 def select_with_timestamp(df: DataFrame, columns: list[str], ts_name: str = "created_at",
-                          ts_value: str | None = DEFAULT_RUN_TS) -> DataFrame:
+                          ts_value: str | None = None) -> DataFrame:
     """Projection plus a computed timestamp column (the demo's ``select``)."""
     stamp = ts_ntz(ts_value) if ts_value is not None else F.current_timestamp().cast("timestamp_ntz")
     return df.select(*[F.col(c) for c in columns], stamp.alias(ts_name))
@@ -53,7 +54,7 @@ def raw_table_name(table: str) -> str:
 
 
 def ingest_tables(spark: SparkSession, sources: dict[str, DataFrame], warehouse: str,
-                  extracted_at: str | None = DEFAULT_RUN_TS, source_system: str = DEFAULT_SOURCE_SYSTEM,
+                  extracted_at: str | None = None, source_system: str = DEFAULT_SOURCE_SYSTEM,
                   committed_at=None, batch_id: str | None = None, parallelism: int = 8) -> DataFrame:
     """Copy every source into ``raw_<table>`` (create or append).
 
@@ -67,7 +68,7 @@ def ingest_tables(spark: SparkSession, sources: dict[str, DataFrame], warehouse:
                                          committed_at=committed_at, batch_id=batch_id)
             return (name, table.name, sid, "ok", None)
         except Exception as exc:  # isolate the failure to this table
-            return (name, table.name, None, "failed", f"{type(exc).__name__}: {exc}"[:1000])
+            return (name, table.name, None, "failed", f"{type(exc).__name__}: {exc}")
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(one, sources.items()))
@@ -84,9 +85,9 @@ def batch_summary(spark: SparkSession, results: DataFrame, warehouse: str) -> Da
     for r in results.select("table_name", "raw_table").collect():  # one row per source table
         logs.append(VersionedTable(spark, warehouse, r["raw_table"]).log()
                     .select(F.lit(r["table_name"]).alias("table_name"), "snapshot_id", "added_rows"))
-    written = logs[0]
-    for l in logs[1:]:
-        written = written.unionByName(l)
+    written = union_all(logs)
+    if written is None:  # no sources: an empty summary
+        written = spark.createDataFrame([], "table_name string, snapshot_id long, added_rows long")
     per_table = results.join(written, ["table_name", "snapshot_id"], "left")
     return (per_table.rollup("table_name")
             .agg(F.coalesce(F.sum("added_rows"), F.lit(0)).cast("long").alias("records_extracted"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.frames import semi_join
+from quarry.functions.names import DEFAULT_RUN_TS
 from quarry.operators import entities as E
 from quarry.operators import metadata as M
 from quarry.operators.ingest import with_audit_columns
@@ -46,7 +47,7 @@ def build_catalog(spark: SparkSession, sf_dir: str, table_allow: list[str] | Non
 def raw_layer_entities(spark: SparkSession, sf_dir: str, names: list[str], version: int) -> DataFrame:
     """Table + column entities for the raw-layer copies (source columns + audit columns)."""
     tables = read_tables(spark, sf_dir, names)
-    raw = {t: with_audit_columns(df) for t, df in tables.items()}
+    raw = {t: with_audit_columns(df, DEFAULT_RUN_TS) for t, df in tables.items()}
     mt = M.meta_tables(spark, raw)
     mc = M.meta_columns(spark, raw)
     return E.union_entities([E.table_entities(mt, DB, layer="raw", version=version),
@@ -75,17 +76,17 @@ def entity_get(spark, sf_dir):
 
 
 def entity_search(spark, sf_dir):
-    return E.flat(E.search(build_catalog(spark, sf_dir), "order", limit=200))
+    return E.flat(E.search(build_catalog(spark, sf_dir), "order"))
 
 
 TEXT_QUERY = "license"
 
 
 def document_search(spark, sf_dir):
-    """Documents whose text mentions the query, as catalog entities (page size 200)."""
+    """Documents whose text mentions the query, as catalog entities (all of them)."""
     docs = read_tables(spark, sf_dir, ["documents"])["documents"]
     qn = F.concat(F.lit(f"asset.{DB}.document."), F.col("doc_id").cast("string"))
-    return (E.search_texts(build_catalog(spark, sf_dir), docs, qn, "text", TEXT_QUERY, limit=200)
+    return (E.search_texts(build_catalog(spark, sf_dir), docs, qn, "text", TEXT_QUERY)
             .select("type_name", "qualified_name", "name", "description"))
 
 
@@ -310,11 +311,11 @@ def raw_layer_sql(names, version: int, with_columns: bool = True) -> str:
 
 
 _REPLACED = f"""
-WITH base AS {catalog_sql()},
-inc AS {raw_layer_sql(STAR_TABLES, 2)},
-doomed AS (SELECT qualified_name FROM base WHERE type_name = 'table' AND status = 'ACTIVE'
-           AND name IN (SELECT name FROM inc WHERE type_name = 'table')
-           AND key NOT IN (SELECT key FROM inc)),
+WITH base AS MATERIALIZED {catalog_sql()},
+inc AS MATERIALIZED {raw_layer_sql(STAR_TABLES, 2)},
+doomed AS MATERIALIZED (SELECT qualified_name FROM base b WHERE type_name = 'table' AND status = 'ACTIVE'
+           AND EXISTS (SELECT 1 FROM inc i WHERE i.type_name = 'table' AND i.name = b.name)
+           AND NOT EXISTS (SELECT 1 FROM inc i WHERE i.key = b.key)),
 marked AS (
   SELECT key, type_name, qualified_name, name, parent_qn, owner, description, data_type, position,
          CASE WHEN qualified_name IN (SELECT qualified_name FROM doomed)
@@ -323,7 +324,7 @@ marked AS (
          CASE WHEN qualified_name IN (SELECT qualified_name FROM doomed)
                 OR parent_qn IN (SELECT qualified_name FROM doomed) THEN CAST(2 AS BIGINT) ELSE version END AS version
   FROM base),
-replaced AS (SELECT * FROM marked WHERE key NOT IN (SELECT key FROM inc) UNION ALL SELECT * FROM inc)
+replaced AS (SELECT * FROM marked m WHERE NOT EXISTS (SELECT 1 FROM inc i WHERE i.key = m.key) UNION ALL SELECT * FROM inc)
 """
 
 _UPSERT = f"""
@@ -358,12 +359,12 @@ ORACLE = {
         SELECT * FROM {catalog_sql()} WHERE status = 'ACTIVE' AND (
           contains(lower(name), 'order') OR contains(lower(qualified_name), 'order')
           OR contains(lower(coalesce(description, '')), 'order'))
-        ORDER BY qualified_name LIMIT 200""",
+        ORDER BY qualified_name""",
     "document_search": f"""
         SELECT type_name, qualified_name, name, description FROM {catalog_sql()}
         WHERE status = 'ACTIVE' AND qualified_name IN (
           SELECT 'asset.tpch.document.' || doc_id FROM documents WHERE contains(lower(text), '{TEXT_QUERY}'))
-        ORDER BY qualified_name LIMIT 200""",
+        ORDER BY qualified_name""",
     "entity_type_counts": f"""
         SELECT coalesce(type_name, 'unknown') AS type_name, count(*) AS entity_count, min(key) AS first_key
         FROM {catalog_sql()} WHERE status = 'ACTIVE' GROUP BY 1""",
@@ -372,9 +373,9 @@ ORACLE = {
         WHERE status = 'ACTIVE' AND type_name = 'table'""",
     "table_schema": f"WITH cat AS {catalog_sql()} {_TABLE_SCHEMAS}",
     "entity_orphans": f"""
-        WITH cat AS {catalog_sql(REGISTERED)}
-        SELECT type_name, qualified_name, parent_qn FROM cat
-        WHERE parent_qn IS NOT NULL AND parent_qn NOT IN (SELECT qualified_name FROM cat)""",
+        WITH cat AS MATERIALIZED {catalog_sql(REGISTERED)}
+        SELECT type_name, qualified_name, parent_qn FROM cat c
+        WHERE parent_qn IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cat p WHERE p.qualified_name = c.parent_qn)""",
     "catalog_coverage": f"""
         WITH cat AS {catalog_sql(REGISTERED)},
         exp AS (SELECT table_name, count(*) AS expected_columns FROM {_COLS} GROUP BY 1),

@@ -9,25 +9,26 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.names import DEFAULT_RUN_TS
+from quarry.functions.frames import union_all
 from quarry.operators.analytics import top_k_counts_via_lookup
 from quarry.operators.ingest import (batch_summary, ingest_tables, select_with_timestamp,
                                      with_audit_columns)
 from quarry.session import fresh_dir
-from quarry.sources.tables import STAR_TABLES, read_table
+from quarry.sources.tables import ALL_TABLES, read_table, table_path
 from quarry.sources.versioned import SNAPSHOT_COL, VersionedTable
 
-INGEST_SET = STAR_TABLES + ["events"]
+INGEST_SET = ALL_TABLES
 RUN_TS = dt.datetime(2024, 1, 1)
 
 
 def topk_by_key(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
     """Slice 0: customer -> raw snapshot 1 -> read back -> customers per nation, top k."""
     table = VersionedTable(spark, fresh_dir(spark, "topk_by_key"), "raw_customer")
-    table.create(with_audit_columns(read_table(spark, sf_dir, "customer")), committed_at=RUN_TS)
+    table.create(with_audit_columns(read_table(spark, sf_dir, "customer"), DEFAULT_RUN_TS), committed_at=RUN_TS)
     customers = table.read()
     nation = read_table(spark, sf_dir, "nation")
     return top_k_counts_via_lookup(customers, "c_nationkey", nation, "n_nationkey", "n_name",
@@ -35,13 +36,13 @@ def topk_by_key(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
 
 
 def raw_ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_audit_columns(read_table(spark, sf_dir, "orders"))
+    return with_audit_columns(read_table(spark, sf_dir, "orders"), DEFAULT_RUN_TS)
 
 
 def raw_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared-schema table, then append a 4-column projection + timestamp."""
     projected = select_with_timestamp(read_table(spark, sf_dir, "customer"),
-                                      ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
+                                      ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], ts_value=DEFAULT_RUN_TS)
     table = VersionedTable(spark, fresh_dir(spark, "raw_projection"), "customers_demo")
     table.create_if_not_exists(projected.schema)
     table.append(projected, committed_at=RUN_TS)
@@ -50,7 +51,7 @@ def raw_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_create_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declare, then create-or-append two batches; read the union back."""
-    customer = with_audit_columns(read_table(spark, sf_dir, "customer"))
+    customer = with_audit_columns(read_table(spark, sf_dir, "customer"), DEFAULT_RUN_TS)
     table = VersionedTable(spark, fresh_dir(spark, "raw_create_append"), "raw_customer")
     table.create_if_not_exists(customer.schema)  # declares, no snapshot
     first = F.coalesce(F.col("c_acctbal") >= 0, F.lit(False))  # every row lands in exactly one batch
@@ -67,7 +68,7 @@ def version_current(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
 def raw_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = fresh_dir(spark, "raw_batch_summary")
     sources = {t: read_table(spark, sf_dir, t) for t in INGEST_SET}
-    results = ingest_tables(spark, sources, warehouse, committed_at=RUN_TS)
+    results = ingest_tables(spark, sources, warehouse, DEFAULT_RUN_TS, committed_at=RUN_TS)
     return batch_summary(spark, results, warehouse)
 
 
@@ -75,7 +76,7 @@ def orders_by_year(spark: SparkSession, sf_dir: str) -> VersionedTable:
     """orders appended one calendar year per snapshot, in year order, in one write."""
     orders = read_table(spark, sf_dir, "orders").withColumn("_year", F.year("o_orderdate"))
     table = VersionedTable(spark, fresh_dir(spark, "orders_by_year"), "raw_orders")
-    table.append_batches(orders, "_year", committed_at_for=lambda y: dt.datetime(int(y) + 1, 1, 1))
+    table.append_batches(orders, "_year", committed_at_for=lambda y: dt.datetime(int(y) + 1, 1, 1))  # not asked for a null year
     return table
 
 
@@ -97,12 +98,34 @@ def version_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_travel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row count as of every snapshot, from the data (one scan, partition column only)."""
+    """Row count as of every snapshot, each read at its version."""
     table = orders_by_year(spark, sf_dir)
-    per_snapshot = table.read().groupBy(SNAPSHOT_COL).agg(F.count(F.lit(1)).alias("added"))
-    w = Window.orderBy(SNAPSHOT_COL).rowsBetween(Window.unboundedPreceding, 0)
-    return per_snapshot.select(F.col(SNAPSHOT_COL).alias("snapshot_id"),
-                               F.sum("added").over(w).cast("long").alias("row_count"))
+    ids = [r["snapshot_id"] for r in table.log().select("snapshot_id").orderBy("snapshot_id").collect()]
+    return union_all([table.read(version=i).agg(F.lit(i).cast("long").alias("snapshot_id"),
+                                                F.count(F.lit(1)).alias("row_count")) for i in ids])
+
+
+def version_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every version of orders: its rows, customers and value, and the rows
+    and value that came with it, from the data read at that version."""
+    table = orders_by_year(spark, sf_dir)
+    ids = [r["snapshot_id"] for r in table.log().select("snapshot_id").orderBy("snapshot_id").collect()]
+    new = F.col(SNAPSHOT_COL)
+    return union_all([table.read(version=i).agg(
+        F.lit(i).cast("long").alias("version"), F.count(F.lit(1)).alias("n_orders"),
+        F.countDistinct("o_custkey").alias("n_customers"), F.round(F.sum("o_totalprice"), 2).alias("total_price"),
+        F.count(F.when(new == i, 1)).alias("new_orders"),
+        F.round(F.sum(F.when(new == i, F.col("o_totalprice"))), 2).alias("new_price")) for i in ids])
+
+
+def raw_topk_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL text over ingested tables: the raw customers as a temporary view."""
+    table = VersionedTable(spark, fresh_dir(spark, "raw_topk_sql"), "raw_customer")
+    table.create(with_audit_columns(read_table(spark, sf_dir, "customer"), DEFAULT_RUN_TS), committed_at=RUN_TS)
+    return spark.sql("""
+        SELECT c_mktsegment, count(*) AS n_customers, round(avg(c_acctbal), 2) AS mean_balance
+        FROM {raw_customer} GROUP BY c_mktsegment ORDER BY n_customers DESC, c_mktsegment LIMIT 3""",
+                     raw_customer=table.read())
 
 
 def stream_events_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +134,7 @@ def stream_events_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "stream_events_append")
     table = VersionedTable(spark, root, "raw_events")
     schema = read_table(spark, sf_dir, "events").schema
-    query = append_stream(stream_source(spark, sf_dir, "events.parquet", schema), table,
+    query = append_stream(stream_source(spark, table_path(sf_dir, "events"), schema), table,
                           checkpoint=f"{root}/_checkpoint", extracted_at=DEFAULT_RUN_TS)
     run_to_completion(query)
     table.refresh()
@@ -129,6 +152,8 @@ QUERIES = {
     "version_snapshots": version_snapshots,
     "version_files": version_files,
     "time_travel_counts": time_travel_counts,
+    "version_changes": version_changes,
+    "raw_topk_sql": raw_topk_sql,
     "stream_events_append": stream_events_append,
 }
 
@@ -162,7 +187,13 @@ ORACLE = {
           SELECT 'part', count(*) FROM part UNION ALL
           SELECT 'orders', count(*) FROM orders UNION ALL
           SELECT 'lineitem', count(*) FROM lineitem UNION ALL
-          SELECT 'events', count(*) FROM events)
+          SELECT 'events', count(*) FROM events UNION ALL
+          SELECT 'documents', count(*) FROM documents UNION ALL
+          SELECT 'embeddings', count(*) FROM embeddings UNION ALL
+          SELECT 'pages', count(*) FROM pages UNION ALL
+          SELECT 'benchmark', count(*) FROM benchmark UNION ALL
+          SELECT 'labels', count(*) FROM labels UNION ALL
+          SELECT 'conversations', count(*) FROM conversations)
         SELECT table_name, CAST(n AS BIGINT) AS records_extracted, CAST(1 AS BIGINT) AS tables_ok FROM c
         UNION ALL
         SELECT '__total__', CAST(sum(n) AS BIGINT), CAST(count(*) AS BIGINT) FROM c""",
@@ -180,6 +211,16 @@ ORACLE = {
                CASE WHEN snapshot_id = 1 THEN 'create' ELSE 'append' END AS operation,
                added_rows
         FROM s""",
+    "version_changes": """
+        WITH y AS (SELECT *, dense_rank() OVER (ORDER BY year(o_orderdate)) AS v FROM orders),
+        versions AS (SELECT DISTINCT v FROM y)
+        SELECT CAST(s.v AS BIGINT) AS version, count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers,
+               round(sum(o_totalprice), 2) AS total_price, count(*) FILTER (WHERE y.v = s.v) AS new_orders,
+               round(sum(o_totalprice) FILTER (WHERE y.v = s.v), 2) AS new_price
+        FROM versions s JOIN y ON y.v <= s.v GROUP BY s.v""",
+    "raw_topk_sql": """
+        SELECT c_mktsegment, count(*) AS n_customers, round(avg(c_acctbal), 2) AS mean_balance
+        FROM customer GROUP BY c_mktsegment ORDER BY n_customers DESC, c_mktsegment LIMIT 3""",
     "time_travel_counts": _YEARS + """
         SELECT snapshot_id,
                CAST(sum(added_rows) OVER (ORDER BY snapshot_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS row_count

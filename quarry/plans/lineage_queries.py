@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.frames import semi_join
+from quarry.functions.names import DEFAULT_RUN_TS
 from quarry.functions.patterns import CONTENT_TAG_PREFIX, NAME_RULES, SENSITIVE_PATTERNS
 from quarry.operators import classify as C
 from quarry.operators import entities as E
@@ -36,7 +37,7 @@ TEXT_COLUMNS = {"documents": "text", "pages": "html", "conversations": "text"}
 def _ingest(spark, sf_dir, purpose):
     warehouse = fresh_dir(spark, purpose)
     sources = {t: read_table(spark, sf_dir, t) for t in INGEST_SET}
-    results = ingest_tables(spark, sources, warehouse, committed_at=RUN_TS)
+    results = ingest_tables(spark, sources, warehouse, DEFAULT_RUN_TS, committed_at=RUN_TS)
     return warehouse, results
 
 
@@ -134,7 +135,7 @@ def _run_layers(spark: SparkSession, sf_dir: str) -> dict[str, VersionedTable]:
     each stage a versioned table; returns them by qualified name."""
     warehouse = fresh_dir(spark, "layered_etl")
     raw = VersionedTable(spark, warehouse, "raw_orders")
-    raw.create(with_audit_columns(read_table(spark, sf_dir, "orders")), committed_at=RUN_TS)
+    raw.create(with_audit_columns(read_table(spark, sf_dir, "orders"), DEFAULT_RUN_TS), committed_at=RUN_TS)
     processed = VersionedTable(spark, warehouse, "processed_orders")
     clean = (raw.read().where((F.col("o_totalprice") > 0) & F.col("o_orderstatus").isin("F", "O", "P"))
              .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
@@ -181,7 +182,7 @@ def layered_etl_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     guarded = (semi_join(hops, known.withColumnRenamed("qualified_name", "src"), "src")
                .unionByName(semi_join(hops, known.withColumnRenamed("qualified_name", "dst"), "dst")))
     start = spark.createDataFrame([(LAYERS_ANALYTICS,)], "node string")
-    walked = walk(guarded, start, "IN", 2 * 3)  # three table steps, two hops each
+    walked = walk(guarded, start, "IN", hops.count() + 1)  # no path is longer than the hops
     tables_reached = semi_join(walked, known.withColumnRenamed("qualified_name", "node"), "node")
     return (tables_reached.join(counts.withColumnRenamed("qualified_name", "node"), "node", "left")
             .select("node", (F.col("depth") / 2).cast("int").alias("depth"), "record_count"))

@@ -51,7 +51,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """A plain local master (one JVM): ``local``, ``local[n]``; not ``local-cluster``."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def work_dir(spark: SparkSession) -> str:

@@ -71,6 +71,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
+class VersionNotFound(Exception):
+    """The commit log has no such version."""
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark = spark
@@ -155,6 +159,7 @@ class VersionedTable:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
 
     def _commit(self, df: DataFrame, operation: str, committed_at, batch_id) -> int:
+        self.refresh()  # another handle may have committed: its snapshot must not be written over
         rows = self._log_rows()
         if batch_id is not None:
             for r in rows:
@@ -174,24 +179,28 @@ class VersionedTable:
         return sid
 
     def append_batches(self, df: DataFrame, batch_col: str, committed_at_for=None,
-                       max_batches: int = 10_000) -> list[int]:
+                       run_id: str | None = None) -> list[int]:
         """One snapshot per distinct ``batch_col`` value, ascending, written in one job.
 
         Backfills (e.g. one snapshot per year) scan the source once: rows get
         their snapshot id from a broadcast of the small value->id map and are
         written with dynamic partition overwrite, so only the new snapshot
         folders are touched. The log rows for all batches land in one file.
-        The value list is the only thing that reaches the driver, so its size
-        is checked: more than ``max_batches`` distinct values is refused (a
+        Each value's batch id is ``run_id:batch_col=value`` (``run_id``: the
+        column's name by default), so running the same backfill again writes
+        nothing; more rows for the same values need another ``run_id``. Only
+        the values reach the driver, one for each folder that is written (a
         batch column is a coarse grain such as a day or a year, never a key).
+        A null value is a batch of its own; ``committed_at_for`` is not asked
+        for it.
         """
-        values = [r[0] for r in df.select(batch_col).distinct().orderBy(batch_col)
-                  .limit(max_batches + 1).collect()]
-        if len(values) > max_batches:
-            raise ValueError(f"{self.name}: {batch_col} has more than {max_batches} distinct values; "
-                             "use a coarser batch column")
+        self.refresh()
+        done = {r["batch_id"]: r["snapshot_id"] for r in self._log_rows() if r["batch_id"] is not None} if self.exists() else {}
+        batch_ids = {r[0]: f"{run_id or batch_col}:{batch_col}={r[0]}"
+                     for r in df.select(batch_col).distinct().orderBy(batch_col).collect()}
+        values = [v for v, b in batch_ids.items() if b not in done]
         if not values:
-            return []
+            return [done[b] for b in batch_ids.values()]
         first_op = "append" if self.exists() else "create"
         self.create_if_not_exists(df.drop(batch_col).schema)
         parent = max((r["snapshot_id"] for r in self._log_rows()), default=None)
@@ -203,7 +212,8 @@ class VersionedTable:
         body = df.join(F.broadcast(mapping), df[batch_col].eqNullSafe(mapping["_batch"])).drop(batch_col, "_batch")
         schema = self.schema()
         body = body.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], SNAPSHOT_COL)
-        (body.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # a batch's rows come together (AQE splits a large one), not in a file for each task and batch
+        (body.hint("rebalance", SNAPSHOT_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(SNAPSHOT_COL).parquet(self.data_path))
         full = T.StructType(schema.fields + [T.StructField(SNAPSHOT_COL, T.LongType(), True)])
         counts = {r[SNAPSHOT_COL]: r["n"] for r in
@@ -212,25 +222,36 @@ class VersionedTable:
                   .agg(F.count(F.lit(1)).alias("n")).collect()}
         entries, prev = [], parent
         for v, sid in ids.items():
-            when = committed_at_for(v) if committed_at_for else _now()
+            when = committed_at_for(v) if committed_at_for and v is not None else _now()
             entries.append((sid, prev, when, first_op if sid == base + 1 else "append",
-                            int(counts.get(sid, 0)), schema.json(), None))
+                            int(counts.get(sid, 0)), schema.json(), batch_ids[v]))
             prev = sid
         self.spark.createDataFrame(entries, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
-        self._log_cache = (self._log_cache or []) + [(e[0], None) for e in entries]
-        return list(ids.values())
+        self._log_cache = (self._log_cache or []) + [(e[0], e[-1]) for e in entries]
+        return [ids[v] if v in ids else done[b] for v, b in batch_ids.items()]
 
     # ------------------------------------------------------------------ reads
     def read(self, version: int | None = None) -> DataFrame:
-        """Rows visible at ``version`` (default: the latest committed snapshot)."""
+        """Rows visible at ``version`` (default: the latest committed snapshot):
+        those of the logged snapshots up to it. Folders that no log row names
+        (half-written appends) are never read; an unknown version is an error."""
         schema = self.schema()
         full = T.StructType(schema.fields + [T.StructField(SNAPSHOT_COL, T.LongType(), True)])
         upto = self.current_snapshot_id() if version is None else version
         if upto is None:
             return self.spark.createDataFrame([], full)
+        logged = {r["snapshot_id"] for r in self._log_rows()}
+        if upto not in logged:
+            self.refresh()
+            logged = {r["snapshot_id"] for r in self._log_rows()}
+            if upto not in logged:
+                raise VersionNotFound(f"{self.name}: version {upto}")
+        ids = sorted(i for i in logged if i <= upto)
+        col = F.col(SNAPSHOT_COL)
+        # ids without gaps are a range, which prunes folders however long the log is
+        seen = col.between(ids[0], ids[-1]) if len(ids) == ids[-1] - ids[0] + 1 else col.isin(ids)
         return (self.spark.read.schema(full).option("basePath", self.data_path)
-                .parquet(self.data_path)
-                .where(F.col(SNAPSHOT_COL) <= F.lit(int(upto))))
+                .parquet(self.data_path).where(seen))
 
     def snapshots(self) -> DataFrame:
         return self.log().select("committed_at", "snapshot_id", "parent_id", "operation",
