@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import runs
 from quarry.llm.tokens import encoder, texts_of
+from quarry.sources.scratch import broadcastable, materialize
 
 DOCS_PER_SHARD = 4096
 MAX_SHARDS = 65_536
@@ -240,7 +241,10 @@ def read_documents(spark: SparkSession, path: str, keys: DataFrame | None = None
                                               pa.array(np.repeat(key, many))], names=["shard", "key"])
 
     asked = wanted.mapInArrow(assign, "shard long, key long").groupBy("shard").agg(F.collect_list("key").alias("keys"))
-    rows = shards.join(asked, "shard").join(starts, "shard")
+    # the keys go to the shards if their measured size allows, else both are shuffled
+    keys_by_shard = materialize(asked, "llm/token_files")
+    side = F.broadcast(keys_by_shard.frame) if broadcastable(keys_by_shard) else keys_by_shard.frame
+    rows = shards.join(side, "shard").join(starts, "shard")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
