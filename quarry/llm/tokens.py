@@ -21,7 +21,7 @@ import re
 
 import numpy as np
 
-CACHE_PARTS = 500_000
+CACHE_PARTS = 650_000
 CACHED_CHARS = 64
 # White space and controls outside tab..return and the space: encode the whole text.
 _RARE = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]")
