@@ -10,14 +10,18 @@ places of a text, so a text's ids are the ids of its parts in order:
   with the space before it, or a run of white space.
 
 Parts repeat, texts do not, so each worker keeps the ids of the parts that it
-has met lately (two generations of at most ``CACHE_PARTS``). Texts with rare white
-space or control characters, on which Python and the library might disagree,
+has met lately (two generations of at most ``CACHE_PARTS``). The parts not met are
+encoded as one text with a mark between them, whose one id shows where to cut;
+where a part holds the mark itself, they are encoded one by one. Texts with rare
+white space or control characters, on which Python and the library might disagree,
 are encoded as a whole. tests/llm compare both ways on whole texts.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 
@@ -39,6 +43,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.split = str.split if parts == "words" else _SPACES.findall
+        # neither mark is joined with its neighbours: a word of its own, or white space before a part
+        self.between = " \u263c " if parts == "words" else "\n"
+        mark = self.tokenizer.encode(self.between, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -46,6 +54,20 @@ class Encoder:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _part_ids(self, parts: list[str]) -> Iterable[tuple[str, bytes]]:
+        """Each part with its ids, from one text with marks between the parts."""
+        solid = [p for p in parts if not p.isspace()]
+        if self.mark is None or not solid:
+            return zip(parts, self._ids(parts))
+        whole = self.tokenizer.encode_batch_fast([self.between.join(solid)], add_special_tokens=False)[0]
+        ids = np.array(whole.ids, dtype="<u4")
+        marks = np.flatnonzero(ids == self.mark)
+        if len(marks) != len(solid) - 1:  # a part holds the mark
+            return zip(parts, self._ids(parts))
+        raw, firsts, ends = ids.tobytes(), [0, *(4 * marks + 4).tolist()], [*(4 * marks).tolist(), 4 * len(ids)]
+        blank = [p for p in parts if p.isspace()]
+        return chain(zip(solid, (raw[a:b] for a, b in zip(firsts, ends))), zip(blank, self._ids(blank)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each whole text."""
         out: list[bytes | None] = [None] * len(texts)
@@ -63,7 +85,7 @@ class Encoder:
         met = [w for w in new if w in self.old]
         self.young.update((w, self.old[w]) for w in met)
         fresh = [w for w in new if w not in self.old] if met else new
-        self.young.update(zip(fresh, self._ids(fresh)))
+        self.young.update(self._part_ids(fresh))
         ids = self.young.__getitem__
         for i, parts in todo:
             out[i] = b"".join(map(ids, parts))

@@ -324,7 +324,8 @@ def test_parts_give_the_library_ids(name, parts, texts):
                                    for _ in range(3000)]
     rows += ["", " ", "\n\n a", "a  b", "it's 's", "x" * 5000, "y " * 5000]
     e = Encoder(vocabulary(name), parts)
-    for _ in range(2):  # with and without the cache
+    assert e.mark is not None
+    for rows in (rows, rows, ["\u263c", "a \u263c b\u263cc", "new\n\nwords"]):  # without the cache, with it, with the mark
         assert [x + b"\1\0\0\0" for x in e.encode(rows)] == [x.tobytes() for x in library_ids(name, rows, 1)]
 
 
