@@ -12,7 +12,7 @@ enough) and a bitmap filter (the set bits that differ bound the words that
 differ) drop pairs before their words are compared. Equal sets meet with equal
 set hashes and need no comparison.
 
-Rarity comes from counts over all lines in 2^18 hashed counters (a bounded
+Rarity comes from the counts of all words in 2^18 hashed counters (a bounded
 broadcast): any order gives the same result, rare words first give short runs.
 
 Groups of thousands of near copies would make a square of pairs. So a line
@@ -51,36 +51,76 @@ def words_of(line: bytes) -> list[bytes]:
     return line.lower().split()
 
 
-class _Hashes(dict):
-    """XXH64 of the words met lately."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_KNOWN = _Hashes()
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)  # the first n of 8 bytes
+_LONG = 64
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def _hashes(data: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of ``data`` (which goes on for 8 bytes after
+    the last one), eight bytes a step for all words at once; words over
+    ``_LONG`` bytes one by one."""
+    eight = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
+    h = _mix(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    at = np.flatnonzero(size <= _LONG)
+    for done in range(0, _LONG, 8):
+        at = at[size[at] > done]
+        if not len(at):
+            break
+        h[at] = _mix(h[at] ^ (eight[start[at] + done] & _MASK[np.minimum(size[at] - done, 8)]))
+    for i in np.flatnonzero(size > _LONG).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[start[i]:start[i] + size[i]])
+    return h
+
+
+def _parts(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a column by pieces of at most 500 rows and about 2 MB, each
+    with the number of its first row."""
+    texts = utf8(column)
+    first, held = 0, 0
+    for i, text in enumerate(texts):
+        if i > first and (i - first == 500 or held + len(text) > 2 << 20):
+            yield first, texts[first:i]
+            first, held = i, 0
+        held += len(text)
+    if first < len(texts):
+        yield first, texts[first:]
 
 
 def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, line number, line, word hash) of the distinct words of each
-    line of a batch, sorted by line and hash; lines count through the batch."""
-    if len(_KNOWN) > 500_000:
-        _KNOWN.clear()
-    hashes: list[int] = []
-    doc, number, size = [], [], []
-    for d, text in enumerate(texts):
-        for i, line in enumerate(text.lower().split(b"\n")):
-            words = set(line.split())
-            if words:
-                hashes.extend(map(_KNOWN.__getitem__, words))
-                doc.append(d)
-                number.append(i)
-                size.append(len(words))
-    size = np.array(size, dtype=np.int64)
-    line = np.repeat(np.arange(len(size)), size)
-    h = np.array(hashes, dtype=np.uint64)
-    return np.array(doc, dtype=np.int64), np.array(number, dtype=np.int64), line, h
+    """(document, line number) of each line with words and (line, word hash) of
+    each word, repeats included, in order of the texts; lines count through."""
+    data = b"\n" + b"\n".join(texts).lower() + b"\n" * 9
+    raw = np.frombuffer(data, dtype=np.uint8)
+    space = _SPACE[raw]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, end = edge[0::2], edge[1::2]
+    newline = np.flatnonzero(raw == 10)
+    upto = np.searchsorted(start, newline)  # words before each line break
+    words = np.diff(upto)
+    used = np.flatnonzero(words)
+    begin = np.cumsum([0] + [len(t) + 1 for t in texts])  # the line break before each text
+    top = np.searchsorted(newline, begin)
+    doc = np.searchsorted(top, used, side="right") - 1
+    return doc, used - top[doc], np.repeat(np.arange(len(used)), words[used]), _hashes(data, start, end - start)
+
+
+def _ranked(line: np.ndarray, rank: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The order by line, rank and hash, by one sort on a packed key (``line`` is
+    in order already); by all three where the packed keys leave ties open."""
+    key = (line.astype(np.uint64) << np.uint64(42)) | (rank.astype(np.uint64) << np.uint64(24)) | (h >> np.uint64(40))
+    order = np.argsort(key)
+    key, sorted_h = key[order], h[order]
+    if len(key) and (int(line[-1]) >= 1 << 22 or bool(((key[1:] == key[:-1]) & (sorted_h[1:] != sorted_h[:-1])).any())):
+        return np.lexsort((h, rank, line))
+    return order
 
 
 def _prefix(n: np.ndarray, threshold: float) -> np.ndarray:
@@ -93,12 +133,12 @@ def _least_overlap(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray
 
 
 def _counters(slim: DataFrame) -> np.ndarray:
-    """In how many lines a word of each counter occurs, over all lines."""
+    """The rank of each counter by how often its words occur, over all lines; rare first."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, dtype=np.int64)
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                _, _, _, h = _flat(utf8(b.column("text").slice(at, 500)))
+            for _, texts in _parts(b.column("text")):
+                _, _, _, h = _flat(texts)
                 total += np.bincount((h % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["counter", "n"])
@@ -107,7 +147,9 @@ def _counters(slim: DataFrame) -> np.ndarray:
     rows = slim.select("text").mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
     table = rows.toArrow()  # at most COUNTERS rows
     out[table.column("counter").to_numpy()] = table.column("n").to_numpy()
-    return out
+    rank = np.empty(COUNTERS, dtype=np.int64)
+    rank[np.argsort(out, kind="stable")] = np.arange(COUNTERS)
+    return rank
 
 
 _INDEX = "word int, doc long, low long, high long, same long, line int, size int, place int"
@@ -118,16 +160,18 @@ def _index(slim: DataFrame, counters, threshold: float) -> DataFrame:
     where two words share them, their lines meet for nothing), the line's place in
     the order (doc, line), its set hash, 128-bit bitmap and size, the word's place."""
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = counters.value
+        rank = counters.value
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                key = part.column("doc").to_numpy()
-                doc, number, line, h = _flat(utf8(part.column("text")))
+            ids = b.column("doc").to_numpy()
+            for at, texts in _parts(b.column("text")):
+                key = ids[at:at + len(texts)]
+                doc, number, line, h = _flat(texts)
                 if not len(h):
                     continue
-                order = np.lexsort((h, often[(h % np.uint64(COUNTERS)).astype(np.int64)], line))
-                h = h[order]
+                order = _ranked(line, rank[(h % np.uint64(COUNTERS)).astype(np.int64)], h)
+                line, h = line[order], h[order]
+                new = runs(line, h)[:-1]  # repeats of a word go
+                line, h = line[new], h[new]
                 first = runs(line)
                 size = np.diff(first)
                 place = np.arange(len(h)) - first[:-1][line]
