@@ -44,7 +44,7 @@ THRESHOLD = 0.8
 NEAREST = 2
 COUNTERS = 1 << 18
 _BLOCK = 512
-_SMALL = 24
+_SMALL = 128
 
 
 def words_of(line: bytes) -> list[bytes]:
@@ -263,28 +263,36 @@ def _pairs(index: DataFrame, threshold: float, nearest: int | None) -> DataFrame
         """The same for many runs of at most ``_SMALL`` rows one after the other;
         ``left``: rows from each one to the end of its run."""
         n = len(left)
-        size, place = r["size"].astype(np.int64), r["place"].astype(np.int64)
-        low, high = r["low"].view(np.uint64), r["high"].view(np.uint64)
+        end = np.arange(n) + left
         equal = np.full(n, -1, dtype=np.int64)
+        x = np.arange(n)
         for k in range(1, _SMALL):
-            x = np.flatnonzero(left > k)
-            x = x[r["same"][x] == r["same"][x + k]]
-            new = x + k
-            new = equal[new] < 0
-            equal[(x + k)[new]] = x[new]
-        first = (equal < 0) & (size + 1e-9 >= threshold / (1 - threshold))
-        found = []
+            x = x[left[x] > k]
+            if not len(x):
+                break
+            new = x[r["same"][x] == r["same"][x + k]] + k
+            new = new[equal[new] < 0]
+            equal[new] = new - k
+        at = np.flatnonzero((equal < 0) & (r["size"] + 1e-9 >= threshold / (1 - threshold)))
+        left = np.searchsorted(at, end[at]) - np.arange(len(at))
+        size, place = r["size"][at].astype(np.int64), r["place"][at].astype(np.int64)
+        low, high = r["low"][at].view(np.uint64), r["high"][at].view(np.uint64)
+        rest = size - place
+        found = [np.zeros((3, 0), dtype=np.int64)]
+        go = np.arange(len(at))
         for k in range(1, _SMALL):
-            x = np.flatnonzero(left > k)
-            x = x[first[x] & first[x + k]]
-            a, b = size[x], size[x + k]
-            need = _least_overlap(a, b, threshold)
-            ok = (np.minimum(a, b) >= need) & (np.minimum(a - place[x], b - place[x + k]) >= need)
-            x, need, both = x[ok], need[ok], (a + b)[ok]
+            x = go = go[left[go] > k]
+            if not len(x):
+                break
+            both = size[x] + size[x + k]
+            need = _least_overlap(both, 0, threshold)
+            ok = np.flatnonzero(np.minimum(rest[x], rest[x + k]) >= need)  # a size is at least its rest
+            x, need, both = x[ok], need[ok], both[ok]
             differ = np.bitwise_count(low[x] ^ low[x + k]).astype(np.int64) + np.bitwise_count(high[x] ^ high[x + k])
-            ok = differ <= both - 2 * need
+            ok = np.flatnonzero(differ <= both - 2 * need)
             found.append(np.stack([x[ok] + k, differ[ok], x[ok]]))
         y, differ, x = np.concatenate(found, axis=1)
+        y, x = at[y], at[x]
         order = np.lexsort((x, differ, y))
         y, x = y[order], x[order]
         many = np.bincount(y, minlength=n)
