@@ -470,6 +470,42 @@ def test_html_extraction_of_the_given_pages(spark):
         assert got[r.page_id] == re.sub(r"\s+", " ", text).strip()
 
 
+def site(n, article):
+    return (f"<html><body><div class=zq><ul><li>Home</li><li>About us</li></ul></div><p class=xk>Prices are net of tax, page {n}</p>"
+            f"{article}<div class=zz><p>Notice: all rights are ours</p></div></body></html>")
+
+
+def test_what_all_pages_of_a_host_have_is_no_main_text(spark):
+    rows = [(n, f"http://a.com/{n}", site(n, f"<div class=qq><p>Text {n} of <b>one</b>, two</p><p>Own {n * 7}</p></div>")) for n in range(5)]
+    rows += [(9, "http://b.com/9", rows[0][2])]  # alone on its host: no template
+    rows += [(20 + n, f"http://c.com/{n}", f"<body><article><p>The same long article text<p>Version {n}</article>") for n in range(3)]
+    rows += [(30 + n, f"http://d.com/{n}", "<body><p>always the same") for n in range(2)]
+    rows += [(40 + n, f"http://e.com/{n}", f"<article><p>A long enough text of article number {n}<p>Share</article>") for n in range(3)]
+    got = {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(5):
+        assert got[n] == f"Prices are net of tax, page {n} Text {n} of one, two Own {n * 7}"
+    assert "Home" in got[9] and "Notice" in got[9]
+    assert [got[20 + n] for n in range(3)] == [f"The same long article text Version {n}" for n in range(3)]
+    assert got[30] == got[31] == "always the same"
+    assert [got[40 + n] for n in range(3)] == [f"A long enough text of article number {n}" for n in range(3)]
+
+
+def test_a_wrong_template_changes_the_text():
+    def made(*pages):
+        out = {}
+        for page in pages:
+            out = html_wrapper.common(out, html_wrapper.template_of(page))
+        assert html_wrapper._read(html_wrapper._write(out)) == out
+        return out
+
+    a, b = (f"<body><div><p>{n} own</p></div><div>menu</div><p>foot</p></body>" for n in "12")
+    other = [f"<body><div><p>1 own</p></div><div>{n}</div></body>" for n in "34"]
+    assert html_wrapper.Extractor(made(a, b)).text(a) == "1 own"
+    assert html_wrapper.Extractor(made(a, a)).text(a) == "1 own menu foot"
+    assert html_wrapper.Extractor(made(*other)).text(a) == "menu foot"
+    assert made(a, b, *other) == html_wrapper.common(made(*other), made(b, a))
+
+
 # 8 exact dedup -----------------------------------------------------------
 
 def test_exact_dedup_equals_brute_force(spark, monkeypatch):
