@@ -506,6 +506,19 @@ def test_a_wrong_template_changes_the_text():
     assert made(a, b, *other) == html_wrapper.common(made(*other), made(b, a))
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<div class='page has-sidebar'><article><p>a</p></article></div>", "a"),
+    ("<div id='wrap' class='no-sidebar'><article><p>a</p><section id='related-work'><p>r</p></section></article></div>", "a r"),
+    ("<div class='page has-sidebar'><p>a long text</p><div class='sidebar'>s</div></div>", "a long text"),
+    ("<div class='sidebar'><p>all of the text is here</p></div>", "all of the text is here"),
+    ("<form><div class='widget'><article><p>a</p><div class='main-nav'>n</div></article></div></form>", "a"),
+    ("<article><p>short</p><section class='comments'><p>a very long comment of a reader</p></section></article>", "short"),
+    ("<header><h1>Site</h1></header><article><header><h1>T</h1></header><p>a</p></article><div class='site-footer'>f</div>", "T a"),
+    ("<nav>only a menu</nav>", "")])
+def test_layout_classes_keep_the_article(page, text):
+    assert html_wrapper.Extractor({}).text(f"<html><body>{page}</body></html>") == text
+
+
 # 8 exact dedup -----------------------------------------------------------
 
 def test_exact_dedup_equals_brute_force(spark, monkeypatch):
