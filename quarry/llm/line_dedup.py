@@ -152,12 +152,22 @@ def _counters(slim: DataFrame) -> np.ndarray:
     return rank
 
 
+def _first_of_each(line: np.ndarray, word: np.ndarray) -> np.ndarray | slice:
+    """The rows that are the first of their line and word."""
+    key = (line.astype(np.uint64) << np.uint64(32)) | word
+    ordered = np.sort(key)
+    if not (ordered[1:] == ordered[:-1]).any():
+        return slice(None)
+    return np.sort(np.unique(key, return_index=True)[1])
+
+
 _INDEX = "word int, doc long, low long, high long, same long, line int, size int, place int"
 
 
 def _index(slim: DataFrame, counters, threshold: float) -> DataFrame:
     """One row for each prefix word of each line: the word (32 bits of its hash:
-    where two words share them, their lines meet for nothing), the line's place in
+    where two words share them, their lines meet for nothing; where both are of
+    one line, it has one row, at the smaller place), the line's place in
     the order (doc, line), its set hash, 128-bit bitmap and size, the word's place."""
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = counters.value
@@ -184,10 +194,12 @@ def _index(slim: DataFrame, counters, threshold: float) -> DataFrame:
                 low = np.bitwise_xor.reduceat(np.where(bit < 64, one, np.uint64(0)), first[:-1])
                 high = np.bitwise_xor.reduceat(np.where(bit >= 64, one, np.uint64(0)), first[:-1])
                 keep = place < _prefix(size, threshold)[line]
-                at_line = line[keep]
-                cols = [(h[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32), key[doc[at_line]], low[at_line].view(np.int64), high[at_line].view(np.int64),
+                at_line, word, place = line[keep], (h[keep] >> np.uint64(32)).astype(np.uint32), place[keep]
+                one_each = _first_of_each(at_line, word)
+                at_line, word, place = at_line[one_each], word[one_each], place[one_each]
+                cols = [word.view(np.int32), key[doc[at_line]], low[at_line].view(np.int64), high[at_line].view(np.int64),
                         same[at_line].view(np.int64), number[at_line].astype(np.int32), size[at_line].astype(np.int32),
-                        place[keep].astype(np.int32)]
+                        place.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols],
                                                  names=["word", "doc", "low", "high", "same", "line", "size", "place"])
     return slim.mapInArrow(index, _INDEX)

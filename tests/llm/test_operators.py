@@ -296,6 +296,24 @@ def test_line_dedup_on_the_given_texts(spark, texts):
     assert got == want and all(report[d].n_lines == t.count("\n") + 1 for d, t in rows)
 
 
+def words_of_one_key():
+    """Two words that share the 32 bits of the index."""
+    many = [b"%d" % i for i in range(400_000)]
+    size = np.array([len(w) for w in many])
+    h = line_dedup._hashes(b" ".join(many) + b" " * 9, np.cumsum(size + 1) - size - 1, size) >> np.uint64(32)
+    order = np.argsort(h, kind="stable")
+    i = int(np.flatnonzero(h[order][1:] == h[order][:-1])[0])
+    return many[order[i]].decode(), many[order[i + 1]].decode()
+
+
+def test_a_line_never_matches_itself(spark):
+    a, b = words_of_one_key()
+    rows = [(1, f"{a} {b} f1 f2 f3"), (2, "f1\nf2\nf3\nf1\nf2\nf3"), (3, f"{b} g1 g2 g3 g4"), (4, f"{a} {b} f1 f2 f3")]
+    slim = docs_of(spark, rows).select(F.col("doc_id").alias("doc"), "text")
+    got = [(r.doc, r.line) for r in line_dedup.later_matches(slim).collect()]
+    assert sorted(got) == sorted(slow_removed(rows)) and (1, 0) not in got
+
+
 def test_line_dedup_cuts_and_keeps(spark):
     rows = [(2, "a b c\n\nkeep me"), (1, "first one\nA  B c"), (3, None), (None, "first one\nnew"), (2, "keep me\nown"), (4, ""),
             (5, "very " * 100_000)]
