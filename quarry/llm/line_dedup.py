@@ -4,13 +4,17 @@ A line is the set of its words (A-Z lower-cased, white space between); two lines
 are alike if the Jaccard similarity of their sets is ``THRESHOLD`` or more. A line
 is removed if any earlier line (by document id, then line number) is like it.
 
-The join: a line's words are ordered by rarity, and only its prefix (the first
+Lines with equal sets (by a 64-bit hash) meet first, those of the same 500 texts
+already before the shuffle: all but the first are removed, and only the first, the
+lead, goes on. What is like any line of an equal set is like its lead, which is the earliest.
+
+The join: a lead's words are ordered by rarity, and only its prefix (the first
 n - ceil(0.8 n) + 1 of n words) is sent to the other tasks, one row a word; like
 lines share a prefix word. Where two lines meet on a word, the length filter (sizes
 within 0.8), the positional filter (the words left after this place must be
 enough) and a bitmap filter (the set bits that differ bound the words that
-differ) drop pairs before their words are compared. Equal sets meet with equal
-set hashes and need no comparison.
+differ) drop pairs before their words are compared. A word with more than ``RUN``
+leads is dealt in blocks of them: each two blocks meet in a run of their own.
 
 Rarity comes from the counts of all words in 2^18 hashed counters (a bounded
 broadcast): any order gives the same result, rare words first give short runs.
@@ -43,8 +47,10 @@ from quarry.sources.scratch import Materialized, broadcastable, materialize
 THRESHOLD = 0.8
 NEAREST = 2
 COUNTERS = 1 << 18
+RUN = 1 << 16
 _BLOCK = 512
 _SMALL = 128
+_OUT = 200_000  # rows of a batch, about
 
 
 def words_of(line: bytes) -> list[bytes]:
@@ -161,15 +167,16 @@ def _first_of_each(line: np.ndarray, word: np.ndarray) -> np.ndarray | slice:
     return np.sort(np.unique(key, return_index=True)[1])
 
 
-_INDEX = "word int, doc long, low long, high long, same long, line int, size int, place int"
+_SETS = "doc long, line int, low long, high long, same long, size int, words array<int>, gone boolean"
 
 
-def _index(slim: DataFrame, counters, threshold: float) -> DataFrame:
-    """One row for each prefix word of each line: the word (32 bits of its hash:
-    where two words share them, their lines meet for nothing; where both are of
-    one line, it has one row, at the smaller place), the line's place in
-    the order (doc, line), its set hash, 128-bit bitmap and size, the word's place."""
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(slim: DataFrame, counters, threshold: float) -> DataFrame:
+    """One row for each line with words: its place in the order (doc, line), 128-bit
+    bitmap, set hash and size, and the words of its prefix (32 bits of each hash: where two
+    words share them, their lines meet for nothing; none in lines so short that only equal sets
+    are alike). ``gone``: an equal line of the same piece of texts comes before it (no words, and a
+    hash of its place for the set's)."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = counters.value
         for b in batches:
             ids = b.column("doc").to_numpy()
@@ -193,53 +200,127 @@ def _index(slim: DataFrame, counters, threshold: float) -> DataFrame:
                 one = np.uint64(1) << (bit & np.uint64(63))
                 low = np.bitwise_xor.reduceat(np.where(bit < 64, one, np.uint64(0)), first[:-1])
                 high = np.bitwise_xor.reduceat(np.where(bit >= 64, one, np.uint64(0)), first[:-1])
-                keep = place < _prefix(size, threshold)[line]
-                at_line, word, place = line[keep], (h[keep] >> np.uint64(32)).astype(np.uint32), place[keep]
-                one_each = _first_of_each(at_line, word)
-                at_line, word, place = at_line[one_each], word[one_each], place[one_each]
-                cols = [word.view(np.int32), key[doc[at_line]], low[at_line].view(np.int64), high[at_line].view(np.int64),
-                        same[at_line].view(np.int64), number[at_line].astype(np.int32), size[at_line].astype(np.int32),
-                        place.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols],
-                                                 names=["word", "doc", "low", "high", "same", "line", "size", "place"])
-    return slim.mapInArrow(index, _INDEX)
+                doc = key[doc]
+                order = np.lexsort((number, doc, same))
+                gone = np.ones(len(size), dtype=bool)
+                gone[order[runs(same[order])[:-1]]] = False
+                same = np.where(gone, _spread(doc, number), same)
+                # below this size one more word is too many: only equal sets are alike
+                met = ~gone & (size + 1e-9 >= threshold / (1 - threshold))
+                keep = (place < _prefix(size, threshold)[line]) & met[line]
+                ends = np.cumsum(np.bincount(line[keep], minlength=len(size)))
+                words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
+                                                 pa.array((h[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+                cols = [pa.array(c) for c in (doc, number.astype(np.int32), low.view(np.int64), high.view(np.int64), same.view(np.int64),
+                                              size.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*cols, words, pa.array(gone)],
+                                                 names=["doc", "line", "low", "high", "same", "size", "words", "gone"])
+    return slim.mapInArrow(sets, _SETS)
+
+
+def _spread(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """A hash of a line's place."""
+    with np.errstate(over="ignore"):
+        return _mix(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + line.astype(np.uint64))
+
+
+def _led(sets: DataFrame) -> DataFrame:
+    """``sets`` with ``lead``: true for the first line of each set; the others have an equal earlier line."""
+    names = ["doc", "line", "low", "high", "size", "words", "lead"]
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            same = b.column("same").to_numpy()
+            lead = np.append(last is None or same[0] != last, same[1:] != same[:-1])
+            lead &= ~b.column("gone").to_numpy(zero_copy_only=False)  # these come after all others
+            last = same[-1]
+            for good in (True, False):
+                part = b.filter(pa.array(lead == good))
+                cols = [part.column(c) for c in names[:5]]
+                words = part.column("words") if good else pa.nulls(part.num_rows, b.column("words").type)
+                yield pa.RecordBatch.from_arrays([*cols, words, pa.array(np.full(part.num_rows, good))], names=names)
+
+    dealt = sets.repartition("same").sortWithinPartitions("gone", "same", "doc", "line")
+    return dealt.mapInArrow(mark, "doc long, line int, low long, high long, size int, words array<int>, lead boolean")
+
 
+def _blocks_of(leads: DataFrame, run: int):
+    """The words with more than ``run`` leads, in order, and the number of blocks of each, as a
+    broadcast (at most one word for every ``run`` rows of the index)."""
+    table = (leads.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > run)
+             .orderBy("word").toArrow())
+    many = -(-table.column("n").to_numpy() // run)
+    return leads.sparkSession.sparkContext.broadcast((table.column("word").to_numpy(), many))
 
-_PAIR = "doc long, line int, other_doc long, other_line int, equal boolean, more boolean"
+
+_INDEX = "word int, cell int, side byte, doc long, low long, high long, line int, size int, place int"
+
+
+def _index(leads: DataFrame, blocks) -> DataFrame:
+    """One row for each prefix word of each lead (one for two words that share their 32
+    bits, at the smaller place): the word, the lead, and the word's place. Where a word has blocks, a
+    lead goes to the cell of its block and each block: ``side`` tells the two blocks of a cell
+    apart, 2 where all its rows meet."""
+    names = ["word", "cell", "side", "doc", "low", "high", "line", "size", "place"]
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, many = blocks.value
+        for b in batches:
+            counts = np.diff(b.column("words").offsets.to_numpy())
+            ends = np.cumsum(counts)
+            lo = 0
+            while lo < len(counts):  # at most _OUT words, or one line
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _OUT, side="right")))
+                part, n = b.slice(lo, hi - lo), counts[lo:hi]
+                lo = hi
+                word = part.column("words").flatten().to_numpy()
+                if not len(word):
+                    continue
+                at = np.repeat(np.arange(len(n)), n)
+                place = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+                one_each = _first_of_each(at, word.view(np.uint32))
+                at, word, place = at[one_each], word[one_each], place[one_each]
+                cell, side = np.zeros(len(word), dtype=np.int32), np.full(len(word), 2, dtype=np.int8)
+                cols = {c: part.column(c).to_numpy() for c in ("doc", "low", "high", "line", "size")}
+                if len(hot):
+                    found = np.minimum(np.searchsorted(hot, word), len(hot) - 1)
+                    of = np.where(hot[found] == word, many[found], 1)
+                    other = np.arange(of.sum()) - np.repeat(np.cumsum(of) - of, of)
+                    at, word, place, of = (np.repeat(x, of) for x in (at, word, place, of))
+                    own = (_spread(cols["doc"], cols["line"])[at] % of.astype(np.uint64)).astype(np.int64)
+                    cell = (np.minimum(own, other) * of + np.maximum(own, other)).astype(np.int32)
+                    side = np.where(own == other, 2, own > other).astype(np.int8)
+                made = [word, cell, side, *(cols[c][at] for c in ("doc", "low", "high", "line", "size")), place.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], names=names)
+    return leads.mapInArrow(index, _INDEX)
+
+
+_PAIR = "doc long, line int, other_doc long, other_line int, more boolean"
 
 
 def _pairs(index: DataFrame, threshold: float, nearest: int | None) -> DataFrame:
-    """Candidate pairs (a line, an earlier one) of each run of one word. With
+    """Candidate pairs (a line, an earlier one) of each run of one word (and cell). With
     ``nearest``, at most so many a line and run; ``more`` tells that there are
-    others. Equal sets are settled at once (``equal``) and have no other row.
-    Without it, all candidates of the lines whose column ``ask`` is true."""
-    names = ["doc", "line", "other_doc", "other_line", "equal", "more"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_()]
+    others. Without it, all candidates of the lines whose column ``ask`` is true."""
+    names = ["doc", "line", "other_doc", "other_line", "more"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_()]
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
-        cols = [np.concatenate(c) for c in zip(*rows)] if rows else [[]] * 6
+        cols = [np.concatenate(c) for c in zip(*rows)] if rows else [[]] * 5
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
     def of_run(r: dict[str, np.ndarray]) -> Iterator[tuple]:
-        """``r``: the rows of one word in order of (doc, line)."""
+        """``r``: the rows of one run in order of (doc, line)."""
         n = len(r["doc"])
-        # equal sets: the first of each hash stands for all, the others are settled
-        _, first, which = np.unique(r["same"], return_index=True, return_inverse=True)
-        later = np.flatnonzero(first[which] != np.arange(n))
-        if len(later) and nearest is not None:
-            e = first[which[later]]
-            yield (r["doc"][later], r["line"][later], r["doc"][e], r["line"][e], np.ones(len(later), bool), np.zeros(len(later), bool))
-        lead = np.sort(first)
-        # below this size one more word is too many: only equal sets are alike
-        lead = lead[r["size"][lead] + 1e-9 >= threshold / (1 - threshold)]
-        if len(lead) < 2:
-            return
-        size, place = r["size"][lead].astype(np.int64), r["place"][lead].astype(np.int64)
-        low, high = r["low"][lead].view(np.uint64), r["high"][lead].view(np.uint64)
-        doc, line = r["doc"][lead], r["line"][lead]
-        ask = r["ask"][lead] if "ask" in r else np.ones(len(lead), bool)
-        for at in range(1, len(lead), _BLOCK):
-            y = np.arange(at, min(len(lead), at + _BLOCK))
+        size, place = r["size"].astype(np.int64), r["place"].astype(np.int64)
+        low, high = r["low"].view(np.uint64), r["high"].view(np.uint64)
+        doc, line, side = r["doc"], r["line"], r["side"]
+        ask = r["ask"] if "ask" in r else np.ones(n, bool)
+        for at in range(1, n, _BLOCK):
+            y = np.arange(at, min(n, at + _BLOCK))
             y = y[ask[y]]
             if not len(y):
                 continue
@@ -254,10 +335,12 @@ def _pairs(index: DataFrame, threshold: float, nearest: int | None) -> DataFrame
                           + np.bitwise_count(high[y][:, None] ^ high[x][None, :]))
                 ok = ((x[None, :] < y[:, None]) & (np.minimum(size[y][:, None], size[x][None, :]) >= need) & (left >= need)
                       & (differ <= size[y][:, None] + size[x][None, :] - 2 * need))
+                if side[0] != 2:
+                    ok &= side[y][:, None] != side[x][None, :]
                 if nearest is None:
                     i, j = np.nonzero(ok)
                     if len(i):
-                        yield (doc[y[i]], line[y[i]], doc[x[j]], line[x[j]], np.zeros(len(i), bool), np.zeros(len(i), bool))
+                        yield doc[y[i]], line[y[i]], doc[x[j]], line[x[j]], np.zeros(len(i), bool)
                     continue
                 total += ok.sum(axis=1)
                 both = np.hstack([far, np.where(ok, differ, 1 << 30)])
@@ -267,94 +350,85 @@ def _pairs(index: DataFrame, threshold: float, nearest: int | None) -> DataFrame
             if nearest is not None:
                 i, j = np.nonzero(far < 1 << 30)
                 if len(i):
-                    yield (doc[y[i]], line[y[i]], doc[who[i, j]], line[who[i, j]], np.zeros(len(i), bool), total[i] > nearest)
+                    yield doc[y[i]], line[y[i]], doc[who[i, j]], line[who[i, j]], total[i] > nearest
 
-    columns = [c for c in index.columns if c != "word"]
+    columns = [c for c in index.columns if c not in ("word", "cell")]
 
     def of_small(r: dict[str, np.ndarray], left: np.ndarray) -> tuple:
         """The same for many runs of at most ``_SMALL`` rows one after the other;
         ``left``: rows from each one to the end of its run."""
         n = len(left)
-        end = np.arange(n) + left
-        equal = np.full(n, -1, dtype=np.int64)
-        x = np.arange(n)
-        for k in range(1, _SMALL):
-            x = x[left[x] > k]
-            if not len(x):
-                break
-            new = x[r["same"][x] == r["same"][x + k]] + k
-            new = new[equal[new] < 0]
-            equal[new] = new - k
-        at = np.flatnonzero((equal < 0) & (r["size"] + 1e-9 >= threshold / (1 - threshold)))
-        left = np.searchsorted(at, end[at]) - np.arange(len(at))
-        size, place = r["size"][at].astype(np.int64), r["place"][at].astype(np.int64)
-        low, high = r["low"][at].view(np.uint64), r["high"][at].view(np.uint64)
+        size, place = r["size"].astype(np.int64), r["place"].astype(np.int64)
+        low, high, side = r["low"].view(np.uint64), r["high"].view(np.uint64), r["side"]
         rest = size - place
         found = [np.zeros((3, 0), dtype=np.int64)]
-        go = np.arange(len(at))
+        go = np.arange(n)
         for k in range(1, _SMALL):
             x = go = go[left[go] > k]
             if not len(x):
                 break
             both = size[x] + size[x + k]
             need = _least_overlap(both, 0, threshold)
-            ok = np.flatnonzero(np.minimum(rest[x], rest[x + k]) >= need)  # a size is at least its rest
+            meet_ = (side[x] == 2) | (side[x] != side[x + k])
+            ok = np.flatnonzero((np.minimum(rest[x], rest[x + k]) >= need) & meet_)  # a size is at least its rest
             x, need, both = x[ok], need[ok], both[ok]
             differ = np.bitwise_count(low[x] ^ low[x + k]).astype(np.int64) + np.bitwise_count(high[x] ^ high[x + k])
             ok = np.flatnonzero(differ <= both - 2 * need)
             found.append(np.stack([x[ok] + k, differ[ok], x[ok]]))
         y, differ, x = np.concatenate(found, axis=1)
-        y, x = at[y], at[x]
         order = np.lexsort((x, differ, y))
         y, x = y[order], x[order]
         many = np.bincount(y, minlength=n)
         cuts = runs(y)
         nearer = np.arange(len(y)) - np.repeat(cuts[:-1], np.diff(cuts)) < nearest
         y, x = y[nearer], x[nearer]
-        e = np.flatnonzero(equal >= 0)
-        yy, xx = np.concatenate([e, y]), np.concatenate([equal[e], x])
-        settled = np.arange(len(yy)) < len(e)
-        return (r["doc"][yy], r["line"][yy], r["doc"][xx], r["line"][xx], settled, ~settled & (many[yy] > nearest))
+        return r["doc"][y], r["line"][y], r["doc"][x], r["line"][x], many[y] > nearest
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, held = None, []  # the last word and its rows so far
+        run, held = None, []  # the last word and cell, and its rows so far
 
-        def close() -> Iterator[tuple]:
-            r = held[0] if len(held) == 1 else {c: np.concatenate([x[c] for x in held]) for c in columns}
-            if len(r["doc"]) > 1:
-                yield from of_run(r)
+        def found() -> Iterator[tuple]:
+            nonlocal run, held
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                w, cell = b.column("word").to_numpy(), b.column("cell").to_numpy()
+                cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in columns}
+                cuts = runs(w, cell)
+                lo = 0
+                if run == (w[0], cell[0]):  # goes on
+                    held.append({c: v[:cuts[1]] for c, v in cols.items()})
+                    lo = 1
+                if lo == len(cuts) - 1:
+                    continue
+                yield from close()
+                sizes = np.diff(cuts)
+                inner = np.arange(len(sizes))[lo:-1]
+                for k in inner[sizes[inner] > (_SMALL if nearest is not None else 1)].tolist():
+                    yield from of_run({c: v[cuts[k]:cuts[k + 1]] for c, v in cols.items()})
+                if nearest is not None:
+                    small = inner[(sizes[inner] > 1) & (sizes[inner] <= _SMALL)]
+                    if len(small):
+                        left = np.repeat(cuts[1:], sizes) - np.arange(len(w))
+                        chosen = np.isin(np.repeat(np.arange(len(sizes)), sizes), small)
+                        yield of_small({c: v[chosen] for c, v in cols.items()}, left[chosen])
+                run, held = (w[-1], cell[-1]), [{c: v[cuts[-2]:] for c, v in cols.items()}]
+            yield from close()
 
-        for b in batches:
-            if not b.num_rows:
-                continue
-            w = b.column("word").to_numpy()
-            cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in columns}
-            cuts = runs(w)
-            lo = 0
-            if word is not None and w[0] == word:  # goes on
-                held.append({c: v[:cuts[1]] for c, v in cols.items()})
-                lo = 1
-            if lo == len(cuts) - 1:
-                continue
-            rows: list[tuple] = list(close()) if word is not None else []
-            sizes = np.diff(cuts)
-            inner = np.arange(len(sizes))[lo:-1]
-            big = inner[sizes[inner] > (_SMALL if nearest is not None else 1)]
-            for k in big.tolist():
-                rows += of_run({c: v[cuts[k]:cuts[k + 1]] for c, v in cols.items()})
-            if nearest is not None:
-                small = inner[(sizes[inner] > 1) & (sizes[inner] <= _SMALL)]
-                if len(small):
-                    left = np.repeat(cuts[1:], sizes) - np.arange(len(w))
-                    chosen = np.isin(np.repeat(np.arange(len(sizes)), sizes), small)
-                    rows.append(of_small({c: v[chosen] for c, v in cols.items()}, left[chosen]))
-            word, held = w[-1], [{c: v[cuts[-2]:] for c, v in cols.items()}]
-            if rows:
+        def close() -> Iterator[tuple]:
+            if sum(len(x["doc"]) for x in held) > 1:
+                yield from of_run(held[0] if len(held) == 1 else {c: np.concatenate([x[c] for x in held]) for c in columns})
+
+        rows, size = [], 0
+        for r in found():
+            rows.append(r)
+            size += len(r[0])
+            if size > _OUT:
                 yield batch(rows)
-        if word is not None:
-            yield batch(list(close()))
+                rows, size = [], 0
+        yield batch(rows)
 
-    dealt = index.repartition("word").sortWithinPartitions("word", "doc", "line")
+    dealt = index.repartition("word", "cell").sortWithinPartitions("word", "cell", "doc", "line")
     return dealt.mapInArrow(meet, _PAIR)
 
 
@@ -403,27 +477,27 @@ def keyed(docs: DataFrame, id_col: str, key: str) -> DataFrame:
             .select(*docs.columns, key))
 
 
-def later_matches(slim: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST) -> DataFrame:
+def later_matches(slim: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST, run: int = RUN) -> DataFrame:
     """(doc, line) of the lines to remove. ``slim``: doc (a unique long that
     orders the documents) and text (not null)."""
     counters = slim.sparkSession.sparkContext.broadcast(_counters(slim))
-    first, _ = written(_pairs(_index(slim, counters, threshold), threshold, nearest).groupBy("doc", "line", "other_doc", "other_line")
-                       .agg(F.max("equal").alias("equal"), F.max("more").alias("more")), "lines")
-    settled = first.where("equal").select("doc", "line").distinct()
-    open_ = first.join(settled, ["doc", "line"], "left_anti")
-    good, _ = written(_verified(open_.select("doc", "line", "other_doc", "other_line"), slim, threshold).union(settled), "lines")
+    sets, _ = written(_led(_sets(slim, counters, threshold)), "lines")
+    leads = sets.where("lead").drop("lead")
+    blocks = _blocks_of(leads, run)
+    first, _ = written(_pairs(_index(leads, blocks), threshold, nearest).groupBy("doc", "line", "other_doc", "other_line")
+                       .agg(F.max("more").alias("more")), "lines")
+    alike = _verified(first.select("doc", "line", "other_doc", "other_line"), slim, threshold)
+    good, _ = written(alike.union(sets.where("not lead").select("doc", "line")), "lines")
     rest, seen = written(first.where("more").select("doc", "line").distinct().join(good, ["doc", "line"], "left_anti"), "lines")
     if not seen["rows"]:
         return good
     # the second pass takes the runs of the open lines' words only
-    index = _index(slim, counters, threshold)
     asked = materialize(rest.withColumn("ask", F.lit(True)), "llm/lines")
-    own = slim.join(_small_side(materialize(rest.select("doc").distinct(), "llm/lines")), "doc").select("doc", "text")
-    words = materialize(_index(own, counters, threshold).join(_small_side(asked), ["doc", "line"]).select("word").distinct(),
-                        "llm/lines")
-    index = (index.join(_small_side(words), "word").join(_small_side(asked), ["doc", "line"], "left")
+    own = leads.join(_small_side(asked), ["doc", "line"])
+    words = materialize(own.select(F.explode("words").alias("word")).distinct(), "llm/lines")
+    index = (_index(leads, blocks).join(_small_side(words), "word").join(_small_side(asked), ["doc", "line"], "left")
              .withColumn("ask", F.coalesce("ask", F.lit(False))))
-    again = _pairs(index.select("word", "doc", "low", "high", "same", "line", "size", "place", "ask"), threshold, None)
+    again = _pairs(index.select("word", "cell", "side", "doc", "low", "high", "line", "size", "place", "ask"), threshold, None)
     again = again.select("doc", "line", "other_doc", "other_line").distinct().join(first, ["doc", "line", "other_doc", "other_line"], "left_anti")
     return good.union(_verified(written(again, "lines")[0], slim, threshold))
 

@@ -314,6 +314,30 @@ def test_a_line_never_matches_itself(spark):
     assert sorted(got) == sorted(slow_removed(rows)) and (1, 0) not in got
 
 
+@pytest.mark.parametrize("seed,nearest,run", [(4, 2, 3), (5, 1, 10), (6, 1, 50)])
+def test_long_runs_of_a_word_are_dealt_in_blocks(spark, seed, nearest, run):
+    rows = line_rows(seed)
+    slim = docs_of(spark, rows).select(F.col("doc_id").alias("doc"), "text")
+    got = [(r.doc, r.line) for r in line_dedup.later_matches(slim, nearest=nearest, run=run).collect()]
+    assert len(got) == len(set(got)) and set(got) == slow_removed(rows)
+
+
+def test_a_common_line_and_word_fill_no_run(spark):
+    rng = random.Random(3)
+    line = "the very same notice on each page"
+    rows = [(d, f"{line}\n" + "\n".join("common " + " ".join(words(9, rng.random(), 10_000)) for _ in range(3))) for d in range(400)]
+    slim = docs_of(spark, rows).select(F.col("doc_id").alias("doc"), "text").repartition(4)
+    counters = spark.sparkContext.broadcast(np.zeros(line_dedup.COUNTERS, dtype=np.int64))
+    sets = line_dedup._sets(slim, counters, 0.3).cache()  # a low threshold: most words are in the prefix
+    assert sets.where("not gone and size = 7").count() == 4  # one a piece of texts
+    leads = line_dedup._led(sets).where("lead")
+    assert leads.where("size = 7").select("doc", "line").collect() == [(0, 0)]
+    index = line_dedup._index(leads, line_dedup._blocks_of(leads, 100))
+    largest = index.groupBy("word", "cell").count().agg(F.max("count")).first()[0]
+    assert leads.count() == 1201 and largest < 300
+    sets.unpersist()
+
+
 def test_line_dedup_cuts_and_keeps(spark):
     rows = [(2, "a b c\n\nkeep me"), (1, "first one\nA  B c"), (3, None), (None, "first one\nnew"), (2, "keep me\nown"), (4, ""),
             (5, "very " * 100_000)]
