@@ -14,7 +14,8 @@ has met lately (two generations of at most ``CACHE_PARTS``). The parts not met a
 encoded as one text with a mark between them, whose one id shows where to cut;
 where a part holds the mark itself, they are encoded one by one. Texts with rare
 white space or control characters, on which Python and the library might disagree,
-are encoded as a whole. tests/llm compare both ways on whole texts.
+are encoded as a whole, and so are texts with the string of an added token such as
+``<|endoftext|>``, which gets its one id as the library's plain encode has it. tests/llm compare both ways on whole texts.
 """
 
 from __future__ import annotations
@@ -41,7 +42,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)), re.I) if added else None
+        self.start = set("".join(x[:1] for x in added))
         self.split = str.split if parts == "words" else _SPACES.findall
         # neither mark is joined with its neighbours: a word of its own, or white space before a part
         self.between = " \u263c " if parts == "words" else "\n"
@@ -73,7 +76,7 @@ class Encoder:
         out: list[bytes | None] = [None] * len(texts)
         split, todo, words = self.split, [], set()
         for i, text in enumerate(texts):
-            if _RARE.search(text):
+            if _RARE.search(text) or any(c in text for c in self.start) and self.added.search(text):
                 out[i] = self._ids([text])[0]
             else:
                 todo.append((i, parts := split(text)))

@@ -371,6 +371,18 @@ def test_parts_give_the_library_ids(name, parts, texts):
         assert [x + b"\1\0\0\0" for x in e.encode(rows)] == [x.tobytes() for x in library_ids(name, rows, 1)]
 
 
+@pytest.mark.parametrize("name,parts", [("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "spaces")])
+def test_strings_of_added_tokens_are_encoded_as_by_the_library(name, parts):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(vocabulary(name))
+    rng = random.Random(8)
+    rows = ["".join(rng.choice(["a", " ", "\n", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "bc", "<|"]) for _ in range(rng.randint(1, 12)))
+            for _ in range(500)]
+    want = [np.array(plain.encode(r, add_special_tokens=False).ids, dtype="<u4").tobytes() for r in rows]
+    e = Encoder(vocabulary(name), parts)
+    assert e.encode(rows) == want and e.encode(rows) == want
+
+
 def test_perfect_hash_is_minimal_and_perfect():
     for n in (0, 1, 2, 63, 1000, 20_000):
         keys = token_files._hashes(np.arange(n, dtype=np.int64) * 7 - 3)
