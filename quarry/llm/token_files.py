@@ -16,7 +16,8 @@ the payload: constant time, without reading keys. ``starts`` (a second, small
 table) holds the number of ids in all shards before each shard.
 
 The shard of a key comes from key ranges found in one pass over the key column
-alone. Rows that repeat one hot key are spread over as many shards as that key
+alone. A shard that gets more than ``PAYLOAD_BYTES`` of ids (long texts), or twice its
+documents, is cut into several rows, each a shard of its own with the next number. Rows that repeat one hot key are spread over as many shards as that key
 has bounds, so no task gets a group of unbounded size.
 
 Defined results: null text counts as empty (the end id only); null keys sort
@@ -39,7 +40,8 @@ from quarry.llm.tokens import encoder, texts_of
 from quarry.sources.scratch import broadcastable, materialize
 
 DOCS_PER_SHARD = 4096
-MAX_SHARDS = 65_536
+MAX_SHARDS = 65_536  # key ranges; a range may be cut into several shards
+PAYLOAD_BYTES = 64 << 20
 _GAMMA = 2.0
 _LEVELS = 40
 _NO_KEY = (1 << 63) - 1  # a null key is kept as the last one
@@ -159,7 +161,7 @@ def _key(df: DataFrame, id_col: str):
 
 def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col: str = "doc_id",
                  text_col: str = "text", parts: str = "words", width: int = 2,
-                 docs_per_shard: int = DOCS_PER_SHARD) -> None:
+                 docs_per_shard: int = DOCS_PER_SHARD, payload_bytes: int = PAYLOAD_BYTES) -> None:
     """Writes ``path``/shards and ``path``/starts in ascending key order."""
     slim = docs.select(_key(docs, id_col), docs[text_col].cast("string").alias("text"))
     bounds = _bounds(docs.select(_key(docs, id_col)), docs_per_shard)
@@ -181,26 +183,28 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_co
                     names=["shard", "key", "ids"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, ids = None, [], []
+        now, part, keys, ids, held = None, 0, [], [], 0
 
         def close():
-            row = build_shard(now, np.concatenate(keys), ids, width)
+            row = build_shard(now << 32 | part, np.array(keys, dtype=np.int64), ids, width)
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         schema = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[t])
                             for n, t in (x.split() for x in SHARD.split(", "))])
         for b in batches:
             shard = b.column("shard").to_numpy()
-            key, raw = b.column("key").to_numpy(), b.column("ids").to_pylist()
-            cuts = runs(shard)
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if now is not None and shard[lo] != now:
+            key, raw = b.column("key").to_numpy().tolist(), b.column("ids")
+            for i, s in enumerate(shard.tolist()):
+                x = raw[i].as_py()
+                if keys and (s != now or held + len(x) > payload_bytes or len(keys) == 2 * docs_per_shard):
                     yield close()
-                    keys, ids = [], []
-                now = int(shard[lo])
-                keys.append(key[lo:hi])
-                ids += raw[lo:hi]
-        if now is not None:
+                    part = part + 1 if s == now else 0
+                    keys, ids, held = [], [], 0
+                now = s
+                keys.append(key[i])
+                ids.append(x)
+                held += len(x)
+        if keys:
             yield close()
 
     spark = docs.sparkSession
@@ -208,7 +212,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_co
     sorted_ = (encoded.repartitionById(len(bounds) + 1, F.col("shard").cast("int"))
                .sortWithinPartitions("shard", "key"))
     sorted_.mapInArrow(build, SHARD).write.mode("overwrite").parquet(f"{path}/shards")
-    # ids before each shard: one row a shard (at most MAX_SHARDS rows)
+    # ids before each shard: one row a shard
     sizes = {r["shard"]: r["ids"] for r in spark.read.parquet(f"{path}/shards").select("shard", "ids").collect()}
     start, rows = 0, []
     for s in sorted(sizes):
@@ -227,7 +231,7 @@ def read_documents(spark: SparkSession, path: str, keys: DataFrame | None = None
     ranges = shards.select("shard", "first_key", "last_key").join(starts, "shard")
     wanted = keys.select(_key(keys, keys.columns[0])).distinct()
     limits = [(r["first_key"], r["last_key"], r["shard"]) for r in ranges.select("first_key", "last_key", "shard").collect()]
-    limits.sort(key=lambda r: r[2])  # at most MAX_SHARDS rows
+    limits.sort(key=lambda r: r[2])  # one row a shard
     first, last = (np.array([r[i] for r in limits], dtype=np.int64) for i in (0, 1))
     number = np.array([r[2] for r in limits], dtype=np.int64)
 

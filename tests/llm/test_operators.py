@@ -418,6 +418,28 @@ def test_token_files_round_trip(spark, texts, tmp_path):
     assert token_files.read_documents(spark, path + "-none", docs.select("doc_id")).count() == 0
 
 
+@pytest.mark.parametrize("limits", [{"payload_bytes": 5000}, {"docs_per_shard": 30}])
+def test_shards_are_bounded_by_bytes_and_documents(spark, tmp_path, monkeypatch, limits):
+    monkeypatch.setattr(token_files, "MAX_SHARDS", 2)
+    rows = [(d, " ".join(words(rng, d))) for d, rng in ((d, 20 + 37 * d % 900) for d in range(400))]
+    rows += [(500, "long " * 20_000)] + [(501, f"copy {i} " * 30) for i in range(50)]
+    docs, path = docs_of(spark, rows), str(tmp_path / "shards")
+    token_files.write_shards(docs.repartition(3), path, vocabulary("word_bpe_49k.json"), end_id=2, **limits)
+    shards = spark.read.parquet(f"{path}/shards").collect()
+    assert all(len(s.payload) <= 5000 or s.docs == 1 for s in shards) if "payload_bytes" in limits else all(s.docs <= 60 for s in shards)
+    got = token_files.read_documents(spark, path, docs.select("doc_id")).orderBy("start").collect()
+    want = {}
+    for (d, _), x in zip(rows, library_ids("word_bpe_49k.json", [t for _, t in rows], 2)):
+        want.setdefault(d, []).append(x.tobytes())
+    at, found = 0, {}
+    for r in got:
+        assert r.start == at
+        at += len(r.ids) // 4
+        found.setdefault(r.doc_id, []).append(bytes(r.ids))
+    assert [r.doc_id for r in got] == sorted(d for d, _ in rows)
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in want.items()}
+
+
 def check_pieces(pieces, ids, tokens, segments, loss):
     by_doc, by_sequence = {}, {}
     for p in pieces:
