@@ -1,12 +1,14 @@
-"""The registered queries of the ten operators (production parameters, whole
+"""The registered queries of the operators (production parameters, whole
 tables) and their DuckDB oracles where SQL can express them."""
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (decontaminate, exact_dedup, html_wrapper, line_dedup, packing, pii, quality, simhash,
+from quarry.llm import (decontaminate, exact_dedup, filter_audit, html_wrapper, line_dedup, packing, pii, quality, simhash,
                         token_files, url_filter)
 from quarry.llm.common import table
 from quarry.llm.tokens import vocabulary
@@ -61,9 +63,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_pii, op4_simhash, op5_line_dedup, op6_token_files,
-                                   op7_html_extraction, op8_exact_dedup, op9_quality, op10_packing)}
+                                   op7_html_extraction, op8_exact_dedup, op9_quality, op10_packing,
+                                   op13_filter_audit)}
 
+_ORDERS = ", ".join(f"('{''.join(o)}')" for o in permutations("ABCDE"))
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE = {
@@ -83,4 +91,28 @@ WITH n AS (SELECT doc_id, translate(coalesce(text, ''), {_AZ}) AS t FROM documen
      g AS (SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, sha256(t) AS text_sha256
            FROM n WINDOW w AS (PARTITION BY t))
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM g""",
+    "op13_filter_audit": f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+     l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+     f AS (SELECT part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+                         100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+                         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails,
+                  coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM d LEFT JOIN l USING (doc_id)),
+     c AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+     o AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM (VALUES {_ORDERS}) v(filter_order)),
+     s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS own,
+                  list_transform(range(1, step), lambda k: instr('ABCDE', substr(filter_order, k, 1))) AS earlier,
+                  instr('ABCDE', substr(filter_order, step, 1)) AS i FROM o),
+     m AS (SELECT c.*, s.*, fails[i] AS bad, list_bool_or(list_transform(earlier, lambda k: fails[k])) IS TRUE AS gone,
+                  len(list_filter(fails, lambda x: x)) = 1 AS single FROM c, s),
+     r AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT gone AND NOT bad), 0) AS kept,
+                  coalesce(sum(n) FILTER (NOT gone AND bad), 0) AS removed, coalesce(sum(n) FILTER (gone AND bad), 0) AS redundant,
+                  coalesce(sum(n) FILTER (bad AND single), 0) AS unique_fails,
+                  coalesce(sum(n) FILTER (NOT gone AND bad AND good), 0) AS good_lost,
+                  coalesce(sum(n) FILTER (NOT gone AND bad AND toxic), 0) AS toxic_lost
+           FROM m GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r""",
 }
