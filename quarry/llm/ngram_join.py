@@ -12,17 +12,18 @@ documents form classes.
    bitmap of 4 to 8 n bits with one bit set for each gram. Equal sets are one from here on.
 3. A tile is a gram with the sets that have it in front. Sets of a tile are compared only
    within their size band (sizes within 0.8) and where enough grams follow (positions).
-   A gram with far more sets than others is dealt out in several tiles.
-4. First, each set asks for at most two partners: the earliest set of its tiles that it meets most,
-   and the set that it most often stands next to when the tiles are ordered by a minimum
-   hash. Verified pairs join components, so groups of thousands of near copies do not become a square
-   of pairs.
-5. What is left are tiles with sets of several components. There all pairs of sets from
-   different components are held against the bitmaps: with d bits set in one and not the
-   other, at least d grams are missing, which bounds the overlap from above. Of those
-   that the bound lets pass, the best of each two components are verified first, then, with the components
-   that result, all others. No pair is left out but those within a component, which add nothing to the classes.
-6. To verify, the texts of the sets in question are read again and their sorted arrays of grams intersected.
+   A tile of at most 32 sets gives its pairs at once; the same pair from many tiles is one.
+   A longer tile stays a tile, and a gram with far more sets than others is dealt out in several.
+4. Bitmaps bound what is left: with d bits set in one and not in the other, at least d grams are
+   missing, so the overlap is at most n - d. Pairs whose bound is too small go.
+5. First, each set has the pair verified that can be most alike, and in long tiles the earliest set
+   that it meets most, and the set that it most often stands next to when tiles are ordered by a minimum hash.
+   Verified pairs join components, so groups of thousands of near copies do not become a square of pairs.
+6. Then only pairs of different components are left. The best of each two components are
+   verified, then, with the components that result, all others; long tiles with sets of several
+   components are compared all with all, by bitmaps, in blocks. No pair is left out but those within a
+   component, which add nothing to the classes.
+7. To verify, the texts of the sets in question are read again and their sorted arrays of grams intersected.
 
 Grams are compared by 64-bit hashes within a pair (two sets of 10^4 grams meet by accident
 with odds of 10^-11), whole sets across the corpus by 128 bits.
@@ -51,6 +52,7 @@ WORDS = 5
 PERCENT = 80
 COUNTERS = 1 << 18
 RUN = 1 << 15  # rows of a tile that is not dealt out
+_SHORT = 32  # sets of a tile that gives its pairs at once
 _BLOCK = 1 << 13  # sets compared all with all, where components are several
 _PIECE = 2 << 20  # bytes of text hashed at once
 _PAIRS = 1 << 17  # pairs compared at once
@@ -183,12 +185,13 @@ def _signed(texts: DataFrame, counts, kind: str, k: int, percent: int, run: int)
     return texts.mapInArrow(sign, _SIGNED.format(kind=kind))
 
 
-_TILED = "gram long, sid long, n long, pos int, prev long, hub long"
+_TILED = "gram long, sid long, n long, pos int, prev long, hub long, other long"
 
 
 def _tiles(sets: DataFrame, percent: int) -> DataFrame:
-    """The rows of all tiles of two sets or more: gram, set, its size and the gram's place in it,
-    the set's neighbour (``prev``) and the tile's earliest set (``hub``) where sizes and positions allow a link."""
+    """The pairs of short tiles (sid, other: sizes and positions allow a link) and the rows of long ones:
+    gram, set, its size and the gram's place in it, the set's neighbour (``prev``) and the tile's
+    earliest set (``hub``), where those can be linked with it."""
     exploded = sets.select("sid", "n", "mins", "tiles", F.posexplode("prefix").alias("pos", "gram"))
     rows = exploded.select(
         "gram", F.expr("CAST(pmod(xxhash64(sid), coalesce(get(tiles, pos), 1)) AS INT)").alias("tile"),
@@ -206,39 +209,95 @@ def _tiles(sets: DataFrame, percent: int) -> DataFrame:
             size = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
             return size & (np.minimum(after[a], after[b]) >= least_overlap(n[a] + n[b], percent)) & (r["sid"][a] != r["sid"][b])
 
-        def made(r) -> pa.RecordBatch:
+        def pairs(r, at, of) -> pa.RecordBatch:
+            """The pairs of the rows ``at``, whose runs are ``of``."""
+            found = [np.zeros((2, 0), dtype=np.int64)]
+            for d in range(1, _SHORT):
+                a, b = at[:-d], at[d:]
+                same = of[:-d] == of[d:]
+                if not same.any():
+                    break
+                a, b = a[same], b[same]
+                good = allowed(a, b, r)
+                one, two = r["sid"][a[good]], r["sid"][b[good]]
+                found.append(np.stack([np.minimum(one, two), np.maximum(one, two)]))
+            a, b = np.concatenate(found, axis=1)
+            order = np.lexsort((b, a))
+            order = order[runs(a[order], b[order])[:-1]]
+            none = pa.nulls(len(order), pa.int64())
+            return pa.RecordBatch.from_arrays([none, pa.array(a[order]), none, none.cast(pa.int32()), none, none, pa.array(b[order])],
+                                              names=["gram", "sid", "n", "pos", "prev", "hub", "other"])
+
+        def made(r) -> Iterator[pa.RecordBatch]:
             total = len(r["gram"])
+            if not total:
+                return
             cuts = runs(r["gram"], r["tile"])
             size = np.diff(cuts)
             of = np.repeat(np.arange(len(size)), size)
-            wide = np.flatnonzero((size[of] > 1) | (r["dealt"] > 0)) if total else np.zeros(0, dtype=np.int64)
-            least = np.minimum.reduceat(r["sid"], cuts[:-1]) if total else r["sid"]
-            at_least = np.flatnonzero(r["sid"] == least[of]) if total else wide
-            hub = at_least[of] if len(at_least) == len(size) else cuts[:-1][of]
+            dealt = np.logical_or.reduceat(r["dealt"] > 0, cuts[:-1])
+            short = np.flatnonzero(((size > 1) & (size <= _SHORT) & ~dealt)[of])
+            if len(short):
+                yield pairs(r, short, of[short])
+            wide = np.flatnonzero(((size > _SHORT) | dealt)[of])
+            if not len(wide):
+                return
+            sid = r["sid"]
+            least = np.minimum.reduceat(sid, cuts[:-1])
+            at_least = np.flatnonzero(sid == least[of])
+            hub = at_least[np.searchsorted(of[at_least], of[wide])]
             before = np.maximum(wide - 1, 0)
             near = (wide > cuts[:-1][of[wide]]) & allowed(wide, before, r)
-            star = allowed(wide, hub[wide], r)
-            sid = r["sid"]
-            return pa.RecordBatch.from_arrays(
+            star = allowed(wide, hub, r)
+            yield pa.RecordBatch.from_arrays(
                 [pa.array(r["gram"][wide]), pa.array(sid[wide]), pa.array(r["n"][wide]), pa.array(r["pos"][wide].astype(np.int32)),
-                 pa.array(sid[before], mask=~near), pa.array(sid[hub[wide]], mask=~star)],
-                names=["gram", "sid", "n", "pos", "prev", "hub"])
+                 pa.array(sid[before], mask=~near), pa.array(sid[hub], mask=~star), pa.nulls(len(wide), pa.int64())],
+                names=["gram", "sid", "n", "pos", "prev", "hub", "other"])
 
         for b in batches:
             r = {c: np.concatenate([held[c], b.column(c).to_numpy(zero_copy_only=False).astype(np.int64)]) for c in names}
             if not len(r["gram"]):
                 continue
-            if cut is not None:  # the rest of a run that was too long to hold: never a single row
+            if cut is not None:  # the rest of a run that was too long to hold is long, whatever its rows
                 r["dealt"][(r["gram"] == cut[0]) & (r["tile"] == cut[1])] = 1
             last, cut = int(runs(r["gram"], r["tile"])[-2]), None
             if len(r["gram"]) - last > RUN:
                 last, cut = len(r["gram"]), (r["gram"][-1], r["tile"][-1])
             held = {c: v[last:] for c, v in r.items()}
-            yield made({c: v[:last] for c, v in r.items()})
-        yield made(held)
+            yield from made({c: v[:last] for c, v in r.items()})
+        yield from made(held)
     return laid.mapInArrow(keep, _TILED)
 
 
+def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose bitmaps allow a link, with ``bound``: thousandths of the similarity that they can reach."""
+    both = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("n").alias("n"), F.col("bits").alias("one")), "a")
+            .join(sets.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("bits").alias("two")), "b")
+            .select("a", "b", "n", "m", "one", "two"))
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in batches:
+            n, m = r.column("n").to_numpy(), r.column("m").to_numpy()
+            over = np.zeros(len(n), dtype=np.int64)
+            one, two = r.column("one").to_pylist(), r.column("two").to_pylist()
+            words = np.array([min(len(x), len(y)) // 8 for x, y in zip(one, two)], dtype=np.int64)
+            for w in np.unique(words).tolist():
+                of = np.flatnonzero(words == w)
+                step = max(1, 8 * _PAIRS // w)
+                for at in (of[p:p + step] for p in range(0, len(of), step)):
+                    over[at] = _most(_folded([one[i] for i in at], w), _folded([two[i] for i in at], w), n[at], m[at])
+            good = over >= least_overlap(n + m, percent)
+            reach = 1000 * over[good] // (n + m - over)[good]
+            yield pa.RecordBatch.from_arrays([r.column("a").filter(pa.array(good)), r.column("b").filter(pa.array(good)), pa.array(reach)],
+                                             names=["a", "b", "bound"])
+    return both.mapInArrow(bound, "a long, b long, bound long")
+
+
+def _most(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The largest overlap that the bitmaps of sets of n and m grams allow."""
+    return np.minimum(n - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64), m - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64))
+
+
 def _intersections(pairs: DataFrame, percent: int) -> DataFrame:
     """The linked pairs (a, b) of rows a, b, one, two (the sorted arrays)."""
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,12 +336,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, k: int, perce
     return links
 
 
-def _first_pairs(tiles: DataFrame) -> DataFrame:
-    """For each set the hub and the neighbour that it meets in most tiles."""
-    met = tiles.select("sid", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("hub").alias("other")),
-                                               F.struct(F.lit(1).alias("kind"), F.col("prev").alias("other"))))).where("other IS NOT NULL")
-    times = met.groupBy("sid", "kind", "other").agg(F.count(F.lit(1)).alias("times"))
-    best = times.groupBy("sid", "kind").agg(F.max(F.struct("times", (-F.col("other")).alias("other"))).alias("best"))
+def _first_pairs(tiles: DataFrame, pairs: DataFrame) -> DataFrame:
+    """For each set the pair of short tiles that can be most alike, and the hub and the neighbour that it meets in
+    most long tiles."""
+    met = tiles.where("gram IS NOT NULL").select("sid", F.inline(F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("hub").alias("other")),
+        F.struct(F.lit(1).alias("kind"), F.col("prev").alias("other"))))).where("other IS NOT NULL")
+    times = met.groupBy("sid", "kind", "other").agg(F.count(F.lit(1)).alias("weight"))
+    short = pairs.select(F.inline(F.array(F.struct(F.col("a").alias("sid"), F.lit(2).alias("kind"), F.col("b").alias("other"), F.col("bound").alias("weight")),
+                                          F.struct(F.col("b").alias("sid"), F.lit(2).alias("kind"), F.col("a").alias("other"), F.col("bound").alias("weight")))))
+    best = (times.unionByName(short).groupBy("sid", "kind")
+            .agg(F.max(F.struct("weight", (-F.col("other")).alias("other"))).alias("best")))
     other = -F.col("best.other")
     return best.select(F.least("sid", other).alias("a"), F.greatest("sid", other).alias("b")).distinct()
 
@@ -334,17 +398,17 @@ def _passing(r: dict, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np
             step = max(1, 8 * _PAIRS // words)
             for part in (of[p:p + step] for p in range(0, len(of), step)):
                 a, b = (maps[words][place[words][v[part]]] for v in (i, j))
-                over = np.minimum(n[i[part]] - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64),
-                                  n[j[part]] - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64))
+                over = _most(a, b, n[i[part]], n[j[part]])
                 both = n[i[part]] + n[j[part]]
                 good = over >= least_overlap(both, percent)
                 yield i[part][good], j[part][good], 1000 * over[good] // (both - over)[good]
 
 
 def _open_pairs(tiles: DataFrame, sets: DataFrame, comps: DataFrame, percent: int, best: bool) -> DataFrame | None:
-    """The candidate pairs (a, b) between different components in the tiles that have several; with ``best``, one
-    for each two components (the one that can be most alike). None where no tile has several."""
-    slim = tiles.select("gram", "sid", "n", "pos").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    """The candidate pairs (a, b, one and two: their components, bound) between different components in the long tiles that have
+    several; with ``best``, one a task for each two components (the one that can be most alike). None where no tile has several."""
+    slim = (tiles.where("gram IS NOT NULL").select("gram", "sid", "n", "pos").join(comps, "sid", "left")
+            .withColumn("comp", F.coalesce("comp", "sid")))
     mixed = (slim.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows"))
              .where("lo <> hi").select("gram", F.ceil(F.col("rows") / _BLOCK).cast("int").alias("blocks")))
     asked, seen = written(slim.join(mixed, "gram"), "ngram/open")
@@ -383,10 +447,7 @@ def _open_pairs(tiles: DataFrame, sets: DataFrame, comps: DataFrame, percent: in
                 held.append(b.slice(lo, hi - lo))
         yield from of_run(_joined(held, numbers))
 
-    found = laid.mapInArrow(compare, "a long, b long, one long, two long, bound long")
-    if best:
-        found = found.groupBy("one", "two").agg(F.max(F.struct("bound", "a", "b")).alias("best")).select("best.a", "best.b")
-    return found.select("a", "b").distinct()
+    return laid.mapInArrow(compare, "a long, b long, one long, two long, bound long")
 
 
 def _joined(parts: list[pa.RecordBatch], numbers: list[str]) -> dict:
@@ -396,9 +457,22 @@ def _joined(parts: list[pa.RecordBatch], numbers: list[str]) -> dict:
     return r | {"bits": [v for p in parts for v in p.column("bits").to_pylist()]}
 
 
+def _between(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs of different components, with the components (one, two)."""
+    def of(side: str) -> DataFrame:
+        return comps.select(F.col("sid").alias(side), F.col("comp").alias(f"of_{side}"))
+    joined = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    x, y = F.coalesce("of_a", "a"), F.coalesce("of_b", "b")
+    return joined.where(x != y).select("a", "b", F.least(x, y).alias("one"), F.greatest(x, y).alias("two"), "bound")
+
+
+def _components(links: DataFrame) -> DataFrame:
+    return connected_components(links).select(F.col("node").alias("sid"), F.col("component").alias("comp"))
+
+
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
                  run: int = RUN) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, sets, links): doc_id, n, digest of each document; sid, digest, doc_id (the least) of each
+    """(rows, sets, links): doc_id, n, digest of each document; sid, digest, doc_id (the least) and comp of each
     distinct set; verified links (a, b) between sets, which connect what all links connect."""
     texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
@@ -412,25 +486,34 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       .select(F.col("uid").alias("sid"), "n", "digest", F.col("least").alias("doc_id"), "prefix", "tiles", "bits", "mins"),
                       "ngram/distinct")
     tiles, _ = written(_tiles(sets, percent), "ngram/tiles")
-    tried, _ = written(_first_pairs(tiles), "ngram/pairs")
+    short = tiles.where("other IS NOT NULL").select(F.col("sid").alias("a"), F.col("other").alias("b")).distinct()
+    short, _ = written(_bounded(short, sets, percent), "ngram/short")
+    tried, _ = written(_first_pairs(tiles, short), "ngram/pairs")
     links = _verified(tried, sets, texts, words, percent)
+    comps = _components(links)
     for best in (True, False):
-        comps = connected_components(links).select(F.col("node").alias("sid"), F.col("component").alias("comp"))
-        pairs = _open_pairs(tiles, sets, comps, percent, best)
-        if pairs is None:
+        pairs = _between(short, comps)
+        long = _open_pairs(tiles, sets, comps, percent, best)
+        pairs = pairs if long is None else pairs.unionByName(long)
+        left = pairs.join(tried, ["a", "b"], "left_anti")
+        if best:
+            left = left.groupBy("one", "two").agg(F.max(F.struct("bound", "a", "b")).alias("best")).select("best.a", "best.b")
+        left, seen = written(left.select("a", "b").distinct(), "ngram/pairs")
+        if not seen["rows"]:
             break
-        pairs, seen = written(pairs.join(tried, ["a", "b"], "left_anti"), "ngram/pairs")
-        links = links.union(_verified(pairs, sets, texts, words, percent)) if seen["rows"] else links
-        tried = tried.union(pairs)
-    return rows.select("doc_id", "n", "digest"), sets.select("sid", "digest", "doc_id"), links
+        tried = tried.union(left)
+        found = _verified(left, sets, texts, words, percent)
+        links = links.union(found)
+        if found.limit(1).count():
+            comps = _components(links)
+    return rows.select("doc_id", "n", "digest"), sets.select("sid", "digest", "doc_id").join(comps, "sid", "left"), links
 
 
 def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
                        run: int = RUN) -> DataFrame:
     """doc_id, n_shingles and component_id of each row."""
-    rows, sets, links = similar_sets(docs, id_col, text_col, words, percent, run)
-    comps = connected_components(links).select(F.col("node").alias("sid"), F.col("component").alias("comp"))
-    classed = sets.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    rows, sets, _ = similar_sets(docs, id_col, text_col, words, percent, run)
+    classed = sets.withColumn("comp", F.coalesce("comp", "sid"))
     least = classed.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     members = classed.join(least, "comp").select("digest", "component_id")
     single = F.col("n") == 0  # the empty set is linked with nothing
