@@ -470,6 +470,13 @@ def _components(links: DataFrame) -> DataFrame:
     return connected_components(links).select(F.col("node").alias("sid"), F.col("component").alias("comp"))
 
 
+def _joined_components(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after ``links`` between them (a set without a component is its own)."""
+    now = _components(links)
+    moved = comps.join(now.select(F.col("sid").alias("comp"), F.col("comp").alias("into")), "comp", "left")
+    return moved.select("sid", F.coalesce("into", "comp").alias("comp")).union(now).distinct()
+
+
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
                  run: int = RUN) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, sets, links): doc_id, n, digest of each document; sid, digest, doc_id (the least) and comp of each
@@ -497,15 +504,14 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         pairs = pairs if long is None else pairs.unionByName(long)
         left = pairs.join(tried, ["a", "b"], "left_anti")
         if best:
-            left = left.groupBy("one", "two").agg(F.max(F.struct("bound", "a", "b")).alias("best")).select("best.a", "best.b")
-        left, seen = written(left.select("a", "b").distinct(), "ngram/pairs")
+            left = left.groupBy("one", "two").agg(F.max(F.struct("bound", "a", "b")).alias("best")).select("best.a", "best.b", "one", "two")
+        left, seen = written(left.select("a", "b", "one", "two").distinct(), "ngram/pairs")
         if not seen["rows"]:
             break
-        tried = tried.union(left)
-        found = _verified(left, sets, texts, words, percent)
+        tried = tried.union(left.select("a", "b"))
+        found = _verified(left.select("a", "b"), sets, texts, words, percent)
         links = links.union(found)
-        if found.limit(1).count():
-            comps = _components(links)
+        comps = _joined_components(comps, found.join(left, ["a", "b"]).select("one", "two"))
     return rows.select("doc_id", "n", "digest"), sets.select("sid", "digest", "doc_id").join(comps, "sid", "left"), links
 
 
