@@ -28,7 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.tokens import encoder, texts_of
+from quarry.llm.common import utf8
+from quarry.llm.tokens import encoder, slices
 
 SEQUENCE_TOKENS = 1024
 MAX_SEGMENTS = 64
@@ -139,9 +140,9 @@ def pack(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_c
         encode = encoder(path, parts).encode
         for b in batches:
             keys, loss = b.column("doc_id").to_pylist(), b.column("loss").to_pylist()
-            text = texts_of(b.column("text"))
-            for at in range(0, len(keys), 64):
-                for k, ids, f in zip(keys[at:at + 64], encode(text[at:at + 64]), loss[at:at + 64]):
+            text = utf8(b.column("text"))
+            for at, to in slices(text):
+                for k, ids, f in zip(keys[at:to], encode(text[at:to]), loss[at:to]):
                     packer.add(k, ids + end, f)
                     if len(packer.items) >= window:
                         packer.pack(final=False)

@@ -35,8 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import runs
-from quarry.llm.tokens import encoder, texts_of
+from quarry.llm.common import runs, utf8
+from quarry.llm.tokens import encoder, slices
 from quarry.sources.scratch import broadcastable, materialize
 
 DOCS_PER_SHARD = 4096
@@ -159,22 +159,30 @@ def _key(df: DataFrame, id_col: str):
     return F.coalesce(df[id_col].cast("long"), F.lit(_NO_KEY)).alias("key")
 
 
+def id_width(vocabulary: str, end_id: int) -> int:
+    """Bytes of an id: two where all ids of the vocabulary and the end id fit, else four."""
+    from tokenizers import Tokenizer
+    ids = Tokenizer.from_file(vocabulary).get_vocab(with_added_tokens=True).values()
+    return 2 if max(max(ids, default=0), end_id) < 1 << 16 else 4
+
+
 def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col: str = "doc_id",
-                 text_col: str = "text", parts: str = "words", width: int = 2,
+                 text_col: str = "text", parts: str = "words", width: int | None = None,
                  docs_per_shard: int = DOCS_PER_SHARD, payload_bytes: int = PAYLOAD_BYTES) -> None:
     """Writes ``path``/shards and ``path``/starts in ascending key order."""
     slim = docs.select(_key(docs, id_col), docs[text_col].cast("string").alias("text"))
     bounds = _bounds(docs.select(_key(docs, id_col)), docs_per_shard)
+    width = width or id_width(vocabulary, end_id)
     kind = "<u2" if width == 2 else "<u4"
+    end = np.array([end_id], dtype=kind).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary, parts).encode
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                piece = b.slice(at, 256)
-                key = piece.column("key").to_numpy()
-                ids = [np.append(np.frombuffer(x, "<u4"), end_id).astype(kind).tobytes()
-                       for x in enc(texts_of(piece.column("text")))]
+            texts, keys = utf8(b.column("text")), b.column("key").to_numpy()
+            for at, to in slices(texts):
+                key = keys[at:to]
+                ids = [np.frombuffer(x, "<u4").astype(kind).tobytes() + end for x in enc(texts[at:to])]
                 lo, hi = np.searchsorted(bounds, key, "left"), np.searchsorted(bounds, key, "right")
                 # a key that is several bounds fills the shards between them in turn
                 spread = np.array([xxhash.xxh32_intdigest(x) for x in ids], dtype=np.int64) + np.arange(len(ids))
