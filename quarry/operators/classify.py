@@ -59,23 +59,27 @@ def classify(columns: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     return name_tags(columns).unionByName(content_tags(tables))
 
 
-def sensitive_scan(texts: dict[str, tuple[DataFrame, str]], patterns=SENSITIVE_PATTERNS) -> DataFrame:
-    """Per (table, pattern): rows scanned, rows with a match, total matches.
+def sensitive_scan(texts: dict[str, tuple[DataFrame, str | list[str]]], patterns=SENSITIVE_PATTERNS) -> DataFrame:
+    """Per (table, column, pattern): rows scanned, rows with a match, total matches.
 
-    ``texts`` maps a table name to ``(df, text_column)``; each table is one
-    pass with every pattern counted over the whole text.
+    ``texts`` maps a table name to ``(df, text columns)``; each table is one
+    pass with every pattern counted over the whole texts of all its columns.
     """
     frames = []
     names = list(patterns)
-    for t, (df, col) in texts.items():
-        counted = spread(df.select(col)).selectExpr(
-            *[f"regexp_count({sql_id(col)}, {sql_str(patterns[p])}) AS __n{j}" for j, p in enumerate(names)])
+    for t, (df, cols) in texts.items():
+        cols = [cols] if isinstance(cols, str) else list(cols)
+        if not cols:
+            continue
+        counted = spread(df.select(*[F.col(sql_id(c)) for c in cols])).selectExpr(
+            *[f"regexp_count({sql_id(c)}, {sql_str(patterns[p])}) AS __n{i}_{j}" for i, c in enumerate(cols) for j, p in enumerate(names)])
         aggs = ["count(1) AS __rows"]
         cells = []
-        for j, pname in enumerate(names):
-            aggs += [f"count_if(__n{j} > 0) AS __r{j}", f"coalesce(sum(__n{j}), 0) AS __m{j}"]
-            cells.append(f"named_struct('pattern', {sql_str(pname)}, 'rows_with_match', CAST(__r{j} AS BIGINT), "
-                         f"'match_count', CAST(__m{j} AS BIGINT))")
+        for i, c in enumerate(cols):
+            for j, pname in enumerate(names):
+                aggs += [f"count_if(__n{i}_{j} > 0) AS __r{i}_{j}", f"coalesce(sum(__n{i}_{j}), 0) AS __m{i}_{j}"]
+                cells.append(f"named_struct('column_name', {sql_str(c)}, 'pattern', {sql_str(pname)}, "
+                             f"'rows_with_match', CAST(__r{i}_{j} AS BIGINT), 'match_count', CAST(__m{i}_{j} AS BIGINT))")
         one = counted.agg(*[F.expr(a) for a in aggs])
         frames.append(one.selectExpr(f"{sql_str(t)} AS table_name", "CAST(__rows AS BIGINT) AS rows_scanned",
                                      f"inline(array({', '.join(cells)}))"))

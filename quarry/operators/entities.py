@@ -18,6 +18,7 @@ from quarry.functions.frames import anti_join, semi_join, union_all
 from pyspark.sql import types as T
 
 from quarry.functions.names import entity_key, qualified_name
+from quarry.sources.scratch import materialize
 
 ACTIVE = "ACTIVE"
 DELETED = "DELETED"
@@ -167,13 +168,20 @@ def create_or_get(target: DataFrame, candidates: DataFrame, key: str = "key") ->
     return target.unionByName(fresh.select(*target.columns))
 
 
+def layer_of(attributes: Column | None = None) -> Column:
+    """An entity's layer (``source``, ``raw``, ...): from its attributes, else the first part of its qualified name."""
+    return F.coalesce((F.col("attributes") if attributes is None else attributes)["layer"], F.substring_index("qualified_name", ".", 1))
+
+
 def replace_by_name(target: DataFrame, incoming: DataFrame, version: int,
                     match_types=("table",)) -> DataFrame:
     """Delete-then-recreate: existing entities with the same (type, name) as an
-    incoming top-level entity are soft-deleted together with their children,
-    then the incoming entities are added."""
-    tops = incoming.where(F.col("type_name").isin(list(match_types))).select("type_name", "name").distinct()
-    clash = anti_join(semi_join(target.where(F.col("status") == ACTIVE), tops, ["type_name", "name"]),
+    incoming top-level entity of the same layer are soft-deleted together with their
+    children, then the incoming entities are added. A source table and its raw copy
+    share a name, not a layer, so registering one never retires the other."""
+    on = ["type_name", "name", "_layer"]
+    tops = incoming.where(F.col("type_name").isin(list(match_types))).withColumn("_layer", layer_of()).select(*on).distinct()
+    clash = anti_join(semi_join(target.where(F.col("status") == ACTIVE).withColumn("_layer", layer_of()), tops, on),
                       incoming, "key")
     doomed = clash.select("qualified_name")
     children = semi_join(target, doomed.withColumnRenamed("qualified_name", "parent_qn"), "parent_qn")
@@ -196,26 +204,30 @@ def cleanup(entities: DataFrame, order=("column", "table", "db")):
     """Hierarchical cleanup: soft-delete ACTIVE entities type by type (children
     before parents), then everything left.
 
-    Returns ``(cleaned, report)``; the report has one row per step that
-    deletes something, with the entities deleted in it and the ACTIVE
-    entities remaining after it. The steps are known up front, so the report
-    is one global aggregate over the input (a conditional count per step,
-    combined map-side), unpivoted into rows.
+    Returns ``(cleaned, report)``: the cleaned catalog is written (``status`` DELETED and the
+    step that deleted it in ``attributes.deleted_in``) and read back, and the report is counted on
+    what was written: one row per step that deleted something, with the entities deleted in it and
+    those that were left ACTIVE after it. One aggregate (a conditional count per step, combined
+    map-side), unpivoted into rows.
     """
     steps = list(order) + ["rest"]
-    step = F.lit(len(steps))
-    for i, t in reversed(list(enumerate(order))):
-        step = F.when(F.col("type_name") == t, F.lit(i + 1)).otherwise(step)
-    active = entities.where(F.col("status") == ACTIVE).select(step.alias("step"))
+    name = F.lit(steps[-1])
+    for t in reversed(list(order)):
+        name = F.when(F.col("type_name") == t, F.lit(t)).otherwise(name)
+    hit = F.col("status") == ACTIVE
+    marked = entities.withColumns({
+        "attributes": F.when(hit, F.map_concat("attributes", F.create_map(F.lit("deleted_in"), name))).otherwise(F.col("attributes")),
+        "status": F.when(hit, F.lit(DELETED)).otherwise(F.col("status"))})
+    cleaned = materialize(marked, "cleanup", measure_bytes=False).frame
+    of = F.col("attributes")["deleted_in"]
     aggs = []
-    for i in range(1, len(steps) + 1):
-        aggs += [F.count_if(F.col("step") == i).cast("long").alias(f"d{i}"),
-                 F.count_if(F.col("step") > i).cast("long").alias(f"r{i}")]
-    cells = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(name).alias("scope"),
+    for i, n in enumerate(steps, start=1):
+        aggs += [F.count_if((of == n) & (F.col("status") == DELETED)).alias(f"d{i}"),
+                 F.count_if(of.isin(steps[i:]) | (F.col("status") == ACTIVE)).alias(f"r{i}")]
+    cells = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(n).alias("scope"),
                                F.col(f"d{i}").alias("deleted"), F.col(f"r{i}").alias("remaining_active"))
-                      for i, name in enumerate(steps, start=1)])
-    report = active.agg(*aggs).select(F.inline(cells)).where(F.col("deleted") > 0)
-    cleaned = entities.withColumn("status", F.lit(DELETED))
+                      for i, n in enumerate(steps, start=1)])
+    report = cleaned.agg(*aggs).select(F.inline(cells)).where(F.col("deleted") > 0)
     return cleaned, report
 
 

@@ -81,9 +81,12 @@ def fk_edges(fk_columns: DataFrame, entities: DataFrame, db_prefix: str = "sourc
 
 
 def cascade_soft_delete(levels, root_filter, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                        broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                        broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, written: dict | None = None) -> DataFrame:
     """Soft-delete a root selection and everything under it, level by level.
 
+    Each level is written with its rows' ``_status`` (ACTIVE or DELETED) and read back; the
+    counts and the next level's keys come from what was written. ``written`` gets the tables by name.
+
     ``levels`` is a list of ``(table_name, df, key_col, parent_col)``; level 0
     is filtered by ``root_filter`` and each later level is the semi-join of its
     ``parent_col`` with the previous level's deleted keys. Deleted keys are
@@ -96,17 +99,22 @@ def cascade_soft_delete(levels, root_filter, broadcast_rows: int = DEFAULT_BROAD
     prev = None
     for i, (name, df, key, parent) in enumerate(levels):
         if i == 0:
-            marked = df.withColumn("_hit", root_filter)
+            marked = df.withColumn("_hit", F.coalesce(root_filter, F.lit(False)))
         else:
             keys = F.broadcast(prev.frame) if broadcastable(prev, broadcast_rows, broadcast_bytes) else prev.frame
             marked = (df.join(keys.withColumnRenamed("_k", parent).withColumn("_m", F.lit(True)), parent, "left")
                       .withColumn("_hit", F.coalesce("_m", F.lit(False))))
-        out.append(marked.agg(F.count_if("_hit").cast("long").alias("deleted_rows"),
-                              F.count_if(~F.col("_hit")).cast("long").alias("remaining_rows"))
+        marked = marked.select(*df.columns, F.when(F.col("_hit"), E.DELETED).otherwise(E.ACTIVE).alias("_status"))
+        kept = _materialize(marked, "cascade", measure_bytes=False).frame
+        if written is not None:
+            written[name] = kept
+        gone = F.col("_status") == E.DELETED
+        out.append(kept.agg(F.count_if(gone).cast("long").alias("deleted_rows"),
+                            F.count_if(~gone).cast("long").alias("remaining_rows"))
                    .select(F.lit(i).alias("level"), F.lit(name).alias("table_name"),
                            "deleted_rows", "remaining_rows"))
         if key is not None and i + 1 < len(levels):
-            prev = _materialize(marked.where("_hit").select(F.col(key).alias("_k")).distinct())
+            prev = _materialize(kept.where(gone).select(F.col(key).alias("_k")).distinct())
     result = out[0]
     for o in out[1:]:
         result = result.unionByName(o)

@@ -63,6 +63,7 @@ class Constraints:
     primary_keys: dict[str, tuple[str, ...]] = field(default_factory=dict)
     foreign_keys: list[ForeignKey] = field(default_factory=list)
     lengths: dict[str, dict[str, int]] = field(default_factory=dict)
+    not_null: dict[str, tuple[str, ...]] = field(default_factory=dict)  # besides the primary keys
 
     def pk_name(self, table: str) -> str:
         return f"pk_{table}"

@@ -193,6 +193,10 @@ def check_results(tables: dict[str, DataFrame], cons: Constraints) -> DataFrame:
     if refs is not None:
         parts.append(refs.select("table_name", F.concat(F.lit("references:"), "constraint_name").alias("check_name"),
                                  F.col("violating_rows").alias("violations")))
+    required = {t: tables[t].select(*[_q(c) for c in columns]) for t, columns in cons.not_null.items() if t in tables}
+    if required:
+        parts.append(all_null_profiles(required).select("table_name", F.concat(F.lit("not_null:"), "column_name").alias("check_name"),
+                                                        F.col("null_count").alias("violations")))
     lengths = all_length_profiles(tables, cons)
     if lengths is not None:
         parts.append(lengths.select("table_name", F.concat(F.lit("length:"), "column_name").alias("check_name"),

@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import metadata as M
+from quarry.operators import profiles as P
 from quarry.operators import quality as Q
-from quarry.plans.declared import (DRIVER_CONSTRAINTS, FOREIGN_KEYS, LENGTHS, PRIMARY_KEYS,
+from quarry.plans.declared import (DRIVER_CONSTRAINTS, FOREIGN_KEYS, LENGTHS, NOT_NULL, PRIMARY_KEYS, REQUIRED,
                                    REVERSE_CHECKS)
+from quarry.plans.ingest_queries import orders_by_year
+from quarry.sources.scratch import materialize
 from quarry.sources.tables import ALL_TABLES, read_tables
+from quarry.sources.versioned import SNAPSHOT_COL
 
 SCHEMA = "main"
 
@@ -80,6 +84,28 @@ def quality_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_tags(Q.check_results(_tables(spark, sf_dir), DRIVER_CONSTRAINTS))
 
 
+def not_null_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every NOT NULL rule of every table, judged on profiles of one pass a table."""
+    return P.not_null_results(P.store_of(_tables(spark, sf_dir), store_sketches=False), REQUIRED)
+
+
+def profile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, nulls and range of every column of orders at every version (a year a version), and
+    whether its NOT NULL rule holds there: merges of the versions' profiles, from one scan."""
+    orders = orders_by_year(spark, sf_dir).read()
+    store = materialize(P.profile_rows(orders, "orders", SNAPSHOT_COL), "profiles", measure_bytes=False).frame
+    profiles = P.as_of(store)
+    rules = P.not_null_results(profiles, REQUIRED).select("version", "column_name", "holds")
+    return (profiles.join(rules, ["version", "column_name"], "left")
+            .select("version", "column_name", "row_count", "null_count", F.round("low", 2).alias("low"), F.round("high", 2).alias("high"),
+                    F.coalesce("holds", F.lit(True)).alias("holds")))
+
+
+def profile_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values and quartiles of every column of every table, read out of its sketches."""
+    return P.estimates(P.merge(P.store_of(_tables(spark, sf_dir))))
+
+
 QUERIES = {
     "meta_tables": meta_tables,
     "meta_columns": meta_columns,
@@ -92,6 +118,9 @@ QUERIES = {
     "quality_pk_duplicates": quality_pk_duplicates,
     "quality_fk_orphans": quality_fk_orphans,
     "quality_tags": quality_tags,
+    "not_null_rules": not_null_rules,
+    "profile_versions": profile_versions,
+    "profile_estimates": profile_estimates,
 }
 
 # --------------------------------------------------------------------- oracles
@@ -191,13 +220,21 @@ def _orphans_sql(with_reverse: bool = True) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _required_sql(rules) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS violations, "
+        f"count(*) = count({c}) AS holds FROM {t}" for t, columns in rules.items() for c in columns)
+
+
 def _tags_sql() -> str:
     return f"""
 WITH d AS ({_dups_sql()}), o AS ({_orphans_sql(False)}), l AS ({_lengths_sql()}),
+n AS ({_required_sql(NOT_NULL)}),
 r AS (
   SELECT table_name, duplicate_groups AS violations FROM d UNION ALL
   SELECT table_name, null_key_rows FROM d UNION ALL
   SELECT table_name, violating_rows FROM o UNION ALL
+  SELECT table_name, violations FROM n UNION ALL
   SELECT table_name, over_limit FROM l)
 SELECT table_name, CAST(count(*) AS BIGINT) AS checks,
        CAST(count(*) FILTER (WHERE violations > 0) AS BIGINT) AS failed_checks,
@@ -205,6 +242,18 @@ SELECT table_name, CAST(count(*) AS BIGINT) AS checks,
 FROM r GROUP BY table_name"""
 
 
+def _profile_versions_sql() -> str:
+    columns = {"o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "o_orderstatus": "length(o_orderstatus)", "o_totalprice": "o_totalprice",
+               "o_orderdate": "epoch(o_orderdate)", "o_orderpriority": "length(o_orderpriority)"}
+    return " UNION ALL ".join(f"""
+        SELECT CAST(s.v AS BIGINT) AS version, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+               round(min({number}), 2)::DOUBLE AS low, round(max({number}), 2)::DOUBLE AS high,
+               {str(c in REQUIRED["orders"]).lower()} = false OR count(*) = count({c}) AS holds
+        FROM (SELECT DISTINCT dense_rank() OVER (ORDER BY year(o_orderdate)) AS v FROM orders) s
+        JOIN (SELECT *, dense_rank() OVER (ORDER BY year(o_orderdate)) AS v FROM orders) o ON o.v <= s.v GROUP BY s.v"""
+                              for c, number in columns.items())
+
+
 ORACLE = {
     "meta_tables": f"""
         SELECT 'main' AS table_schema, t.table_name, c.row_count
@@ -240,4 +289,6 @@ ORACLE = {
     "quality_pk_duplicates": _dups_sql(),
     "quality_fk_orphans": _orphans_sql(),
     "quality_tags": _tags_sql(),
+    "not_null_rules": f"SELECT *, 1::BIGINT AS version FROM ({_required_sql(REQUIRED)})",
+    "profile_versions": _profile_versions_sql(),
 }

@@ -52,7 +52,27 @@ LENGTHS = {
     "conversations": {"role": 9},
 }
 
+# Columns declared NOT NULL (besides the primary keys).
+NOT_NULL = {
+    "region": ("r_name",),
+    "nation": ("n_name", "n_regionkey"),
+    "customer": ("c_name", "c_nationkey"),
+    "supplier": ("s_name", "s_nationkey"),
+    "part": ("p_name",),
+    "orders": ("o_custkey", "o_orderdate"),
+    "lineitem": ("l_partkey", "l_suppkey", "l_quantity"),
+    "events": ("ts", "user_id", "event_type"),
+    "documents": ("text",),
+    "embeddings": ("embedding",),
+    "pages": ("url", "html"),
+    "benchmark": ("text",),
+    "conversations": ("role",),
+}
+
 # Tables whose children must reference them (reverse check: parents with no child).
 REVERSE_CHECKS = [("fk_lineitem_orders", "orders_without_lineitem")]
 
-DRIVER_CONSTRAINTS = Constraints(primary_keys=PRIMARY_KEYS, foreign_keys=FOREIGN_KEYS, lengths=LENGTHS)
+# All columns that must not be null: those of the primary keys first.
+REQUIRED = {t: tuple(dict.fromkeys(key + NOT_NULL.get(t, ()))) for t, key in PRIMARY_KEYS.items()}
+
+DRIVER_CONSTRAINTS = Constraints(primary_keys=PRIMARY_KEYS, foreign_keys=FOREIGN_KEYS, lengths=LENGTHS, not_null=NOT_NULL)

@@ -12,14 +12,17 @@ from quarry.functions.frames import semi_join
 from quarry.functions.names import DEFAULT_RUN_TS
 from quarry.operators import entities as E
 from quarry.operators import metadata as M
+from quarry.operators import quality as Q
 from quarry.operators.ingest import with_audit_columns
-from quarry.plans.catalog_queries import _COLS, _FK_VALUES, _IN
+from quarry.operators.pages import columns_of_table, first_tables, numbered_pages
+from quarry.plans.catalog_queries import _COLS, _FK_VALUES, _IN, _counts_sql, _nulls_sql
 from quarry.plans.declared import DRIVER_CONSTRAINTS
 from quarry.session import fresh_dir
 from quarry.sources.scratch import materialize
 from quarry.sources.tables import ALL_TABLES, STAR_TABLES, read_tables
 
 DB = "tpch"
+OLD_DB = "tpch_old"
 REGISTERED = STAR_TABLES + ["documents", "pages"]  # allow-list for the partial catalog
 
 
@@ -44,14 +47,14 @@ def build_catalog(spark: SparkSession, sf_dir: str, table_allow: list[str] | Non
     return E.union_entities(parts)
 
 
-def raw_layer_entities(spark: SparkSession, sf_dir: str, names: list[str], version: int) -> DataFrame:
+def raw_layer_entities(spark: SparkSession, sf_dir: str, names: list[str], version: int, db: str = DB) -> DataFrame:
     """Table + column entities for the raw-layer copies (source columns + audit columns)."""
     tables = read_tables(spark, sf_dir, names)
     raw = {t: with_audit_columns(df, DEFAULT_RUN_TS) for t, df in tables.items()}
     mt = M.meta_tables(spark, raw)
     mc = M.meta_columns(spark, raw)
-    return E.union_entities([E.table_entities(mt, DB, layer="raw", version=version),
-                             E.column_entities(mc, DB, layer="raw", version=version)])
+    return E.union_entities([E.table_entities(mt, db, layer="raw", version=version),
+                             E.column_entities(mc, db, layer="raw", version=version)])
 
 
 def entity_build(spark, sf_dir):
@@ -90,13 +93,41 @@ def document_search(spark, sf_dir):
             .select("type_name", "qualified_name", "name", "description"))
 
 
+PAGE_SIZE = 50
+
+
+def document_search_pages(spark, sf_dir):
+    """All pages of ``document_search``: each row with its page, the total, and the key that the next page begins after."""
+    found = document_search(spark, sf_dir).select("qualified_name", "name", "description")
+    return numbered_pages(found, "qualified_name", PAGE_SIZE).select("page", "total", "qualified_name", "name", "next_key")
+
+
+def table_columns(spark, sf_dir, table: str = "lineitem"):
+    """One table's columns in ordinal order, looked up by parameter, with what the data says of them."""
+    tables = read_tables(spark, sf_dir, ALL_TABLES)
+    columns = columns_of_table(spark, M.meta_columns(spark, tables), table)
+    return (columns.join(Q.null_profile(tables[table], table), ["table_name", "column_name"])
+            .select("position", "table_name", "column_name", "data_type", "row_count", "null_count").orderBy("position"))
+
+
+def first_tables_by_name(spark, sf_dir, n: int = 5):
+    """The first ``n`` tables by name, with their rows."""
+    tables = read_tables(spark, sf_dir, ALL_TABLES)
+    return first_tables(M.meta_tables(spark, tables).select("table_name"), n).join(M.table_row_counts(tables), "table_name")
+
+
 def entity_type_counts(spark, sf_dir):
     return E.type_counts(build_catalog(spark, sf_dir))
 
 
 def discover_tables(spark, sf_dir):
-    return (E.search(build_catalog(spark, sf_dir), "*", type_name="table")
-            .select("name", "key", "status", "qualified_name"))
+    """The catalog's tables with what the data says of them: rows, columns, and columns without any value."""
+    tables = read_tables(spark, sf_dir, ALL_TABLES)
+    profile = (Q.all_null_profiles(tables).groupBy(F.col("table_name").alias("name"))
+               .agg(F.max("row_count").alias("row_count"), F.count(F.lit(1)).alias("n_columns"),
+                    F.count_if(F.col("null_count") == F.col("row_count")).alias("empty_columns")))
+    return (E.search(build_catalog(spark, sf_dir, assets=False), "*", type_name="table")
+            .select("name", "key", "status", "qualified_name").join(profile, "name"))
 
 
 def table_schema(spark, sf_dir):
@@ -156,7 +187,10 @@ def entity_upsert(spark, sf_dir):
 
 
 def replaced_catalog(spark, sf_dir) -> DataFrame:
-    catalog = build_catalog(spark, sf_dir, written=True)
+    """The raw copies of an earlier run (under another database name) are replaced by this
+    run's; the source tables of the same names stay."""
+    earlier = raw_layer_entities(spark, sf_dir, STAR_TABLES, version=1, db=OLD_DB)
+    catalog = materialize(build_catalog(spark, sf_dir).unionByName(earlier), "catalog", measure_bytes=False).frame
     incoming = raw_layer_entities(spark, sf_dir, STAR_TABLES, version=2)
     return E.replace_by_name(catalog, incoming, version=2)
 
@@ -221,6 +255,9 @@ QUERIES = {
     "entity_get": entity_get,
     "entity_search": entity_search,
     "document_search": document_search,
+    "document_search_pages": document_search_pages,
+    "table_columns": table_columns,
+    "first_tables": first_tables_by_name,
     "entity_type_counts": entity_type_counts,
     "discover_tables": discover_tables,
     "table_schema": table_schema,
@@ -292,7 +329,11 @@ _RAW_COLS = f"""(SELECT table_name, column_name, data_type, position, 'true' AS
            ('_layer', 'string', 3, 'false')) v(c, ty, p, nl))"""
 
 
-def raw_layer_sql(names, version: int, with_columns: bool = True) -> str:
+def raw_layer_sql(names, version: int, with_columns: bool = True, db: str = DB) -> str:
+    return _raw_layer_sql(names, version, with_columns).replace("raw.tpch", f"raw.{db}")
+
+
+def _raw_layer_sql(names, version: int, with_columns: bool) -> str:
     cols = _RAW_COLS.format(names=_tables_in(names))
     tables = f"""
   SELECT sha256('raw.tpch.' || t) AS key, 'table' AS type_name, 'raw.tpch.' || t AS qualified_name, t AS name,
@@ -311,20 +352,19 @@ def raw_layer_sql(names, version: int, with_columns: bool = True) -> str:
 
 
 _REPLACED = f"""
-WITH base AS MATERIALIZED {catalog_sql()},
+WITH base AS MATERIALIZED (SELECT * FROM {catalog_sql()} UNION ALL SELECT * FROM {raw_layer_sql(STAR_TABLES, 1, db=OLD_DB)}),
 inc AS MATERIALIZED {raw_layer_sql(STAR_TABLES, 2)},
-doomed AS MATERIALIZED (SELECT qualified_name FROM base b WHERE type_name = 'table' AND status = 'ACTIVE'
-           AND EXISTS (SELECT 1 FROM inc i WHERE i.type_name = 'table' AND i.name = b.name)
-           AND NOT EXISTS (SELECT 1 FROM inc i WHERE i.key = b.key)),
+doomed AS MATERIALIZED (SELECT DISTINCT b.qualified_name FROM base b
+           JOIN inc i ON i.type_name = 'table' AND i.name = b.name AND split_part(i.attributes, ';', 1) = split_part(b.attributes, ';', 1)
+           LEFT JOIN inc j ON j.key = b.key
+           WHERE b.type_name = 'table' AND b.status = 'ACTIVE' AND j.key IS NULL),
 marked AS (
-  SELECT key, type_name, qualified_name, name, parent_qn, owner, description, data_type, position,
-         CASE WHEN qualified_name IN (SELECT qualified_name FROM doomed)
-                OR parent_qn IN (SELECT qualified_name FROM doomed) THEN 'DELETED' ELSE status END AS status,
+  SELECT b.key, type_name, b.qualified_name, name, parent_qn, owner, description, data_type, position,
+         CASE WHEN d.qualified_name IS NOT NULL OR p.qualified_name IS NOT NULL THEN 'DELETED' ELSE status END AS status,
          attributes,
-         CASE WHEN qualified_name IN (SELECT qualified_name FROM doomed)
-                OR parent_qn IN (SELECT qualified_name FROM doomed) THEN CAST(2 AS BIGINT) ELSE version END AS version
-  FROM base),
-replaced AS (SELECT * FROM marked m WHERE NOT EXISTS (SELECT 1 FROM inc i WHERE i.key = m.key) UNION ALL SELECT * FROM inc)
+         CASE WHEN d.qualified_name IS NOT NULL OR p.qualified_name IS NOT NULL THEN CAST(2 AS BIGINT) ELSE version END AS version
+  FROM base b LEFT JOIN doomed d ON d.qualified_name = b.qualified_name LEFT JOIN doomed p ON p.qualified_name = b.parent_qn),
+replaced AS (SELECT m.* FROM marked m LEFT JOIN (SELECT key FROM inc) i ON i.key = m.key WHERE i.key IS NULL UNION ALL SELECT * FROM inc)
 """
 
 _UPSERT = f"""
@@ -365,17 +405,33 @@ ORACLE = {
         WHERE status = 'ACTIVE' AND qualified_name IN (
           SELECT 'asset.tpch.document.' || doc_id FROM documents WHERE contains(lower(text), '{TEXT_QUERY}'))
         ORDER BY qualified_name""",
+    "document_search_pages": f"""
+        WITH h AS (SELECT qualified_name, name, row_number() OVER (ORDER BY qualified_name) AS r, count(*) OVER () AS total FROM {catalog_sql()}
+                   WHERE status = 'ACTIVE' AND qualified_name IN (
+                     SELECT 'asset.tpch.document.' || doc_id FROM documents WHERE contains(lower(text), '{TEXT_QUERY}'))),
+             p AS (SELECT *, (r - 1) // {PAGE_SIZE} + 1 AS page FROM h)
+        SELECT page, total, qualified_name, name,
+               CASE WHEN page * {PAGE_SIZE} < total THEN max(qualified_name) OVER (PARTITION BY page) END AS next_key FROM p""",
+    "table_columns": f"""
+        SELECT position, c.table_name, c.column_name, c.data_type, row_count, null_count FROM {_COLS} c
+        JOIN ({_nulls_sql()}) n ON n.table_name = c.table_name AND n.column_name = c.column_name WHERE c.table_name = 'lineitem'""",
+    "first_tables": f"""
+        SELECT t.table_name, row_count FROM (SELECT DISTINCT table_name FROM information_schema.tables WHERE table_name IN ({_IN})
+                                              ORDER BY table_name LIMIT 5) t JOIN ({_counts_sql()}) c ON c.table_name = t.table_name""",
     "entity_type_counts": f"""
         SELECT coalesce(type_name, 'unknown') AS type_name, count(*) AS entity_count, min(key) AS first_key
         FROM {catalog_sql()} WHERE status = 'ACTIVE' GROUP BY 1""",
     "discover_tables": f"""
-        SELECT name, key, status, qualified_name FROM {catalog_sql()}
+        SELECT name, key, status, qualified_name, row_count, n_columns, empty_columns FROM {catalog_sql()} c
+        JOIN (SELECT table_name, max(row_count) AS row_count, count(*) AS n_columns,
+                     count(*) FILTER (WHERE null_count = row_count) AS empty_columns FROM ({_nulls_sql()}) GROUP BY 1) n ON n.table_name = c.name
         WHERE status = 'ACTIVE' AND type_name = 'table'""",
     "table_schema": f"WITH cat AS {catalog_sql()} {_TABLE_SCHEMAS}",
     "entity_orphans": f"""
         WITH cat AS MATERIALIZED {catalog_sql(REGISTERED)}
-        SELECT type_name, qualified_name, parent_qn FROM cat c
-        WHERE parent_qn IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cat p WHERE p.qualified_name = c.parent_qn)""",
+        SELECT c.type_name, c.qualified_name, c.parent_qn FROM cat c
+        LEFT JOIN (SELECT DISTINCT qualified_name FROM cat) p ON p.qualified_name = c.parent_qn
+        WHERE c.parent_qn IS NOT NULL AND p.qualified_name IS NULL""",
     "catalog_coverage": f"""
         WITH cat AS {catalog_sql(REGISTERED)},
         exp AS (SELECT table_name, count(*) AS expected_columns FROM {_COLS} GROUP BY 1),

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.names import DEFAULT_RUN_TS
-from quarry.functions.frames import union_all
 from quarry.operators.analytics import top_k_counts_via_lookup
 from quarry.operators.ingest import (batch_summary, ingest_tables, select_with_timestamp,
                                      with_audit_columns)
+from quarry.operators.prefix import running_totals
+from quarry.operators.versions import version_totals
 from quarry.session import fresh_dir
 from quarry.sources.tables import ALL_TABLES, read_table, table_path
 from quarry.sources.versioned import SNAPSHOT_COL, VersionedTable
@@ -98,24 +99,30 @@ def version_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_travel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row count as of every snapshot, each read at its version."""
-    table = orders_by_year(spark, sf_dir)
-    ids = [r["snapshot_id"] for r in table.log().select("snapshot_id").orderBy("snapshot_id").collect()]
-    return union_all([table.read(version=i).agg(F.lit(i).cast("long").alias("snapshot_id"),
-                                                F.count(F.lit(1)).alias("row_count")) for i in ids])
+    """Row count as of every snapshot: running totals over the snapshots, from one scan."""
+    totals = version_totals(orders_by_year(spark, sf_dir).read(), SNAPSHOT_COL, {})
+    return totals.select(F.col("version").alias("snapshot_id"), F.col("n_rows").alias("row_count"))
 
 
 def version_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every version of orders: its rows, customers and value, and the rows
-    and value that came with it, from the data read at that version."""
-    table = orders_by_year(spark, sf_dir)
-    ids = [r["snapshot_id"] for r in table.log().select("snapshot_id").orderBy("snapshot_id").collect()]
-    new = F.col(SNAPSHOT_COL)
-    return union_all([table.read(version=i).agg(
-        F.lit(i).cast("long").alias("version"), F.count(F.lit(1)).alias("n_orders"),
-        F.countDistinct("o_custkey").alias("n_customers"), F.round(F.sum("o_totalprice"), 2).alias("total_price"),
-        F.count(F.when(new == i, 1)).alias("new_orders"),
-        F.round(F.sum(F.when(new == i, F.col("o_totalprice"))), 2).alias("new_price")) for i in ids])
+    and value that came with it, from one scan of the table."""
+    totals = version_totals(orders_by_year(spark, sf_dir).read(), SNAPSHOT_COL, {"total_price": F.col("o_totalprice")},
+                            {"n_customers": F.col("o_custkey")})
+    return totals.select("version", F.col("n_rows").alias("n_orders"), "n_customers", F.round("total_price", 2).alias("total_price"),
+                         F.col("new_n_rows").alias("new_orders"), F.round("new_total_price", 2).alias("new_price"))
+
+
+def running_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with the running count and value (in cents) of its status, and of all
+    orders, by date and key: running totals without a task that sees all rows."""
+    orders = (read_table(spark, sf_dir, "orders")
+              .select("o_orderkey", "o_orderstatus", "o_orderdate", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents")))
+    order = ["o_orderdate", "o_orderkey"]
+    one = {"running_orders": F.lit(1).cast("long"), "running_cents": F.col("cents")}
+    of_status = running_totals(orders, ["o_orderstatus"], order, one, "running_orders")
+    of_all = running_totals(orders.select(*order), [], order, {"overall_orders": F.lit(1).cast("long")}, "running_orders")
+    return of_status.join(of_all, order)
 
 
 def raw_topk_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,6 +160,7 @@ QUERIES = {
     "version_files": version_files,
     "time_travel_counts": time_travel_counts,
     "version_changes": version_changes,
+    "running_orders": running_orders,
     "raw_topk_sql": raw_topk_sql,
     "stream_events_append": stream_events_append,
 }
@@ -218,6 +226,13 @@ ORACLE = {
                round(sum(o_totalprice), 2) AS total_price, count(*) FILTER (WHERE y.v = s.v) AS new_orders,
                round(sum(o_totalprice) FILTER (WHERE y.v = s.v), 2) AS new_price
         FROM versions s JOIN y ON y.v <= s.v GROUP BY s.v""",
+    "running_orders": """
+        SELECT o_orderkey, o_orderstatus, o_orderdate, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
+               count(*) OVER s AS running_orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) OVER s AS BIGINT) AS running_cents,
+               count(*) OVER a AS overall_orders
+        FROM orders
+        WINDOW s AS (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING),
+               a AS (ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING)""",
     "raw_topk_sql": """
         SELECT c_mktsegment, count(*) AS n_customers, round(avg(c_acctbal), 2) AS mean_balance
         FROM customer GROUP BY c_mktsegment ORDER BY n_customers DESC, c_mktsegment LIMIT 3""",

@@ -5,20 +5,22 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.frames import semi_join
+from quarry.functions.frames import semi_join, union_all
 from quarry.functions.names import DEFAULT_RUN_TS
 from quarry.functions.patterns import CONTENT_TAG_PREFIX, NAME_RULES, SENSITIVE_PATTERNS
 from quarry.operators import classify as C
 from quarry.operators import entities as E
 from quarry.operators import metadata as M
+from quarry.operators import quality as Q
+from quarry.operators.ancestry import ancestry
 from quarry.operators.graph import hierarchy, walk, walk_many
 from quarry.operators.ingest import batch_summary, ingest_tables, raw_table_name, with_audit_columns
 from quarry.operators.lineage import (cascade_soft_delete, etl_process_edges, fk_edges, process_entities,
                                      process_hops)
-from quarry.plans.catalog_queries import _COLS, _IN
+from quarry.plans.catalog_queries import _COLS, _IN, _orphans_sql
 from quarry.plans.declared import DRIVER_CONSTRAINTS, FOREIGN_KEYS
 from quarry.plans.entity_queries import DB, build_catalog, catalog_sql
 from quarry.session import fresh_dir
@@ -31,6 +33,8 @@ WALK_CUSTOMER = 10
 CASCADE_REGION = "EUROPE"
 SEARCH_TAG = "PII:email"
 TEXT_COLUMNS = {"documents": "text", "pages": "html", "conversations": "text"}
+TAGGED_ROWS = {"documents": ["text"], "pages": ["html"]}
+KINDS = {"documents": "document", "pages": "page", "conversations": "turn"}
 
 
 # ------------------------------------------------------------------ lineage
@@ -64,7 +68,15 @@ def _fk_edges(spark, sf_dir):
 
 
 def lineage_fk_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fk_edges(spark, sf_dir)
+    """Edges between tables with a foreign key, with the child rows that refer to a parent row and those that
+    do not; an edge that no row bears out is left out."""
+    tables = read_tables(spark, sf_dir, ALL_TABLES)
+    checked = Q.all_reference_checks(tables, DRIVER_CONSTRAINTS).join(M.table_row_counts(tables), "table_name")
+    process = F.concat(F.lit("fk."), "table_name", F.lit("_"), "ref_table").alias("process_qn")
+    rows = checked.groupBy(process).agg(
+        F.sum(F.col("row_count") - F.col("violating_rows") - F.col("null_key_rows")).alias("matching_rows"),
+        F.sum("violating_rows").alias("orphan_rows"))
+    return _fk_edges(spark, sf_dir).join(rows, "process_qn").where(F.col("matching_rows") > 0)
 
 
 def row_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,6 +131,27 @@ def hierarchy_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("long").alias("node_count")))
 
 
+def turn_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chains as ``node, parent, kind``: each turn of a conversation points to the turn before
+    it, each event to its user's event before it (by time, then id)."""
+    t = read_tables(spark, sf_dir, ["conversations", "events"])
+    turn = F.concat_ws(":", F.lit("turn"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    turns = t["conversations"].select("conv_id", "turn").distinct()
+    event = F.concat(F.lit("event:"), F.col("event_id").cast("string"))
+    by_conversation = Window.partitionBy("conv_id").orderBy("turn")
+    by_user = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return (turns.select(turn.alias("node"), F.lag(turn).over(by_conversation).alias("parent"), F.lit("turn").alias("kind"))
+            .unionByName(t["events"].select(event.alias("node"), F.lag(event).over(by_user).alias("parent"), F.lit("event").alias("kind"))))
+
+
+def hierarchy_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Root, depth and status of every node of the region tree and of the chains of turns
+    and events, in rounds that double their reach."""
+    nodes = parent_pointers(spark, sf_dir).unionByName(turn_pointers(spark, sf_dir))
+    kinds = nodes.select("node", "kind")
+    return ancestry(nodes).join(kinds, "node").select("node", "kind", "root", F.col("depth").cast("int").alias("depth"), "status")
+
+
 LAYERS_ANALYTICS = "analytics.tpch.customer_summary"
 
 # The layered ETL's process wiring (input, process, output).
@@ -130,16 +163,21 @@ LAYERS_EDGES = [
 ]
 
 
-def _run_layers(spark: SparkSession, sf_dir: str) -> dict[str, VersionedTable]:
+def _run_layers(spark: SparkSession, sf_dir: str, jobs: list | None = None) -> dict[str, VersionedTable]:
     """orders -> raw -> processed (validated) -> analytics (customer summary),
-    each stage a versioned table; returns them by qualified name."""
+    each stage a versioned table; returns them by qualified name. ``jobs`` gets
+    (qualified name, the frame that was written) of each stage."""
+    jobs = [] if jobs is None else jobs
     warehouse = fresh_dir(spark, "layered_etl")
     raw = VersionedTable(spark, warehouse, "raw_orders")
-    raw.create(with_audit_columns(read_table(spark, sf_dir, "orders"), DEFAULT_RUN_TS), committed_at=RUN_TS)
+    audited = with_audit_columns(read_table(spark, sf_dir, "orders"), DEFAULT_RUN_TS)
+    raw.create(audited, committed_at=RUN_TS)
+    jobs.append(("raw.tpch.raw_orders", audited))
     processed = VersionedTable(spark, warehouse, "processed_orders")
     clean = (raw.read().where((F.col("o_totalprice") > 0) & F.col("o_orderstatus").isin("F", "O", "P"))
              .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
     processed.create(clean, committed_at=RUN_TS)
+    jobs.append(("processed.tpch.processed_orders", clean))
     # aggregate before the join: one row per customer meets the customer table
     per_cust = processed.read().groupBy("o_custkey").agg(
         F.count(F.lit(1)).cast("long").alias("order_count"),
@@ -149,6 +187,7 @@ def _run_layers(spark: SparkSession, sf_dir: str) -> dict[str, VersionedTable]:
     summary = customer.join(per_cust, customer["c_custkey"] == per_cust["o_custkey"]).drop("o_custkey")
     analytics = VersionedTable(spark, warehouse, "customer_summary")
     analytics.create(summary, committed_at=RUN_TS)
+    jobs.append((LAYERS_ANALYTICS, summary))
     return {"raw.tpch.raw_orders": raw, "processed.tpch.processed_orders": processed, LAYERS_ANALYTICS: analytics}
 
 
@@ -204,8 +243,8 @@ def entity_tags(spark: SparkSession, sf_dir: str, only_tag: str | None = None) -
     if rules:
         parts.append(C.name_tags(M.meta_columns(spark, tables), rules))
     if patterns:
-        # documents.text is tagged by the per-document pass below (one regex pass over the texts)
-        parts.append(C.content_tags({t: (df.drop("text") if t == "documents" else df) for t, df in tables.items()},
+        # documents.text and pages.html are tagged by the per-row passes below (one regex pass over the texts)
+        parts.append(C.content_tags({t: df.drop(*TAGGED_ROWS.get(t, [])) for t, df in tables.items()},
                                     patterns))
     cols = [p.select(F.concat(F.lit(f"source.{DB}."), "table_name", F.lit("."), "column_name").alias("entity_qn"),
                      "tag") for p in parts]
@@ -213,6 +252,8 @@ def entity_tags(spark: SparkSession, sf_dir: str, only_tag: str | None = None) -
         cols.append(C.row_tags(tables["documents"],
                                F.concat(F.lit(f"asset.{DB}.document."), F.col("doc_id").cast("string")), "text",
                                patterns, column_qn=f"source.{DB}.documents.text"))
+        cols.append(C.row_tags(tables["pages"], F.concat(F.lit(f"asset.{DB}.page."), F.col("page_id").cast("string")), "html",
+                               patterns, column_qn=f"source.{DB}.pages.html"))
     if not cols:
         return spark.createDataFrame([], "entity_qn string, tag string")
     out = cols[0]
@@ -229,8 +270,18 @@ def tag_search(spark: SparkSession, sf_dir: str, tag: str = SEARCH_TAG) -> DataF
 
 
 def sensitive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every string column of every table against all patterns, whole values."""
+    tables = read_tables(spark, sf_dir, ALL_TABLES)
+    return C.sensitive_scan({t: (df, C.string_columns(df)) for t, df in tables.items()})
+
+
+def content_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, pages (their whole html) and conversation turns that hold a sensitive pattern: a tag a row and pattern."""
     tables = read_tables(spark, sf_dir, list(TEXT_COLUMNS))
-    return C.sensitive_scan({t: (tables[t], c) for t, c in TEXT_COLUMNS.items()})
+    names = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
+    tagged = [C.row_tags(tables[t], F.concat_ws(".", F.lit(f"asset.{DB}.{KINDS[t]}"), *[F.col(k).cast("string") for k in names[t]]), c)
+              for t, c in TEXT_COLUMNS.items()]
+    return union_all(tagged).groupBy("entity_qn", "tag").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # ----------------------------------------------------------- upsert / delete
@@ -276,11 +327,13 @@ QUERIES = {
     "lineage_fk_edges": lineage_fk_edges,
     "lineage_walk": lineage_walk,
     "hierarchy_walk": hierarchy_walk,
+    "hierarchy_roots": hierarchy_roots,
     "layered_etl": layered_etl,
     "layered_etl_lineage": layered_etl_lineage,
     "classify_columns": classify_columns,
     "tag_search": tag_search,
     "sensitive_scan": sensitive_scan,
+    "content_tags": content_tags,
     "upsert_events": upsert_events,
     "cascade_delete": cascade_delete,
     "validate_raw": validate_raw,
@@ -347,15 +400,22 @@ def _content_tags_sql() -> str:
 
 def _scan_sql() -> str:
     parts = []
-    for t, c in TEXT_COLUMNS.items():
+    for t, c in ((t, c) for t, columns in STRING_COLUMNS.items() for c in columns):
         for p, rx in SENSITIVE_PATTERNS.items():
             parts.append(
-                f"SELECT '{t}' AS table_name, count(*) AS rows_scanned, '{p}' AS pattern, "
+                f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows_scanned, '{p}' AS pattern, "
                 f"count(*) FILTER (WHERE regexp_matches({c}, '{rx}')) AS rows_with_match, "
                 f"CAST(coalesce(sum(len(regexp_extract_all({c}, '{rx}'))), 0) AS BIGINT) AS match_count FROM {t}")
     return " UNION ALL ".join(parts)
 
 
+def _row_tags_sql() -> str:
+    keys = {"documents": "doc_id::VARCHAR", "pages": "page_id::VARCHAR", "conversations": "conv_id || '.' || turn"}
+    parts = [f"SELECT 'asset.tpch.{KINDS[t]}.' || {keys[t]} AS entity_qn, '{CONTENT_TAG_PREFIX}{p}' AS tag FROM {t} WHERE regexp_matches({c}, '{rx}')"
+             for t, c in TEXT_COLUMNS.items() for p, rx in SENSITIVE_PATTERNS.items()]
+    return f"SELECT entity_qn, tag, count(*) AS rows FROM ({' UNION ALL '.join(parts)}) GROUP BY ALL"
+
+
 def _cascade_sql(region) -> str:
     return f"""
 WITH r AS (SELECT r_regionkey AS k FROM region WHERE r_name = '{region}'),
@@ -380,7 +440,12 @@ ORACLE = {
                'source.tpch.' || t AS src_qn, 'raw.tpch.' || t AS dst_qn,
                CAST(n AS BIGINT) AS records_extracted
         FROM ({_counts(INGEST_SET)})""",
-    "lineage_fk_edges": f"SELECT * FROM {_fk_edges_sql()}",
+    "lineage_fk_edges": f"""
+        SELECT e.*, matching_rows, orphan_rows FROM {_fk_edges_sql()} e
+        JOIN (SELECT 'fk.' || table_name || '_' || ref_table AS process_qn,
+                     CAST(sum(n - violating_rows - null_key_rows) AS BIGINT) AS matching_rows, CAST(sum(violating_rows) AS BIGINT) AS orphan_rows
+              FROM ({_orphans_sql(False)}) o JOIN ({_counts(ALL_TABLES)}) c ON c.t = o.table_name GROUP BY 1) r ON r.process_qn = e.process_qn
+        WHERE matching_rows > 0""",
     "lineage_walk": " UNION ALL ".join([
         "SELECT * FROM " + _walk_sql("fk_out_lineitem", _FK_E, "source.tpch.lineitem", "OUT", 3),
         "SELECT * FROM " + _walk_sql("fk_in_region", _FK_E, "source.tpch.region", "IN", 3),
@@ -398,6 +463,24 @@ ORACLE = {
           UNION ALL SELECT p.node, p.kind, h.root, h.depth + 1 FROM p JOIN h ON p.parent = h.node)
         SELECT root, kind AS node_type, CAST(depth AS INTEGER) AS depth, count(*) AS node_count
         FROM h GROUP BY ALL""",
+    "hierarchy_roots": """
+        WITH RECURSIVE p AS (
+          SELECT 'region:' || r_regionkey AS node, CAST(NULL AS VARCHAR) AS parent, 'region' AS kind FROM region
+          UNION ALL SELECT 'nation:' || n_nationkey, 'region:' || n_regionkey, 'nation' FROM nation
+          UNION ALL SELECT 'customer:' || c_custkey, 'nation:' || c_nationkey, 'customer' FROM customer
+          UNION ALL SELECT 'order:' || o_orderkey, 'customer:' || o_custkey, 'order' FROM orders),
+        h(node, kind, root, depth) AS (
+          SELECT node, kind, node, 0 FROM p WHERE parent IS NULL
+          UNION ALL SELECT p.node, p.kind, h.root, h.depth + 1 FROM p JOIN h ON p.parent = h.node),
+        t AS (SELECT DISTINCT 'turn:' || conv_id || ':' || turn AS node, conv_id AS chain, turn AS a, 0 AS b FROM conversations),
+        e AS (SELECT 'event:' || event_id AS node, user_id AS chain, ts AS a, event_id AS b FROM events),
+        c AS (SELECT node, 'turn' AS kind, first(node) OVER w AS root, row_number() OVER w - 1 AS depth FROM t
+              WINDOW w AS (PARTITION BY chain ORDER BY a NULLS FIRST, b)
+              UNION ALL
+              SELECT node, 'event', first(node) OVER w, row_number() OVER w - 1 FROM e
+              WINDOW w AS (PARTITION BY chain ORDER BY a NULLS FIRST, b))
+        SELECT node, kind, root, CAST(depth AS INTEGER) AS depth, 'tree' AS status FROM h
+        UNION ALL SELECT node, kind, root, CAST(depth AS INTEGER), 'tree' FROM c""",
     "layered_etl": """
         SELECT c.c_custkey, c.c_name, c.c_mktsegment, count(*) AS order_count,
                round(sum(o.o_totalprice), 2) AS total_spent, max(o.o_orderdate) AS last_order_date
@@ -424,9 +507,12 @@ ORACLE = {
         ct AS ({_content_tags_sql()}),
         q AS (SELECT 'source.tpch.' || table_name || '.' || column_name AS qn FROM ct WHERE tag = '{SEARCH_TAG}'
               UNION SELECT 'asset.tpch.document.' || doc_id FROM documents
-              WHERE regexp_matches(text, '{SENSITIVE_PATTERNS[SEARCH_TAG.split(":")[1]]}'))
+              WHERE regexp_matches(text, '{SENSITIVE_PATTERNS[SEARCH_TAG.split(":")[1]]}')
+              UNION SELECT 'asset.tpch.page.' || page_id FROM pages
+              WHERE regexp_matches(html, '{SENSITIVE_PATTERNS[SEARCH_TAG.split(":")[1]]}'))
         SELECT type_name, qualified_name, name FROM cat WHERE qualified_name IN (SELECT qn FROM q)""",
     "sensitive_scan": _scan_sql(),
+    "content_tags": _row_tags_sql(),
     "upsert_events": """
         SELECT user_id, ts, event_id, event_type, value, props FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quarry.plans import catalog_queries, entity_queries, ingest_queries, lineage_queries
+from quarry.plans import catalog_queries, change_queries, column_queries, discovery_queries, entity_queries, ingest_queries, lineage_queries
 
-_MODULES = [ingest_queries, catalog_queries, entity_queries, lineage_queries]
+_MODULES = [ingest_queries, catalog_queries, entity_queries, lineage_queries, discovery_queries, column_queries,
+            change_queries]
 
 
 def all_queries():

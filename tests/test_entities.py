@@ -37,14 +37,16 @@ def test_soft_delete_and_unknown_type(spark):
     assert E.active_counts(deleted).first()["deleted"] == 2
 
 
-def test_replace_by_name_soft_deletes_children(spark):
+def test_replace_by_name_soft_deletes_children_within_the_layer(spark):
     target = E.union_entities([
-        _ents(spark, [("src.db.t1", "table", "t1", 1, "ACTIVE")]),
-        E.make_entities(spark.range(1), "column", F.lit("src.db.t1.c"), F.lit("c"), parent_qn=F.lit("src.db.t1")),
+        _ents(spark, [("raw.old.t1", "table", "t1", 1, "ACTIVE"), ("source.db.t1", "table", "t1", 1, "ACTIVE")]),
+        E.make_entities(spark.range(1), "column", F.lit("raw.old.t1.c"), F.lit("c"), parent_qn=F.lit("raw.old.t1")),
+        E.make_entities(spark.range(1), "column", F.lit("source.db.t1.c"), F.lit("c"), parent_qn=F.lit("source.db.t1")),
     ])
     incoming = _ents(spark, [("raw.db.t1", "table", "t1", 2, "ACTIVE")])
     got = {r["qualified_name"]: r["status"] for r in E.replace_by_name(target, incoming, 2).collect()}
-    assert got == {"src.db.t1": "DELETED", "src.db.t1.c": "DELETED", "raw.db.t1": "ACTIVE"}
+    assert got == {"raw.old.t1": "DELETED", "raw.old.t1.c": "DELETED", "raw.db.t1": "ACTIVE",
+                   "source.db.t1": "ACTIVE", "source.db.t1.c": "ACTIVE"}  # the raw copy does not retire its source
 
 
 def test_json_roundtrip_identity(spark):
