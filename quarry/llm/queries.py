@@ -111,11 +111,11 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
     "op11_ngram_join": f"""
 WITH RECURSIVE
      d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-     s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                          ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS grams
-           FROM d),
-     n AS MATERIALIZED (SELECT doc_id, len(grams)::BIGINT AS n FROM s),
-     g AS MATERIALIZED (SELECT doc_id, unnest(grams) AS gram FROM s),
+     u AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
+     l AS (SELECT doc_id, i, concat_ws(' ', a, lead(a, 1) OVER o, lead(a, 2) OVER o, lead(a, 3) OVER o, lead(a, 4) OVER o) AS gram,
+                  lead(a, 4) OVER o AS fifth FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+     g AS MATERIALIZED (SELECT DISTINCT doc_id, gram FROM l WHERE i = 1 OR fifth IS NOT NULL),
+     n AS MATERIALIZED (SELECT d.doc_id, count(gram) AS n FROM d LEFT JOIN g ON g.doc_id = d.doc_id GROUP BY d.doc_id),
      i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
      e AS MATERIALIZED (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
      both_ways AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
