@@ -56,6 +56,7 @@ class _Reader:
     def __init__(self, names: dict[str, str]):
         self.names = {_path(k): v for k, v in names.items()}  # where a table lies: its name
         self.known: dict[int, _Column] = {}
+        self.ctes: dict[int, tuple[list[_Column], set[str]]] = {}  # WITH queries: their columns and leaves
 
     def leaf_name(self, node) -> str:
         try:
@@ -71,7 +72,17 @@ class _Reader:
 
     def read(self, node) -> set[str]:
         """Learns the attributes of ``node`` and all below; returns the leaves' names."""
+        if node.nodeName() == "WithCTE":
+            for d in _items(node.cteDefs()):  # each may refer to those before it
+                leaves = self.read(d.child())
+                self.ctes[d.id()] = [self.known[_attribute_id(a)] for a in _items(d.child().output())], leaves
+            return self.read(node.plan())
         children = _items(node.children())
+        if node.nodeName() == "CTERelationRef" and node.cteId() in self.ctes:
+            columns, leaves = self.ctes[node.cteId()]
+            for a, c in zip(_items(node.output()), columns):
+                self.known[_attribute_id(a)] = c
+            return leaves
         if not children:
             name = self.leaf_name(node)
             for a in _items(node.output()):

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators.changes import LEAF, changed_leaves, changes, levels_of, store_state
 
@@ -57,9 +58,9 @@ def test_only_leaves_that_differ_are_read(spark, tmp_path):
     after = [(i, "z", b) if 100 <= i < 110 else (i, a, b) for i, a, b in before]
     a, b = states(spark, tmp_path, before, after)
     leaves = [r["node"] for r in changed_leaves(a, b).collect()]
-    read = a.rows().where(a.rows()[LEAF].isin(leaves)).count()
-    assert 10 <= read <= 75 and len(found(a, b)) == 10  # of 1,000 rows
-    plan = a.rows().where(a.rows()[LEAF].isin(leaves))._jdf.queryExecution().executedPlan().toString()
+    read = a.rows().where(F.col(LEAF).isin(leaves))
+    assert 10 <= read.count() <= 75 and len(found(a, b)) == 10  # of 1,000 rows
+    plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "_leaf" in plan.split("PartitionFilters: [")[1][:80]
 
 
