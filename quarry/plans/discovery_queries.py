@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import discovery as D
+from quarry.operators import semantic as S
 from quarry.plans.declared import FOREIGN_KEYS, PRIMARY_KEYS
 from quarry.sources.tables import ALL_TABLES, read_tables
 
@@ -32,7 +33,13 @@ def keys_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(declared, ["table_name", "key_columns"], "left").withColumn("declared", F.coalesce("declared", F.lit(False)))
 
 
+def semantic_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What kind of values every string column of every table holds, from the shapes of all of its values."""
+    return S.semantic_types(read_tables(spark, sf_dir, ALL_TABLES))
+
+
 QUERIES = {
+    "semantic_types": semantic_types,
     "foreign_keys_found": foreign_keys_found,
     "keys_found": keys_found,
 }
@@ -98,7 +105,39 @@ k AS (SELECT table_name, a AS key_columns, 1 AS size, row_count, null_rows FROM
 SELECT *, (table_name, key_columns) IN ({declared}) AS declared FROM k"""
 
 
+def _semantic_types_sql() -> str:
+    def replaced(value, steps):
+        for pattern, by in steps:
+            value = f"regexp_replace({value}, '{pattern}', '{by}', 'g')"
+        return value
+    cells = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, CASE WHEN length({c}) > {S.LONGEST} THEN '*' ELSE {replaced(c, S.LEVELS[0])} END AS p0 "
+        f"FROM {t} WHERE {c} IS NOT NULL" for t, columns in _COLUMNS.items() for c, kind in columns.items() if kind == "s")
+    shapes = " ".join(f"WHEN regexp_matches(p1, '{pattern}') THEN '{name}'" for name, pattern in S.TYPES)
+    order = ", ".join(f"'{n}'" for n, _ in S.TYPES)
+    return f"""
+WITH c AS (SELECT table_name, column_name, p0, count(*) AS n FROM ({cells}) GROUP BY ALL),
+c1 AS (SELECT *, {replaced("p0", S.LEVELS[1])} AS p1 FROM c), c2 AS (SELECT *, {replaced("p1", S.LEVELS[2])} AS p2 FROM c1),
+p AS MATERIALIZED (SELECT *, {replaced("p2", S.LEVELS[3])} AS p3 FROM c2),
+l AS (SELECT table_name, column_name, 0 AS level, p0 AS pattern, n FROM p UNION ALL SELECT table_name, column_name, 1, p1, n FROM p
+      UNION ALL SELECT table_name, column_name, 2, p2, n FROM p UNION ALL SELECT table_name, column_name, 3, p3, n FROM p),
+m AS (SELECT table_name, column_name, level, pattern, sum(n) AS n FROM l GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY table_name, column_name, level ORDER BY n DESC, pattern) AS rank FROM m),
+d AS (SELECT table_name, column_name, level, sum(n) AS covered, string_agg(pattern, ' | ' ORDER BY rank) AS patterns FROM r WHERE rank <= {S.TOP} GROUP BY ALL),
+v AS (SELECT table_name, column_name, sum(n) AS n_values FROM p GROUP BY ALL),
+b AS (SELECT d.*, n_values FROM d JOIN v USING (table_name, column_name)
+      QUALIFY row_number() OVER (PARTITION BY table_name, column_name
+        ORDER BY CASE WHEN 100 * covered >= {S.SHARE_PERCENT} * n_values THEN level ELSE 8 - level END) = 1),
+y AS (SELECT table_name, column_name, CASE {shapes} ELSE '{S.OTHER}' END AS semantic_type, sum(n) AS of_type FROM p GROUP BY ALL),
+k AS (SELECT * FROM y
+      QUALIFY row_number() OVER (PARTITION BY table_name, column_name
+        ORDER BY of_type DESC, coalesce(list_position([{order}], semantic_type), 99)) = 1)
+SELECT b.table_name, b.column_name, CAST(n_values AS BIGINT) AS n_values, CAST(level AS INTEGER) AS level, patterns, CAST(covered AS BIGINT) AS covered,
+       semantic_type, CAST(of_type AS BIGINT) AS of_type FROM b JOIN k USING (table_name, column_name)"""
+
+
 ORACLE = {
+    "semantic_types": _semantic_types_sql(),
     "foreign_keys_found": _foreign_keys_sql(),
     "keys_found": _keys_sql(),
 }

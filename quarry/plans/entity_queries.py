@@ -13,6 +13,7 @@ from quarry.functions.names import DEFAULT_RUN_TS
 from quarry.operators import entities as E
 from quarry.operators import metadata as M
 from quarry.operators import quality as Q
+from quarry.operators.documents import field, nested_columns, table_documents, through_json
 from quarry.operators.ingest import with_audit_columns
 from quarry.operators.pages import columns_of_table, first_tables, numbered_pages
 from quarry.plans.catalog_queries import _COLS, _FK_VALUES, _IN, _counts_sql, _nulls_sql
@@ -93,6 +94,19 @@ def document_search(spark, sf_dir):
             .select("type_name", "qualified_name", "name", "description"))
 
 
+def entity_documents(spark, sf_dir):
+    """Every table with its columns as one nested document (raw copies name a column's type ``type``,
+    sources ``dataType``), through JSON and back, its columns taken out again."""
+    tables = read_tables(spark, sf_dir, ALL_TABLES)
+    columns, profiles = M.meta_columns(spark, tables), Q.all_null_profiles(tables)
+    raw = columns.where(F.col("table_name").isin(STAR_TABLES))
+    documents = (table_documents(columns, profiles, "source")
+                 .unionByName(table_documents(raw, profiles, "raw", type_field="type")))
+    back = through_json(documents)
+    rows = back.select("qualified_name", field("document", ["$.rows"], "long").alias("row_count"))
+    return nested_columns(back).join(rows, "qualified_name")
+
+
 PAGE_SIZE = 50
 
 
@@ -252,6 +266,7 @@ def discovery_stats(spark, sf_dir, k: int = 5):
 QUERIES = {
     "entity_build": entity_build,
     "entity_json_roundtrip": entity_json_roundtrip,
+    "entity_documents": entity_documents,
     "entity_get": entity_get,
     "entity_search": entity_search,
     "document_search": document_search,
@@ -394,6 +409,10 @@ GROUP BY 1, 2"""
 ORACLE = {
     "entity_build": f"SELECT * FROM {catalog_sql()}",
     "entity_json_roundtrip": f"SELECT * FROM {catalog_sql()}",
+    "entity_documents": f"""
+        SELECT l.layer || '.' || c.table_name AS qualified_name, position, c.column_name, data_type, null_count AS nulls, row_count
+        FROM {_COLS} c JOIN ({_nulls_sql()}) n ON n.table_name = c.table_name AND n.column_name = c.column_name
+        JOIN (VALUES ('source'), ('raw')) l(layer) ON l.layer = 'source' OR c.table_name IN ({_STAR})""",
     "entity_get": f"SELECT * FROM {catalog_sql()} WHERE key IN ({_LINEITEM_KEYS})",
     "entity_search": f"""
         SELECT * FROM {catalog_sql()} WHERE status = 'ACTIVE' AND (
