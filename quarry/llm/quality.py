@@ -4,7 +4,7 @@ Each whole text gives a vector of statistics (shares of letters, digits, capital
 and signs, word and line figures, repetition). Standardised, it goes through
 ``FEATURES`` random cosines, which approximate a Gaussian kernel. Each partition
 sums its part of the normal equations; the parts are added up by a few
-streaming tasks, so the driver gets ``_SLOTS`` matrices of fixed size however
+streaming tasks, so the driver gets one matrix of fixed size however
 many rows there are. The ridge scores of a fold of their own are counted in
 ``_BINS`` bins and made monotone (pool adjacent violators): the result is the
 share of good rows at that score.
@@ -132,23 +132,29 @@ def _normal_equations(train: DataFrame, model: Model) -> tuple[np.ndarray, np.nd
     size = FEATURES + 1
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size, size + 1))
+        total = None
         for b in batches:
+            total = np.zeros((size, size + 1)) if total is None and b.num_rows else total
             x, y = _matrix(b.column("x")), b.column("y").to_numpy()
             for i in range(0, len(x), 4096):
                 z = model.features(x[i:i + 4096])
                 total += z.T @ np.hstack([z, y[i:i + 4096, None]])
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % _SLOTS], pa.int32()),
-                                          pa.array([total.tobytes()], pa.binary())], names=["slot", "sums"])
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % _SLOTS], pa.int32()),
+                                              pa.array([total.tobytes()], pa.binary())], names=["slot", "sums"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * (size + 1))
+        total = None
         for b in batches:
             for raw in b.column("sums"):
-                total += np.frombuffer(raw.as_buffer(), dtype=np.float64)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+                one = np.frombuffer(raw.as_buffer(), dtype=np.float64)
+                total = one.copy() if total is None else np.add(total, one, out=total)
+        if total is not None:  # a partition without rows adds nothing
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
+    # summed by slot, then the slots' sums (at most _SLOTS rows) in one task: one row comes to the driver
     parts = train.mapInArrow(part, "slot int, sums binary").repartition(_SLOTS, "slot").mapInArrow(add, "sums binary")
+    parts = parts.repartition(1).mapInArrow(add, "sums binary")
     total = sum((np.frombuffer(r["sums"]) for r in parts.collect()), np.zeros(size * (size + 1))).reshape(size, size + 1)
     return total[:, :-1], total[:, -1]
 
