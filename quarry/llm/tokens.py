@@ -34,8 +34,8 @@ import numpy as np
 
 from quarry.llm.line_dedup import _hashes
 
-CACHE_PARTS = 1_500_000
-_RECENT = 150_000
+CACHE_PARTS = 500_000
+_RECENT = 100_000
 _BATCH_BYTES = 2 << 20
 # White space and formats of three UTF-8 bytes, first and last: U+1680, U+180E, U+2000-200F, U+2028-202F,
 # U+205F-206F, U+3000, U+FEFF.
@@ -58,7 +58,7 @@ def words_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def rare_places(raw: np.ndarray) -> np.ndarray:
-    """Where rare white space and controls begin (the bytes go on for two more)."""
+    """Where rare white space and controls begin (the bytes go on for two more after the last)."""
     kind = _ODD[raw]
     at = np.flatnonzero(kind)
     lead, one, two = raw[at], raw[at + 1], raw[at + 2]
@@ -201,7 +201,7 @@ class Encoder:
     def _batch(self, texts: list[bytes], todo: list[int], out: list[bytes]) -> None:
         data, raw, begin = _joined(texts, todo)
         # texts with rare characters or with strings of added tokens are encoded as a whole
-        at = [rare_places(raw[:begin[-1]]), *[np.flatnonzero(raw == f[0]) for f in self.first]]
+        at = [rare_places(raw), *[np.flatnonzero(raw == f[0]) for f in self.first]]
         rare, *perhaps = [np.unique(np.searchsorted(begin, x, side="right") - 1).tolist() for x in at]
         odd = set(rare)
         for j in chain(*perhaps):
