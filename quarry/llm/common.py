@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -69,6 +70,16 @@ def written(df: DataFrame, purpose: str, **sums: Column) -> tuple[DataFrame, dic
     return spark.read.schema(df.schema).parquet(path), dict(seen.get)
 
 
+def give_back() -> None:
+    """Memory that a task no longer uses goes back to the system: Spark keeps the
+    worker for later tasks, whose stages it would otherwise burden."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; null counts as empty."""
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]

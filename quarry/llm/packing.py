@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import utf8
+from quarry.llm.common import give_back, utf8
 from quarry.llm.tokens import encoder, slices
 
 SEQUENCE_TOKENS = 1024
@@ -150,5 +150,6 @@ def pack(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_c
                     yield from rows(packer)
         packer.pack(final=True)
         yield from rows(packer)
+        give_back()
 
     return slim.mapInArrow(run, SCHEMA)

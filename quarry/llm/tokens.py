@@ -34,9 +34,9 @@ import numpy as np
 
 from quarry.llm.line_dedup import _hashes
 
-CACHE_PARTS = 500_000
-_RECENT = 100_000
-_BATCH_BYTES = 2 << 20
+CACHE_PARTS = 400_000
+_RECENT = 60_000
+_BATCH_BYTES = 1 << 19
 # White space and formats of three UTF-8 bytes, first and last: U+1680, U+180E, U+2000-200F, U+2028-202F,
 # U+205F-206F, U+3000, U+FEFF.
 _RARE = [(0xE19A80, 0xE19A80), (0xE1A08E, 0xE1A08E), (0xE28080, 0xE2808F), (0xE280A8, 0xE280AF), (0xE2819F, 0xE281AF),
