@@ -1,13 +1,19 @@
-"""HTML extraction by what the pages of one host have in common.
-
-A page is a row of blocks: texts between block elements, each at the path of
-block elements above it. The blocks of a path that all pages of the host with this path
-have, with the same text, are the host's template, if two different pages
-at least are its witnesses; all other blocks are its slots. A page's main text
+"""HTML extraction by union-free wrappers, one inferred from all pages of a host.
+
+A page is a row of blocks: texts between block elements, in the tree of the block
+elements above them. A wrapper is a union-free expression over such trees: elements,
+optional groups, repeated groups and text slots. Two wrappers are aligned: texts that are equal
+stay fixed, texts that differ become slots, tags that differ become repeated groups
+(alike neighbours) or optional groups. A slot keeps the texts that all pages with it have there
+(in a repeated group: at any of its places): these are the host's template, if two different
+pages at least are its witnesses. All other blocks fill slots. A page's main text
 are its slots in the article (``article``, else ``main`` or an element that says so,
 else the body).
 
-Element names and class words only decide what the template leaves open: slots
+Siblings that are too many to align (``_CELLS``, ``_SIBLINGS``) are generalised to a repeated group of
+optional elements, one for each name, which any row of them fits; all their texts take part.
+
+Element names and class words only decide what the wrapper leaves open: slots
 under a menu, header, footer, sidebar, notice, advert, form, script, style or
 comment section are left out. A class, id or role counts as a whole (all its words
 must be listed), and an element that holds most of the article's slots is
@@ -15,16 +21,12 @@ never left out. Inside ``article`` and ``main``, a template that would take half
 of the element's text or more is not believed (copies of one article); a
 page of which nothing is left keeps the texts that names and words alone allow.
 
-Each task reduces its pages to one template a host (an intersection, never
-larger than the pages' paths with the texts of one page each); these are merged by (host,
+Each task aligns its pages to one wrapper a host, whose size follows the host's markup and not
+its number of pages; these are merged by (host,
 salt) and then by host, streaming, so a host with a third of all pages is
-many small merges. All pages take part. Templates are joined to the pages by
+many small merges. All pages take part. Wrappers are joined to the pages by
 host; Spark broadcasts them only below its size threshold.
 
-This replaces the union-free expressions of ``fold``, ``stream`` and ``align``, whose
-slots hold no texts and could not tell a menu from an article: the query does not use
-them.
-
 Defined results: null html counts as empty (empty text, 0 characters); a null
 url has the empty host; pages without any element are text of the body; rows
 that repeat are extracted each, and are one witness; an empty table gives no rows.
@@ -80,7 +82,8 @@ COMMENT_MARKS = {"comment", "comments", "disqus", "reply", "replies"}
 NEVER = RAW | {"head", "noscript", "template", "svg", "object", "select", "button"}  # of BOILERPLATE: no text of the page's own
 
 _FOLD = 6  # longest group, in items, that is looked for when repeats are folded
-_DEPTH = 48  # what lies deeper takes part in a wrapper as content of the element there
+_DEPTH = 48  # the elements below stand in a wrapper as one, by all their names
+_CELLS, _SIBLINGS = 400, 24  # siblings with more pairs to align, or more in the result, are generalised without their order
 
 
 def tokens(source: str) -> Iterator[tuple[str, str, str]]:
@@ -139,8 +142,10 @@ class Walker:
                 return
 
 
-# A wrapper is a tuple of items: "#" (a text slot), or a pair of a kind and a tuple: ("=", (element, *items)) an
-# element by its name and marks, ("?", items) an optional group, ("+", items) a repeated group.
+# A wrapper is a tuple of items: "#" (a text slot of which nothing else is kept), ("t", (least, most, *texts)) a text
+# slot with the least and the greatest hash of the pages that have it and the texts, as hashes, that all of these
+# have there, or a pair of a kind and a tuple: ("=", (element, *items)) an element, ("?", items) an optional group,
+# ("+", items) a repeated group.
 
 def fold(items: tuple) -> tuple:
     """Repeats next to each other become repeated groups."""
@@ -199,29 +204,52 @@ def _bare(item) -> tuple:
 
 def _alike(p, q) -> bool:
     """Items that one item can stand for: slots, the same element, groups that begin and end so."""
+    if p[0] == q[0] and p[0] in "=t":
+        return p[0] == "t" or p[1][0] == q[1][0]
     if p == q:
         return True
     a, b = _bare(p), _bare(q)
     if len(a) == len(b) == 1:
-        return a[0] == b[0] or a[0][0] == b[0][0] == "=" and a[0][1][0] == b[0][1][0]
+        a, b = a[0], b[0]
+        return a == b or a[0] == b[0] == "t" or a[0] == b[0] == "=" and a[1][0] == b[1][0]
     return len(a) > 1 and len(b) > 1 and _alike(a[0], b[0]) and _alike(a[-1], b[-1])
 
 
-def _join(p, q):
-    """One item for two that are alike: their contents aligned, repeated or optional if one of them is."""
-    if p == q:
-        return p
+def _unsure(item):
+    """The item without the texts of its slots."""
+    if isinstance(item, str):
+        return item
+    return ("t", item[1][:2]) if item[0] == "t" else (item[0], tuple(_unsure(x) for x in item[1]))
+
+
+def _kinds(item) -> set[str]:
     kinds = set()
-    for item in (p, q):
-        while item[0] in "?+" and len(item[1]) == 1:
-            kinds.add(item[0])
-            item = item[1][0]
+    while item[0] in "?+" and len(item[1]) == 1:
         kinds.add(item[0])
+        item = item[1][0]
+    return kinds | {item[0]}
+
+
+def _join(p, q, within: bool = False):
+    """One item for two that are alike: their contents aligned, repeated or optional if one of them is.
+    ``within``: both are on the same pages, which have the texts of either (an optional one's are not sure)."""
+    if p[0] == q[0] == "=":
+        return ("=", (p[1][0], *align(p[1][1:], q[1][1:], within)))
+    if p[0] == q[0] == "t":
+        x, y = p[1], q[1]
+        texts = x[2:] if x[2:] == y[2:] else sorted(set(x[2:]) | set(y[2:]) if within else set(x[2:]) & set(y[2:]))
+        return ("t", (min(x[0], y[0]), max(x[1], y[1]), *texts))
+    if p == q and not (within and p[0] == "?"):
+        return p
+    one, two = _kinds(p), _kinds(q)
+    if within:
+        p, q = (_unsure(x) if "?" in kinds else x for x, kinds in ((p, one), (q, two)))
+    kinds = one | two if not within or one & two & {"?"} else (one | two) - {"?"}
     a, b = _bare(p), _bare(q)
     if len(a) == len(b) == 1:
-        both = a if a == b else (("=", (a[0][1][0], *align(a[0][1][1:], b[0][1][1:]))),)
+        both = a if a == b else (_join(a[0], b[0], within),)
     else:
-        both = align(a, b)
+        both = align(a, b, within)
     if "+" in kinds:
         both = (("+", both),)
     if "?" in kinds and both[0][0] != "?":
@@ -229,15 +257,97 @@ def _join(p, q):
     return both[0] if len(both) == 1 else ("+", both)
 
 
-def align(a: tuple, b: tuple) -> tuple:
-    """The wrapper of both: longest common part, the rest optional, repeats folded."""
-    if a == b:
-        return a
+def runs(items: tuple) -> tuple:
+    """Alike items (or groups of them) next to each other become repeated groups, with the texts of all."""
+    out = list(items)
+    for size in range(1, min(_FOLD, len(out) // 2) + 1):
+        i = 0
+        while i + 2 * size <= len(out):
+            if all(_alike(out[i + k], out[i + size + k]) for k in range(size)):
+                if size == 1:
+                    joined = _join(out[i], out[i + 1], True)
+                    out[i:i + 2] = [joined if "+" in _kinds(joined) else ("+", (joined,))]
+                else:
+                    body = tuple(_join(out[i + k], out[i + size + k], True) for k in range(size))
+                    while len(out) >= i + 3 * size and all(_alike(body[k], out[i + 2 * size + k]) for k in range(size)):
+                        body = tuple(_join(body[k], out[i + 2 * size + k], True) for k in range(size))
+                        del out[i + 2 * size:i + 3 * size]
+                    out[i:i + 2 * size] = [("+", body)]
+            else:
+                i += 1
+    return tuple(out)
+
+
+def _any_order(items: tuple) -> tuple:
+    """The items as one repeated group of optional ones, one for each element or slot, by name."""
+    found: dict[str, tuple] = {}
+
+    def add(item, sure: bool) -> None:
+        if item[0] in "?+":
+            for x in item[1]:
+                add(x, sure and item[0] != "?")
+            return
+        name = item[1][0] if item[0] == "=" else "#"
+        item = item if sure else _unsure(item)
+        found[name] = _join(found[name], item, True) if name in found else item
+
+    whole = len(items) == 1 and items[0][0] == "+" and all(x[0] == "?" and len(x[1]) == 1 for x in items[0][1])
+    for item in [x[1][0] for x in items[0][1]] if whole else items:
+        add(item, True)
+    return (("+", tuple(("?", (found[x],)) for x in sorted(found))),)
+
+
+def _is_any_order(items: tuple) -> bool:
+    return len(items) == 1 and items[0][0] == "+" and len(items[0][1]) > 1 and all(x[0] == "?" for x in items[0][1])
+
+
+def _longest(a: tuple, b: tuple) -> list[list[int]]:
+    """The length of the longest common part of what follows each two places."""
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
             best[i][j] = best[i + 1][j + 1] + 1 if _alike(a[i], b[j]) else max(best[i + 1][j], best[i][j + 1])
+    return best
+
+
+def _repeats(a: tuple, b: tuple, best: list[list[int]]) -> bool:
+    """True if an item outside the longest common part is like its neighbour: one of a repeated group."""
+    def like(items: tuple, i: int) -> bool:
+        return i > 0 and _alike(items[i - 1], items[i]) or i + 1 < len(items) and _alike(items[i], items[i + 1])
+
+    i = j = 0
+    while i < len(a) or j < len(b):
+        if i < len(a) and j < len(b) and _alike(a[i], b[j]):
+            i, j = i + 1, j + 1
+        elif j >= len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
+            if like(a, i):
+                return True
+            i += 1
+        else:
+            if like(b, j):
+                return True
+            j += 1
+    return False
+
+
+def align(a: tuple, b: tuple, within: bool = False) -> tuple:
+    """The wrapper of both: position by position if their tags agree; else alike neighbours are repeated groups,
+    the longest common part is joined, the rest optional."""
+    if a == b:
+        return a
+    if len(a) == len(b) and all(_alike(x, y) for x, y in zip(a, b)) and not _is_any_order(a):
+        return tuple(_join(x, y, within) for x, y in zip(a, b))
+    any_order = a and b and (_is_any_order(a) or _is_any_order(b))
+    best = _longest(a, b) if not any_order and len(a) * len(b) <= _CELLS else None
+    if best is None or _repeats(a, b, best):
+        a, b = runs(a), runs(b)
+        if any_order or len(a) * len(b) > _CELLS:
+            one, two = ({_name(x): x for x in _any_order(items)[0][1]} for items in (a, b))
+            return (("+", tuple(_join(one[k], two[k], within) if k in one and k in two else one.get(k) or two[k]
+                                for k in sorted({*one, *two}))),)
+        best = _longest(a, b)
+    n, m = len(a), len(b)
     out: list = []
     i = j = 0
 
@@ -250,7 +360,7 @@ def align(a: tuple, b: tuple) -> tuple:
 
     while i < n or j < m:
         if i < n and j < m and _alike(a[i], b[j]):
-            out.append(_join(a[i], b[j]))
+            out.append(_join(a[i], b[j], within))
             i, j = i + 1, j + 1
         elif j >= m or i < n and best[i + 1][j] >= best[i][j + 1]:
             optional(a[i])
@@ -258,7 +368,14 @@ def align(a: tuple, b: tuple) -> tuple:
         else:
             optional(b[j])
             j += 1
-    return fold(tuple(out))
+    out = fold(tuple(out))
+    return out if len(out) <= _SIBLINGS or "#" in out else _any_order(out)
+
+
+def _name(item) -> str:
+    """The name of an optional item of a group in any order."""
+    item = item[1][0]
+    return item[1][0] if item[0] == "=" else "#"
 
 
 def _core(item):
@@ -335,48 +452,81 @@ def _plain(text: str) -> str:
     return _SPACE.sub(" ", html.unescape(text)).strip()
 
 
-def _key(block: list[tuple[Path, str]]) -> tuple[str, int] | None:
-    """(path of block elements, hash of the text) of a block that has a text of the page's own."""
-    names = [x[0] for x in block[0][0][:_DEPTH] if x[0] not in INLINE]
-    if not NEVER.isdisjoint(names):
+def _place(path: Path) -> tuple[str, ...]:
+    """The names of the block elements of a path; those below ``_DEPTH`` as one."""
+    names = tuple(x[0] for x in path if x[0] not in INLINE)
+    return names if len(names) <= _DEPTH else (*names[:_DEPTH - 1], "/".join(names[_DEPTH - 1:]))
+
+
+def _key(block: list[tuple[Path, str]]) -> tuple[tuple[str, ...], int] | None:
+    """(names of the block elements, hash of the text) of a block that has a text of the page's own."""
+    place = _place(block[0][0])
+    if not NEVER.isdisjoint(place) or len(place) == _DEPTH and not NEVER.isdisjoint(place[-1].split("/")):
         return None
     text = _plain("".join(t for _, t in block))
-    return (f"{xxhash.xxh64_intdigest('/'.join(names)):x}", xxhash.xxh64_intdigest(text)) if text else None
+    return (place, xxhash.xxh64_intdigest(text)) if text else None
+
 
+def template_of(source: str) -> dict[str, tuple]:
+    """The wrapper of one page: the tree of its blocks, every text fixed."""
+    found = [(tuple(x for x in block[0][0] if x[0] not in INLINE), *key) for block in blocks(source) if (key := _key(block))]
+    if not found:
+        return {}
+    page = xxhash.xxh64_intdigest(repr([key for _, *key in found]))
+    open_: list[list] = [["", []]]  # (element, items so far) from the page down
+    last: Path = ()
 
-# A template: for each path of block elements the least and the greatest hash of the pages that have it
-# (two different pages at least, if they differ) and the texts, as hashes, that all of these pages have there.
+    def leave(depth: int) -> None:
+        while len(open_) > depth + 1:
+            element, items = open_.pop()
+            open_[-1][1].append(("=", (element, *items)))
 
-def template_of(source: str) -> dict[str, tuple[int, int, set[int]]]:
-    """The template of one page."""
-    texts: dict[str, set[int]] = {}
-    for block in blocks(source):
-        if key := _key(block):
-            texts.setdefault(key[0], set()).add(key[1])
-    page = xxhash.xxh64_intdigest(repr(sorted((k, sorted(v)) for k, v in texts.items())))
-    return {k: (page, page, v) for k, v in texts.items()}
+    for path, place, text in found:
+        same = 0
+        while same < min(len(last), len(path)) and last[same] is path[same]:
+            same += 1
+        # of the elements that stand as one, all must be the same
+        leave(same if len(place) < _DEPTH or same < _DEPTH or last == path and same == len(path) else _DEPTH - 1)
+        for name in place[len(open_) - 1:]:
+            open_.append([name, []])
+        open_[-1][1].append(("t", (page, page, text)))
+        last = path
+    leave(0)
+    return {"wrapper": tuple(open_[0][1])}
 
 
 def common(a: dict, b: dict) -> dict:
-    """``a`` with the pages of ``b``, too."""
-    for k, (least, most, texts) in b.items():
-        if k in a:
-            x = a[k]
-            a[k] = (min(x[0], least), max(x[1], most), x[2] & texts)
-        else:
-            a[k] = (least, most, texts)
-    return a
+    """The wrapper of the pages of both."""
+    return {"wrapper": align(a["wrapper"], b["wrapper"])} if a and b else a or b
+
+
+def fixed(wrapper: tuple) -> dict[tuple[str, ...], set[int]]:
+    """The texts of the wrapper's slots that two different pages at least have, by the place of the slot."""
+    found: dict[tuple[str, ...], set[int]] = {}
+
+    def walk(items: Iterable, path: tuple[str, ...]) -> None:
+        for item in items:
+            if item[0] == "t":
+                least, most, *texts = item[1]
+                if least != most and texts:
+                    found.setdefault(path, set()).update(texts)
+            elif item[0] == "=":
+                walk(item[1][1:], (*path, item[1][0]))
+            else:
+                walk(item[1], path)
+    walk(wrapper, ())
+    return found
 
 
 class Extractor:
-    """Cuts the main texts out of the pages of one host, by its template."""
+    """Cuts the main texts out of the pages of one host, by its wrapper."""
 
-    def __init__(self, template: dict[str, tuple[int, int, set[int]]]):
-        self.fixed = {k: texts for k, (least, most, texts) in template.items() if least != most}
+    def __init__(self, template: dict[str, tuple]):
+        self.fixed = fixed(template.get("wrapper", ()))
 
     def text(self, source: str) -> str:
         page = blocks(source)
-        own = []  # blocks that the template does not have
+        own = []  # blocks that fill the wrapper's slots
         for block in page:
             key = _key(block)
             own.append(key is None or key[1] not in self.fixed.get(key[0], ()))
@@ -436,16 +586,17 @@ def _dump(wrapper: tuple) -> str:
 
 def _load(text: str) -> tuple:
     def of(x):
-        return x if isinstance(x, str) else tuple(of(z) for z in x)
+        return tuple(of(z) for z in x) if isinstance(x, list) else x
     return of(json.loads(text))
 
 
 def _write(template: dict) -> str:
-    return json.dumps({k: [least, most, sorted(texts)] for k, (least, most, texts) in template.items()}, separators=(",", ":"))
+    return _dump(template.get("wrapper", ()))
 
 
 def _read(text: str) -> dict:
-    return {k: (least, most, set(texts)) for k, (least, most, texts) in json.loads(text).items()}
+    wrapper = _load(text)
+    return {"wrapper": wrapper} if wrapper else {}
 
 
 _HOSTS = 20_000

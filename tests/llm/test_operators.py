@@ -582,6 +582,38 @@ def test_a_wrong_template_changes_the_text():
     assert made(a, b, *other) == html_wrapper.common(made(*other), made(b, a))
 
 
+def test_the_wrapper_aligns_the_texts_of_a_host():
+    def made(*pages):
+        out = {}
+        for page in pages:
+            out = html_wrapper.common(out, html_wrapper.template_of(page))
+        return out
+
+    # one path, two places: equal at one, not at the other; an optional notice of some pages
+    pages = [f"<body><div><p>Offer</p></div><div><p>{n} own</p></div>{'<pre>Notice</pre>' if n % 2 else ''}<p>foot {n}</p></body>" for n in range(5)]
+    wrapper = made(*pages)
+    (kind, (body, first, second, notice, foot)), = wrapper["wrapper"]
+    assert (kind, body, notice[0]) == ("=", "body", "?") and len(first[1][1][1][1][1]) == 3 and len(second[1][1][1][1][1]) == 2
+    for n, page in enumerate(pages):
+        assert html_wrapper.Extractor(wrapper).text(page) == f"{n} own foot {n}"
+    # menus of different length are repeated groups; what all pages have in them is template
+    menus = [f"<body><ul><li>Home</li>{f'<li>only {n}</li>' * (n > 0)}<li>About</li></ul><p>{n} own</p></body>" for n in range(3)]
+    assert [html_wrapper.Extractor(made(*menus)).text(m) for m in menus] == ["0 own", "only 1 1 own", "only 2 2 own"]
+    # the pages of other hosts make another wrapper
+    assert html_wrapper.Extractor(made(*menus)).text(pages[0]) == "Offer 0 own foot 0"
+
+
+def test_a_wrapper_of_very_different_pages_stays_small():
+    rng = random.Random(3)
+    sizes, wrapper = [], {}
+    for n in range(200):
+        rows = "".join(f"<{t}>{n} {i}</{t}>" for i, t in enumerate(rng.choices(["p", "h2", "pre", "div", "section", "table"], k=rng.randint(20, 60))))
+        wrapper = html_wrapper.common(wrapper, html_wrapper.template_of(f"<body>{rows}<p>foot</p></body>"))
+        sizes.append(len(html_wrapper._write(wrapper)))
+    assert sizes[-1] <= max(sizes[:50]) and max(sizes[50:]) < 2000
+    assert html_wrapper.Extractor(wrapper).text("<body><h2>mine</h2><p>foot</p></body>") == "mine"
+
+
 @pytest.mark.parametrize("page,text", [
     ("<div class='page has-sidebar'><article><p>a</p></article></div>", "a"),
     ("<div id='wrap' class='no-sidebar'><article><p>a</p><section id='related-work'><p>r</p></section></article></div>", "a r"),
