@@ -61,11 +61,13 @@ def cuts_of(df: DataFrame, key: str, rows_per_leaf: int = ROWS_PER_LEAF) -> tupl
 
 
 def _leaf_of(key: Column, cuts: tuple) -> Column:
-    """The number of cuts below the key."""
+    """The number of cuts below the key, by binary search (steps beyond the last cut meet a null)."""
     if not cuts:
         return F.lit(0)
     bounds = F.array(*[F.lit(c) for c in cuts])
-    return F.when(key.isNull(), 0).otherwise(F.size(F.filter(bounds, lambda c: c < key)))
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) < key, at + step).otherwise(at))
+    return F.when(key.isNull(), 0).otherwise(found)
 
 
 def row_hash(columns: list[str]) -> Column:

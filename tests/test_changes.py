@@ -1,11 +1,12 @@
 """Changes between two stored states against a comparison row by row."""
 
 import random
+from bisect import bisect_left
 
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators.changes import LEAF, changed_leaves, changes, levels_of, store_state
+from quarry.operators.changes import LEAF, _leaf_of, changed_leaves, changes, levels_of, store_state
 
 TABLE = "id long, a string, b double"
 
@@ -87,3 +88,13 @@ def test_a_column_that_one_state_lacks_is_null_there(spark, tmp_path):
     a = store_state(spark.createDataFrame([(1, "a"), (2, "b")], "id long, a string"), f"{tmp_path}/a", "id", ())
     b = store_state(spark.createDataFrame([(1, "a", 1.0), (2, "b", None)], TABLE), f"{tmp_path}/b", "id", ())
     assert found(a, b) == [("update", 1, ("b",), 1)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 100, 4095])
+def test_a_leaf_is_found_by_binary_search(spark, n):
+    cuts = tuple(sorted(random.Random(n).sample(range(10_000), n)))
+    keys = [None, -1, 10_001, *(c + d for c in cuts for d in (-1, 0, 1))]
+    leaf = _leaf_of(F.col("id"), cuts)
+    got = spark.createDataFrame([(k,) for k in keys], "id long").select("id", leaf.alias("leaf")).collect()
+    assert [r["leaf"] for r in got] == [0 if k is None else bisect_left(cuts, k) for k in keys]
+    assert "filter" not in str(leaf)  # compares a key with few cuts, not with all
