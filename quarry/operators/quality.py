@@ -56,12 +56,36 @@ def length_profile(df: DataFrame, table: str, limits: dict[str, int]) -> DataFra
     return one.selectExpr(f"{sql_str(table)} AS table_name", f"inline(array({cells}))")
 
 
-def _key_groups(df: DataFrame, table: str, keys: tuple[str, ...], name: str) -> DataFrame:
+ROWS_PER_TASK = 500_000
+
+
+def row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """The rows of each table (of Parquet tables from the footers alone), in one job."""
+    counts = union_all([df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("t"), "rows") for t, df in tables.items()])
+    return {} if counts is None else {r["t"]: r["rows"] for r in counts.collect()}
+
+
+def key_counts(keyed: DataFrame, rows: int) -> DataFrame:
+    """``n`` rows for each distinct row of ``keyed``, which has about ``rows`` rows.
+
+    Keys of more rows than a task should hold go to as many tasks as they need, a number that
+    grows with the table (Spark would join small shuffle blocks into few tasks, by their compressed size). They are
+    counted by (key, salt) first, so a frequent key leaves each task as one row.
+    """
+    names = [_q(c) for c in keyed.columns]
+    tasks = rows // ROWS_PER_TASK + 1
+    if tasks == 1:
+        return keyed.groupBy(*names).agg(F.expr("count(1) AS n"))
+    salted = keyed.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(tasks)).cast("int"))
+    parts = salted.repartition(tasks, *names, "__salt").groupBy(*names, "__salt").agg(F.expr("count(1) AS n"))
+    return parts.drop("__salt").repartition(tasks, *names).groupBy(*names).agg(F.expr("sum(n) AS n"))
+
+
+def _key_groups(df: DataFrame, table: str, keys: tuple[str, ...], name: str, rows: int = 0) -> DataFrame:
     """One row per key value: its row count and whether a key part is null,
-    labelled with the constraint (one shuffle on the key, after partial
-    aggregation)."""
+    labelled with the constraint."""
     any_null = " OR ".join(f"{sql_id(k)} IS NULL" for k in keys)
-    return (df.groupBy(*[_q(k) for k in keys]).agg(F.expr("count(1) AS n"))
+    return (key_counts(df.select(*[_q(k) for k in keys]), rows)
             .selectExpr(f"{sql_str(name)} AS constraint_name", f"{sql_str(table)} AS table_name",
                         f"{sql_str(','.join(keys))} AS key_columns", "n", f"({any_null}) AS _null"))
 
@@ -92,7 +116,7 @@ def duplicate_keys(df: DataFrame, table: str, keys: tuple[str, ...], name: str)
 
     One shuffle on the key (after partial aggregation) answers all three.
     """
-    return _summarize_key_groups(_key_groups(df, table, keys, name), [(name, table, ",".join(keys))])
+    return _summarize_key_groups(_key_groups(df, table, keys, name, row_counts({table: df})[table]), [(name, table, ",".join(keys))])
 
 
 def _keys(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
@@ -161,7 +185,8 @@ def all_length_profiles(tables: dict[str, DataFrame], cons: Constraints) -> Data
 
 def all_duplicate_keys(tables: dict[str, DataFrame], cons: Constraints) -> DataFrame:
     checked = [(t, keys) for t, keys in cons.primary_keys.items() if t in tables]
-    groups = _union_all([_key_groups(tables[t], t, keys, cons.pk_name(t)) for t, keys in checked])
+    rows = row_counts({t: tables[t] for t, _ in checked})
+    groups = _union_all([_key_groups(tables[t], t, keys, cons.pk_name(t), rows[t]) for t, keys in checked])
     if groups is None:
         return None
     return _summarize_key_groups(groups, [(cons.pk_name(t), t, ",".join(keys)) for t, keys in checked])

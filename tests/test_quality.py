@@ -67,3 +67,15 @@ def test_empty_tables_still_report_every_check(spark):
     assert dups == {"e": 0, "p": 0}
     refs = Q.all_reference_checks({"e": empty, "p": parent}, cons).collect()
     assert [(r["constraint_name"], r["violating_rows"], r["null_key_rows"]) for r in refs] == [("fk_e_p", 0, 0)]
+
+
+def test_keys_are_counted_in_tasks_that_grow_with_the_table(spark, monkeypatch):
+    from quarry.operators import quality as Q
+    monkeypatch.setattr(Q, "ROWS_PER_TASK", 100)
+    rows = [(i % 700 if i % 3 else None, "hot" if i < 900 else str(i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a long, b string")
+    counted = Q.key_counts(df, len(rows))
+    assert counted.rdd.getNumPartitions() == 21
+    got = {(r["a"], r["b"]): r["n"] for r in counted.collect()}
+    assert got == {k: rows.count(k) for k in set(rows)}
+    assert {tuple(r) for r in Q.duplicate_keys(df, "t", ("b",), "pk").collect()} == {("pk", "t", "b", 1, 900, 0)}
