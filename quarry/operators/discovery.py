@@ -13,7 +13,9 @@ Keys (``unique_combinations``) are searched level by level over the lattice of c
 sets. One pass a level keeps a distinct-count sketch for each candidate of each
 table; those whose estimate is well under the rows are pruned, the rest are
 confirmed by exact counts. Supersets of a key are skipped, so what is found
-is minimal; sets whose parts' distinct counts multiply to fewer than the rows are not tried.
+is minimal; sets whose parts' distinct counts multiply to fewer than the rows are not tried. In large tables
+a candidate that repeats among the rows of one share of a column's values is refuted there; every
+key that is found was counted over all rows.
 
 What comes to the driver is a row a column, pair of columns or candidate: it grows
 with the schema, not with the data.
@@ -34,12 +36,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.frames import sql_id, sql_str, union_all
-from quarry.operators.quality import all_null_profiles
+from quarry.operators.quality import all_null_profiles, key_counts
 from quarry.sources.scratch import materialize
 
 _WORD = 62  # columns a word of a bit set
 SKETCH_LOG2 = 12  # registers of a distinct-count sketch: a relative error of about 1.6 %
 _SLACK = 0.07  # more than four such errors
+_SHARES = 64
+_LARGE = 1_000_000  # rows of a table whose candidates are first looked for repeats in one of the shares
 
 
 @dataclass(frozen=True)
@@ -91,7 +95,7 @@ def _unpivoted(tables: dict[str, DataFrame], columns: list[ColumnRef], value: st
 
 def column_sets(tables: dict[str, DataFrame], columns: list[ColumnRef]) -> DataFrame:
     """``cols, n``: for each set of columns (sorted numbers), the values that are in just these columns."""
-    words = -(-len(columns) // _WORD)
+    words = max(c.number for c in columns) // _WORD + 1
     cells = _unpivoted(tables, columns, "xxhash64({family}, {typed}) AS value")
     bit = f"shiftleft(1L, CAST(col % {_WORD} AS INT))"
     sets = cells.groupBy("value").agg(*[F.expr(f"bit_or(IF(col div {_WORD} = {w}, {bit}, 0L))").alias(f"w{w}") for w in range(words)])
@@ -117,10 +121,19 @@ def inclusion_candidates(tables: dict[str, DataFrame], columns: list[ColumnRef],
     """(child, parent) columns: the parent is unique and not null, and has at least so many percent of
     the child's values. Judged by hashes."""
     rows = {(r["table_name"], r["column_name"]): (r["row_count"], r["null_count"]) for r in all_null_profiles(tables).collect()}
-    shared = {(r["a"], r["b"]): r["n"] for r in overlaps(column_sets(tables, columns)).collect()}
+    # only columns of a family with a parent are unpivoted: one without nulls whose sketch may be that of unique values
+    whole = {t: [c.column for c in columns if c.table == t and rows.get((t, c.column), (0, 0))[0] and not rows[t, c.column][1]] for t in tables}
+    sketches = union_all([_sketched(tables[t], t, [(c,) for c in names]) for t, names in whole.items() if names])
+    likely = {(r["table_name"], whole[r["table_name"]][r["combo"]]): r["estimate"] for r in (sketches.collect() if sketches is not None else ())}
+    families = {c.family for c in columns if likely.get((c.table, c.column), -1) >= rows.get((c.table, c.column), (0, 0))[0] * (1 - 2 * _SLACK)}
+    kept = [c for c in columns if c.family in families]
+    if not kept:
+        return []
+    by_number = {c.number: c for c in columns}
+    shared = {(r["a"], r["b"]): r["n"] for r in overlaps(column_sets(tables, kept)).collect()}
     out = []
     for (a, b), n in shared.items():
-        child, parent = columns[a], columns[b]
+        child, parent = by_number[a], by_number[b]
         total, nulls = rows[parent.table, parent.column]
         if a != b and not nulls and shared[b, b] == total and 100 * n >= least_percent * shared[a, a]:
             out.append((child, parent))
@@ -189,14 +202,17 @@ def _key_part(field: T.StructField) -> Column:
     return F.unhex(F.md5(c.cast("binary"))) if isinstance(field.dataType, T.StringType) else c
 
 
-def _confirmed(tables: dict[str, DataFrame], combos: list[tuple[str, tuple[str, ...]]]) -> list[tuple[int, int, int]]:
-    """(number of the candidate, repeated groups, rows with a null part), counted exactly."""
+def _confirmed(tables: dict[str, DataFrame], combos: list[tuple[str, tuple[str, ...]]], rows: dict[str, int],
+               by: dict | None = None) -> list[tuple[int, int, int]]:
+    """(number of the candidate, repeated groups, rows with a null part), counted exactly; with ``by`` (a column of each
+    candidate) among the rows of one of ``_SHARES`` shares of this column's values, which has its groups whole."""
     parts = []
     for i, (t, combo) in enumerate(combos):
         fields = {f.name: f for f in tables[t].schema.fields}
         keys = [_key_part(fields[c]).alias(f"k{j}") for j, c in enumerate(combo)]
         none = " OR ".join(f"k{j} IS NULL" for j in range(len(combo)))
-        parts.append(tables[t].select(*keys).groupBy(*[f"k{j}" for j in range(len(combo))]).agg(F.count(F.lit(1)).alias("n"))
+        of = tables[t] if by is None else tables[t].where(f"pmod(xxhash64({sql_id(by[t, combo])}), {_SHARES}) = 0")
+        parts.append(key_counts(of.select(*keys), rows[t] if by is None else rows[t] // _SHARES)
                      .selectExpr(f"{i} AS combo", "n", f"({none}) AS none"))
     got = (union_all(parts).groupBy("combo")
            .agg(F.count_if(F.col("n") > 1).alias("repeated"), F.coalesce(F.sum(F.when(F.col("none"), F.col("n"))), F.lit(0)).alias("null_rows")))
@@ -232,10 +248,16 @@ def unique_combinations(tables: dict[str, DataFrame], max_size: int = 2, batch:
                 distinct[t, combo[0]] = max(1.0, r["estimate"])
             if r["estimate"] >= rows[t] * (1 - _SLACK):
                 likely.append((t, combo))
+        # a group repeated in one share of the rows is repeated in the table: no key. What this leaves is counted whole.
+        large = [x for x in likely if rows[x[0]] >= _LARGE]
+        if large:
+            by = {x: max(x[1], key=lambda c: distinct[x[0], c]) for x in large}
+            refuted = {large[i] for i, repeated, _ in _confirmed(tables, large, rows, by) if repeated}
+            likely = [x for x in likely if x not in refuted]
         likely.sort(key=lambda x: (list(tables).index(x[0]), [tables[x[0]].columns.index(c) for c in x[1]]))
         for start in range(0, len(likely), batch):
             part = likely[start:start + batch]
-            for i, repeated, null_rows in _confirmed(tables, part):
+            for i, repeated, null_rows in _confirmed(tables, part, rows):
                 if not repeated:
                     t, combo = part[i]
                     keys[t].append(frozenset(combo))

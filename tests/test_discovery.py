@@ -107,3 +107,26 @@ def test_declared_keys_are_found_where_they_hold(spark):
     for t, key in PRIMARY_KEYS.items():
         rows = spark.read.parquet(f"{SF_SMALL}/{t}.parquet").select(*key)
         assert ((t, ",".join(key)) in found) == (rows.count() == rows.distinct().count()), t
+
+
+def test_candidates_are_refuted_in_one_share_and_confirmed_on_all_rows(spark, monkeypatch):
+    rows = [(i, i // 2 * 2 + (i % 1000 != 1), i % 7, f"s{i}") for i in range(3000)]
+    rows[2999] = (2999, 2999, 1, "s17")  # one repeat, likely in another share
+    tables = {"t": spark.createDataFrame(rows, "a long, b long, c long, d string")}
+    want = {tuple(r) for r in D.unique_combinations(tables).collect()}
+    calls = []
+    confirmed = D._confirmed
+    monkeypatch.setattr(D, "_confirmed", lambda t, combos, rows, by=None: calls.append((len(combos), by is None)) or confirmed(t, combos, rows, by))
+    monkeypatch.setattr(D, "_LARGE", 1)
+    assert {tuple(r) for r in D.unique_combinations(tables).collect()} == want
+    assert any(not whole for _, whole in calls) and ("t", "a", 1, 3000, 0) in want and "d" not in {r[1] for r in want}
+
+
+def test_only_columns_of_a_family_with_a_unique_column_are_unpivoted(spark, monkeypatch):
+    tables = {"p": spark.createDataFrame([(i, float(i % 3)) for i in range(50)], "k long, x double"),
+              "c": spark.createDataFrame([(i % 50, float(i % 3), "s") for i in range(200)], "f long, y double, z string")}
+    seen = []
+    sets = D.column_sets
+    monkeypatch.setattr(D, "column_sets", lambda t, columns: seen.append({c.column for c in columns}) or sets(t, columns))
+    found = {tuple(r)[:4] for r in D.foreign_keys_found(tables).collect()}
+    assert found == {("c", "f", "p", "k")} and seen == [{"k", "f"}]
