@@ -4,7 +4,10 @@ The two kinds of tokenizer file used here never join characters across certain
 places of a text, so a text's ids are the ids of its parts in order:
 
 * ``words`` (white space is dropped before the merges): each white-space
-  separated word is a part;
+  separated word is a part, cut further where two ASCII characters of different kinds
+  (letters, digits, others) meet, for no piece of the published pattern holds two kinds
+  but a contraction such as ``'s`` (so no cut from an apostrophe to a letter; none
+  at other bytes, whose characters may be joined with their neighbours);
 * ``spaces`` (byte-level merges within pieces of the published pattern, in which
   a piece has at most one leading space): a part is a run without white space
   with the space before it, or a run of white space (less its last character
@@ -44,6 +47,15 @@ _RARE = [(0xE19A80, 0xE19A80), (0xE1A08E, 0xE1A08E), (0xE28080, 0xE2808F), (0xE2
 _CUT = re.compile(rb"[A-Za-z0-9](?=[ \t-\r])")
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+# Kinds of bytes: 0 white space, 1 letter, 2 digit, 3 other, 4 apostrophe, 5 not ASCII; and between which kinds a part ends.
+_KIND = np.full(256, 3, dtype=np.uint8)
+_KIND[_SPACE], _KIND[128:], _KIND[39] = 0, 5, 4
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[48:58] = 2
+_MEET = np.zeros((6, 6), dtype=bool)
+_MEET[0, 1:] = _MEET[1:, 0] = True
+for _a, _b in [(1, 2), (1, 3), (1, 4), (2, 1), (2, 3), (2, 4), (3, 1), (3, 2), (4, 2)]:
+    _MEET[_a, _b] = True
 _ODD = np.zeros(256, dtype=np.uint8)  # 1: rare by itself; 2: may begin a rare character
 _ODD[[*range(9), *range(14, 32), 127]] = 1
 _ODD[[0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = 2
@@ -57,6 +69,15 @@ def words_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
+def kinds_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of each part of the words: they are cut where two kinds of characters meet."""
+    kind = _KIND[raw]
+    at = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+    before, after = kind[at - 1], kind[at]
+    cut = _MEET[before, after]
+    return at[cut & (after > 0)], at[cut & (before > 0)]
+
+
 def rare_places(raw: np.ndarray) -> np.ndarray:
     """Where rare white space and controls begin (the bytes go on for two more after the last)."""
     kind = _ODD[raw]
@@ -240,9 +261,10 @@ class Encoder:
 
     def _bounds(self, raw: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and kind (white space only) of all parts of the texts, in order."""
-        start, end = words_of(raw)
         if not self.spaces:
+            start, end = kinds_of(raw)
             return start, end, np.zeros(len(start), dtype=bool)
+        start, end = words_of(raw)
         # the white space between: cut at the texts' ends (a line break of our own stands there)
         text_of_word = np.searchsorted(begin, start, side="right") - 1
         before = np.concatenate([[1], end])  # where the white space before each word (and after the last) begins

@@ -54,6 +54,23 @@ def test_parts_of_one_hash_are_told_apart(monkeypatch, name, parts):
     assert e.encode(texts) == plain(path, texts) and e.encode(texts) == plain(path, texts)
 
 
+def test_words_with_punctuation_share_their_parts(monkeypatch):
+    path, asked = vocabulary("word_bpe_49k.json"), []
+    e, inner = Encoder(path, "words"), Encoder._part_ids
+    monkeypatch.setattr(Encoder, "_part_ids", lambda self, parts: asked.extend(parts) or inner(self, parts))
+    texts = ["alpha alpha, alpha. alpha; (alpha) [alpha] alpha's alpha9 9alpha"]
+    assert e.encode(texts) == plain(path, texts)
+    assert [p for p in asked if b"alpha" in p] == [b"alpha"]
+
+
+def test_parts_of_words_meet_where_the_librarys_pieces_do():
+    rng, path = random.Random(6), vocabulary("word_bpe_49k.json")
+    chars = [*"abstremvldSTRK", *"", *"019.,;<>|!-_", " ", "\n", "\u0338", "\u0301", "\u0307", "J\u030c", "\u0130", "\u212a", "\u037e",
+             "é", "ß", "日", "’", "½", "Ⅷ", "ſ"]
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randrange(1, 40))) for _ in range(3000)]
+    assert Encoder(path, "words").encode(texts) == plain(path, texts)
+
+
 def test_slices_are_whole_and_bounded():
     texts = [b"x" * n for n in (0, 5, 100, 3, 3, 3, 0, 0)]
     got = list(slices(texts, rows=3, size=10))
