@@ -17,7 +17,8 @@ differ) drop pairs before their words are compared. A word with more than ``RUN`
 leads is dealt in blocks of them: each two blocks meet in a run of their own.
 
 Rarity comes from the counts of all words in 2^18 hashed counters (a bounded
-broadcast): any order gives the same result, rare words first give short runs.
+broadcast): any order gives the same result, rare words first give short runs. A word
+has no more leads than its counter has words, so few are counted to find those with blocks.
 
 Groups of thousands of near copies would make a square of pairs. So a line
 first takes the ``NEAREST`` candidates of each run (least bitmap difference),
@@ -51,6 +52,8 @@ RUN = 1 << 16
 _BLOCK = 512
 _SMALL = 128
 _OUT = 200_000  # rows of a batch, about
+_IN = 1 << 16  # rows that are met at once, at least
+_CHUNK = 1 << 14  # counters of one row
 
 
 def words_of(line: bytes) -> list[bytes]:
@@ -121,6 +124,7 @@ def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 def _ranked(line: np.ndarray, rank: np.ndarray, h: np.ndarray) -> np.ndarray:
     """The order by line, rank and hash, by one sort on a packed key (``line`` is
     in order already); by all three where the packed keys leave ties open."""
+    h = (h << np.uint64(40)) | (h >> np.uint64(24))  # the rank follows from the first bits: the others tell words apart
     key = (line.astype(np.uint64) << np.uint64(42)) | (rank.astype(np.uint64) << np.uint64(24)) | (h >> np.uint64(40))
     order = np.argsort(key)
     key, sorted_h = key[order], h[order]
@@ -138,23 +142,49 @@ def _least_overlap(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray
     return np.ceil(threshold / (1 + threshold) * (a + b) - 1e-9).astype(np.int64)
 
 
+def _counter(word: np.ndarray) -> np.ndarray:
+    """The counter of a word, from the first 32 bits of its hash."""
+    return (word.view(np.uint32) // np.uint32((1 << 32) // COUNTERS)).astype(np.int64)
+
+
+def _first_bits(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(32)).astype(np.uint32)
+
+
 def _counters(slim: DataFrame) -> np.ndarray:
-    """The rank of each counter by how often its words occur, over all lines; rare first."""
+    """How often the words of each counter occur, over all lines. A task's counters, and
+    their sums, go in rows of ``_CHUNK`` counters."""
+    def pieces(of: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(of), pa.int32()), pa.array([n.tobytes() for n in of.values()], pa.binary())],
+                                          names=["chunk", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, dtype=np.int64)
+        total = np.zeros(COUNTERS, dtype="<i8")
         for b in batches:
             for _, texts in _parts(b.column("text")):
                 _, _, _, h = _flat(texts)
-                total += np.bincount((h % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["counter", "n"])
-
-    out = np.zeros(COUNTERS, dtype=np.int64)
-    rows = slim.select("text").mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    table = rows.toArrow()  # at most COUNTERS rows
-    out[table.column("counter").to_numpy()] = table.column("n").to_numpy()
+                total += np.bincount(_counter(_first_bits(h)), minlength=COUNTERS)
+        cut = total.reshape(-1, _CHUNK)
+        yield pieces({i: cut[i] for i in np.flatnonzero(cut.any(axis=1)).tolist()})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, n in zip(b.column("chunk").to_pylist(), b.column("n").to_pylist()):
+                total[i] = total.get(i, 0) + np.frombuffer(n, "<i8")
+        yield pieces(total)
+
+    out = np.zeros((COUNTERS // _CHUNK, _CHUNK), dtype=np.int64)
+    rows = slim.select("text").mapInArrow(count, "chunk int, n binary").repartition("chunk").mapInArrow(add, "chunk int, n binary")
+    for i, n in zip(*rows.toArrow().to_pydict().values()):  # COUNTERS // _CHUNK rows at most
+        out[i] = np.frombuffer(n, "<i8")
+    return out.reshape(-1)
+
+
+def _ranks(counts: np.ndarray) -> np.ndarray:
+    """The rank of each counter by how often its words occur; rare first."""
     rank = np.empty(COUNTERS, dtype=np.int64)
-    rank[np.argsort(out, kind="stable")] = np.arange(COUNTERS)
+    rank[np.argsort(counts, kind="stable")] = np.arange(COUNTERS)
     return rank
 
 
@@ -185,7 +215,7 @@ def _sets(slim: DataFrame, counters, threshold: float) -> DataFrame:
                 doc, number, line, h = _flat(texts)
                 if not len(h):
                     continue
-                order = _ranked(line, rank[(h % np.uint64(COUNTERS)).astype(np.int64)], h)
+                order = _ranked(line, rank[_counter(_first_bits(h))], h)
                 line, h = line[order], h[order]
                 new = runs(line, h)[:-1]  # repeats of a word go
                 line, h = line[new], h[new]
@@ -210,7 +240,7 @@ def _sets(slim: DataFrame, counters, threshold: float) -> DataFrame:
                 keep = (place < _prefix(size, threshold)[line]) & met[line]
                 ends = np.cumsum(np.bincount(line[keep], minlength=len(size)))
                 words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
-                                                 pa.array((h[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+                                                 pa.array(_first_bits(h[keep]).view(np.int32)))
                 cols = [pa.array(c) for c in (doc, number.astype(np.int32), low.view(np.int64), high.view(np.int64), same.view(np.int64),
                                               size.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays([*cols, words, pa.array(gone)],
@@ -247,13 +277,29 @@ def _led(sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(mark, "doc long, line int, low long, high long, size int, words array<int>, lead boolean")
 
 
-def _blocks_of(leads: DataFrame, run: int):
+def _blocks_of(leads: DataFrame, run: int, counts: np.ndarray | None = None):
     """The words with more than ``run`` leads, in order, and the number of blocks of each, as a
-    broadcast (at most one word for every ``run`` rows of the index)."""
-    table = (leads.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > run)
-             .orderBy("word").toArrow())
+    broadcast (at most one word for every ``run`` rows of the index). A word has no more leads than
+    its counter has words (``counts``): those of smaller counters are not counted."""
+    sc = leads.sparkSession.sparkContext
+    words = leads.select("words")
+    if counts is not None:
+        if not (counts > run).any():
+            return sc.broadcast((np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)))
+        large = sc.broadcast(counts > run)
+
+        def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                word = b.column("words").flatten().to_numpy()
+                word = word[large.value[_counter(word)]]
+                yield pa.RecordBatch.from_arrays([pa.array(word, pa.int32())], names=["word"])
+
+        words = words.mapInArrow(often, "word int")
+    else:
+        words = words.select(F.explode("words").alias("word"))
+    table = words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > run).orderBy("word").toArrow()
     many = -(-table.column("n").to_numpy() // run)
-    return leads.sparkSession.sparkContext.broadcast((table.column("word").to_numpy(), many))
+    return sc.broadcast((table.column("word").to_numpy(), many))
 
 
 _INDEX = "word int, cell int, side byte, doc long, low long, high long, line int, size int, place int"
@@ -298,6 +344,19 @@ def _index(leads: DataFrame, blocks) -> DataFrame:
     return leads.mapInArrow(index, _INDEX)
 
 
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``_IN`` rows or more, but for the last (none of no rows)."""
+    held, rows = [], 0
+    for b in batches:
+        held.append(b)
+        rows += b.num_rows
+        if rows >= _IN:
+            yield pa.concat_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.concat_batches(held)
+
+
 _PAIR = "doc long, line int, other_doc long, other_line int, more boolean"
 
 
@@ -389,9 +448,7 @@ def _pairs(index: DataFrame, threshold: float, nearest: int | None) -> DataFrame
 
         def found() -> Iterator[tuple]:
             nonlocal run, held
-            for b in batches:
-                if not b.num_rows:
-                    continue
+            for b in _larger(batches):
                 w, cell = b.column("word").to_numpy(), b.column("cell").to_numpy()
                 cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in columns}
                 cuts = runs(w, cell)
@@ -480,10 +537,11 @@ def keyed(docs: DataFrame, id_col: str, key: str) -> DataFrame:
 def later_matches(slim: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST, run: int = RUN) -> DataFrame:
     """(doc, line) of the lines to remove. ``slim``: doc (a unique long that
     orders the documents) and text (not null)."""
-    counters = slim.sparkSession.sparkContext.broadcast(_counters(slim))
+    counts = _counters(slim)
+    counters = slim.sparkSession.sparkContext.broadcast(_ranks(counts))
     sets, _ = written(_led(_sets(slim, counters, threshold)), "lines")
     leads = sets.where("lead").drop("lead")
-    blocks = _blocks_of(leads, run)
+    blocks = _blocks_of(leads, run, counts)
     first, _ = written(_pairs(_index(leads, blocks), threshold, nearest).groupBy("doc", "line", "other_doc", "other_line")
                        .agg(F.max("more").alias("more")), "lines")
     alike = _verified(first.select("doc", "line", "other_doc", "other_line"), slim, threshold)

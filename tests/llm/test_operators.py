@@ -7,8 +7,10 @@ import html
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -322,6 +324,32 @@ def test_long_runs_of_a_word_are_dealt_in_blocks(spark, seed, nearest, run):
     assert len(got) == len(set(got)) and set(got) == slow_removed(rows)
 
 
+def test_only_words_of_large_counters_are_counted(spark):
+    slim = docs_of(spark, line_rows(7)).select(F.col("doc_id").alias("doc"), "text").repartition(5)
+    counts = line_dedup._counters(slim)
+    many = Counter(w for r in slim.collect() for w in r.text.lower().split())
+    assert sorted(counts[counts > 0].tolist()) == sorted(many.values())  # 150 words, a counter each
+    leads = line_dedup._led(line_dedup._sets(slim, spark.sparkContext.broadcast(line_dedup._ranks(counts)), 0.8)).where("lead").cache()
+    for run in (3, 10, int(counts.max()), 1 << 16):
+        some, all_ = (line_dedup._blocks_of(leads, run, n).value for n in (counts, None))
+        assert [x.tolist() for x in some] == [x.tolist() for x in all_] and (len(some[0]) > 0) == (run < 11)
+    job = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("blocks", "")
+    line_dedup._blocks_of(leads, int(counts.max()), counts)  # no counter is large: nothing is read
+    jobs = job.getJobIdsForGroup("blocks")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    leads.unpersist()
+    assert not jobs
+
+
+def test_small_batches_are_met_at_once():
+    cuts = [0, 5, 5, 40_000, 90_000, 90_003, 90_003]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(a, b), pa.int64())], names=["x"]) for a, b in zip(cuts, cuts[1:])]
+    got = list(line_dedup._larger(iter(batches)))
+    assert [b.num_rows for b in got] == [90_000, 3] and [x for b in got for x in b.column("x").to_pylist()] == list(range(90_003))
+    assert list(line_dedup._larger(iter([]))) == []
+
+
 def test_a_common_line_and_word_fill_no_run(spark):
     rng = random.Random(3)
     line = "the very same notice on each page"
